@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank import schemas
 from venuerank.sources.raw import join_path
 
 AS_OF = "2002-01-01"
@@ -86,6 +85,3 @@ def judged_documents(spark: SparkSession, base: str) -> DataFrame:
             F.when(F.col("quality") == 1, 5).otherwise(1).alias("stars"),
         )
     )
-
-
-__all__ = ["AS_OF", "businesses", "judged_documents", "reviews", "schemas", "table"]
