@@ -7,7 +7,7 @@ import datetime
 
 from venuerank.operators import classifier, recommend
 from venuerank.plans.batch import STAGES, BatchOptions, run_batch
-from venuerank.session import build_session
+from venuerank.session import build_session, release_scratch
 from venuerank.sources.raw import labelled_text, read_table
 from venuerank.sources.synth import write_sample
 
@@ -55,6 +55,7 @@ def main(arguments: list[str] | None = None) -> None:
         )
         for table, rows in run_batch(spark, options).items():
             print(f"{table}: {rows:,} rows")
+        release_scratch(spark)
     elif args.command == "sample":
         write_sample(spark, args.output, args.businesses, args.reviews, args.users, args.seed)
     else:

@@ -47,7 +47,7 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def unigrams_and_bigrams(words: Column) -> Column:
+def _terms(words: Column) -> Column:
     pairs = F.greatest(F.size(words) - 1, F.lit(0))
     bigrams = F.zip_with(
         F.slice(words, F.lit(1), pairs), F.slice(words, F.lit(2), pairs), lambda a, b: F.concat_ws(" ", a, b)
@@ -55,6 +55,12 @@ def unigrams_and_bigrams(words: Column) -> Column:
     return F.concat(words, bigrams)
 
 
+def unigrams_and_bigrams(text: Column) -> Column:
+    """Words of a text, then its pairs of neighbouring words."""
+    # the lambda binds the words, which are read four times, so the text is searched once
+    return F.flatten(F.transform(F.array(tokens(text)), _terms))
+
+
 def single_line(value: Column) -> Column:
     """Text safe for line-based bulk loads: no backslash, and blanks for tab and line ends."""
     return F.translate(F.coalesce(value, F.lit("")), "\t\n\r\\", "   ")

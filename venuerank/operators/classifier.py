@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venuerank.functions.scoring import status
-from venuerank.functions.text import tokens, unigrams_and_bigrams
+from venuerank.functions.text import unigrams_and_bigrams
 from venuerank.operators.sampling import capped_sample, stratified_split
 from venuerank.session import materialise
 
@@ -36,7 +36,7 @@ def prepare(reviews: DataFrame, cap: int = SAMPLE_ROWS) -> DataFrame:
 def predict_held_out(reviews: DataFrame, cap: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY_SIZE) -> DataFrame:
     """`review_id, label, prediction` of the held-out reviews."""
     rows = prepare(reviews, cap)
-    terms = rows.select("review_id", "label", "is_test", unigrams_and_bigrams(tokens(F.col("text"))).alias("terms"))
+    terms = rows.select("review_id", "label", "is_test", unigrams_and_bigrams(F.col("text")).alias("terms"))
     train, test = terms.filter(~F.col("is_test")), terms.filter("is_test")
     sizes = train.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes")).first()
     if sizes["classes"] < 2:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from venuerank import schemas
 from venuerank.functions.geo import with_grid_cell
+from venuerank.functions.rows import complete_rows
 from venuerank.functions.scoring import recency_weight
 from venuerank.functions.text import has_any_tag
 from venuerank.functions.vocabulary import FOOD_AND_DRINK_TAGS
@@ -18,8 +19,7 @@ from venuerank.operators.metro import METRO_RADIUS_KM, assign_metros, build_metr
 def open_food_businesses(businesses: DataFrame) -> DataFrame:
     """Open, located food and drink venues with a tidy city, state and `city_key`."""
     return (
-        businesses.select(*schemas.BUSINESS_COLUMNS)
-        .dropna(subset=["business_id", "latitude", "longitude"])
+        complete_rows(businesses.select(*schemas.BUSINESS_COLUMNS), ["business_id", "latitude", "longitude"])
         .filter(F.col("is_open") == 1)
         .filter(has_any_tag(F.col("categories"), FOOD_AND_DRINK_TAGS))
         .withColumn("city", F.initcap(F.trim("city")))
@@ -34,7 +34,7 @@ def clean_businesses(businesses: DataFrame, radius_km: float = METRO_RADIUS_KM)
 
 
 def clean_reviews(reviews: DataFrame) -> DataFrame:
-    return reviews.select(*schemas.REVIEW_COLUMNS).dropna(subset=schemas.REVIEW_COLUMNS)
+    return complete_rows(reviews.select(*schemas.REVIEW_COLUMNS), schemas.REVIEW_COLUMNS)
 
 
 def build_enriched(reviews: DataFrame, businesses: DataFrame, as_of: datetime.date | str) -> DataFrame:

@@ -45,7 +45,8 @@ def score_histogram(business_scores: DataFrame, columns: list[str] = SCORES, bin
     )
     share = min_max(F.col("value"), F.col("low"), F.col("high"), 1e-12)
     bin_of = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
-    counts = values.join(spans, "metric").groupBy("metric", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+    # one row per column name
+    counts = values.join(F.broadcast(spans), "metric").groupBy("metric", bin_of.alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
     width = (F.col("high") - F.col("low")) / bins
     return (
         spans.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))

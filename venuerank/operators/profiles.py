@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from venuerank import schemas
+from venuerank.functions.rows import complete_rows
 from venuerank.functions.scoring import popularity
 from venuerank.functions.text import SNIPPETS_PER_PROFILE, profile_text, single_line, snippet
 from venuerank.operators.ranking import top_per_group
@@ -32,13 +33,20 @@ def latest_snippets(reviews: DataFrame, per_venue: int = SNIPPETS_PER_PROFILE) -
 def build_profiles(enriched: DataFrame) -> DataFrame:
     """One row per venue with its scores and searchable text."""
     rows = with_metro_fallback(enriched)
-    venues = rows.groupBy("business_id").agg(
-        # attributes are functions of the venue; min makes that explicit and repeatable
-        *[F.min(c).alias(c) for c in _ATTRIBUTES],
-        F.avg("stars").alias("avg_rating"),
-        F.count(F.lit(1)).alias("review_count"),
+    # numbers only in the first step, which hash-aggregates all reviews; should a venue have
+    # two spellings of an attribute, the second step, over venues, keeps the smaller
+    spelled = rows.groupBy("business_id", *_ATTRIBUTES).agg(
+        F.sum("stars").alias("star_sum"),
+        F.count("stars").alias("rated"),
+        F.count(F.lit(1)).alias("reviews"),
         F.sum("recency_weight").alias("recency_sum"),
     )
+    venues = spelled.groupBy("business_id").agg(
+        *[F.min(c).alias(c) for c in _ATTRIBUTES],
+        F.try_divide(F.sum("star_sum").cast("double"), F.sum("rated").cast("double")).alias("avg_rating"),
+        F.sum("reviews").alias("review_count"),
+        F.sum("recency_sum").alias("recency_sum"),
+    )
     recency = F.col("recency_sum") / F.col("review_count")
     return (
         venues.join(latest_snippets(rows), "business_id", "left")
@@ -65,7 +73,7 @@ def sanitise(profiles: DataFrame) -> DataFrame:
     """Profiles ready for a line-based bulk load."""
     cleaned = {c: single_line(F.col(c)) for c in ("name", "metro_area", "city", "profile_text")}
     return (
-        profiles.dropna(subset=["business_id"])
+        complete_rows(profiles, ["business_id"])
         .withColumns(cleaned)
         .withColumn("review_count", F.col("review_count").cast("int"))
     )

@@ -63,9 +63,11 @@ def ordered_position(df: DataFrame, order: list[Column], name: str = "position")
 def position_within(df: DataFrame, group: str, order: list[Column], name: str = "position") -> DataFrame:
     """0-based position inside each group, with the group's size as ``group_size``."""
     placed = ordered_position(df, [F.col(group).asc_nulls_first(), *order], "_global")
-    spans = placed.groupBy(group).agg(F.min("_global").alias("_first"), F.count(F.lit(1)).alias("group_size"))
+    spans = placed.groupBy(F.col(group).alias("_group")).agg(
+        F.min("_global").alias("_first"), F.count(F.lit(1)).alias("group_size")
+    )
     return (
-        placed.join(spans.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group")))
+        placed.join(materialise(spans, "spans"), F.col(group).eqNullSafe(F.col("_group")))
         .withColumn(name, F.col("_global") - F.col("_first"))
         .drop("_global", "_first", "_group")
     )

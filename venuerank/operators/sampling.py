@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from venuerank.functions.hashing import below, draw
+from venuerank.session import materialise
 
 _BUCKET_DIGITS = 4  # 65,536 buckets of draws
 
@@ -53,8 +54,9 @@ def take_by_draw(df: DataFrame, key: str, stratum: Column, quota: Column, seed:
     limits = sizes.join(last_in, "_stratum", "left").select(
         "_stratum", "_last", (F.col("stratum_size") < quota).alias("_all")
     )
+    # one row per stratum, stored so that the planner sees how small it is and moves no ticket
     return (
-        tickets.join(limits, "_stratum")
+        tickets.join(materialise(limits, "limits"), "_stratum")
         .withColumn(flag, F.col("_all") | F.coalesce(F.col("_ticket") <= F.col("_last"), F.lit(False)))
         .drop("_stratum", "_ticket", "_last", "_all")
     )

@@ -55,10 +55,14 @@ def score_from_totals(totals: DataFrame, businesses: DataFrame) -> DataFrame:
     Reviews are summed per venue before the join, so only one row per venue is shuffled and a
     venue with a third of all reviews is combined on the map side.
     """
-    venues = with_grid_cell(businesses).groupBy(*schemas.SCORE_KEYS).agg(F.count(F.lit(1)).alias("copies"))
-    joined = venues.join(totals, "business_id")
+    sums = ["reviews", "avg_rating", "recency_sum"]
+    venues = (
+        with_grid_cell(businesses).join(totals, "business_id")
+        .groupBy(*schemas.SCORE_KEYS)  # a repeated business record repeats its reviews
+        .agg(F.count(F.lit(1)).alias("copies"), *[F.any_value(c).alias(c) for c in sums])
+    )
     return _with_scores(
-        joined.withColumn("review_count", F.col("reviews") * F.col("copies")).withColumn(
+        venues.withColumn("review_count", F.col("reviews") * F.col("copies")).withColumn(
             "recency_score", F.col("recency_sum") / F.col("reviews")
         )
     )

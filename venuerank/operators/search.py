@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from venuerank.functions.scoring import score_order
-from venuerank.functions.text import strip, tokens, unigrams_and_bigrams
+from venuerank.functions.text import strip, unigrams_and_bigrams
 from venuerank.operators.ranking import top_per_group
+from venuerank.session import materialise
+from venuerank.sources.raw import join_path, read_table
 
 VOCABULARY_SIZE = 20_000
 RESULTS = 10
@@ -24,8 +26,7 @@ class TextIndex(NamedTuple):
 
 def term_counts(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """How often each one- or two-word term occurs in each text."""
-    words = texts.select(*keys, tokens(F.col(text)).alias("words"))
-    terms = words.select(*keys, F.explode(unigrams_and_bigrams(F.col("words"))).alias("term"))
+    terms = texts.select(*keys, F.explode(unigrams_and_bigrams(F.col(text))).alias("term"))
     return terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -37,7 +38,7 @@ def build_vocabulary(terms: DataFrame, profiles: DataFrame, size: int = VOCABULA
     kept = top_per_group(
         corpus, ["metro_area"], [F.col("corpus_count").desc(), F.col("term").asc()], size, ["term"], "place", 256
     ).drop("place")
-    documents = profiles.groupBy("metro_area").agg(F.count(F.lit(1)).alias("documents"))
+    documents = materialise(profiles.groupBy("metro_area").agg(F.count(F.lit(1)).alias("documents")), "documents")
     idf = F.ln((1 + F.col("documents")) / (1 + F.col("doc_count"))) + 1
     return kept.join(documents, "metro_area").withColumn("idf", idf).drop("documents")
 
@@ -45,8 +46,9 @@ def build_vocabulary(terms: DataFrame, profiles: DataFrame, size: int = VOCABULA
 def build_index(profiles: DataFrame, size: int = VOCABULARY_SIZE) -> TextIndex:
     """Sublinear TF-IDF of every profile, each venue's vector scaled to unit length."""
     located = profiles.filter(F.col("metro_area").isNotNull())
-    terms = term_counts(located, ["metro_area", "business_id"], "profile_text")
-    vocabulary = build_vocabulary(terms, located, size)
+    # stored, because both are read twice and only their written size tells what may be broadcast
+    terms = materialise(term_counts(located, ["metro_area", "business_id"], "profile_text"), "terms")
+    vocabulary = materialise(build_vocabulary(terms, located, size), "vocabulary")
     # a profile holds a fixed number of short snippets, so its terms fit any task
     venue = Window.partitionBy("metro_area", "business_id")
     raw = (1 + F.ln("tf")) * F.col("idf")
@@ -59,6 +61,17 @@ def build_index(profiles: DataFrame, size: int = VOCABULARY_SIZE) -> TextIndex:
     return TextIndex(vocabulary, weights)
 
 
+def store_index(index: TextIndex, path: str) -> None:
+    """Keep an index for later searches, by metro and ordered by term for file skipping."""
+    for name, table in index._asdict().items():
+        by_metro = table.hint("rebalance", "metro_area").sortWithinPartitions("metro_area", "term")
+        by_metro.write.mode("overwrite").partitionBy("metro_area").parquet(join_path(path, name))
+
+
+def load_index(spark: SparkSession, path: str) -> TextIndex:
+    return TextIndex(*[read_table(spark, path, name) for name in TextIndex._fields])
+
+
 def _query_weights(queries: DataFrame, vocabulary: DataFrame) -> DataFrame:
     terms = term_counts(queries, ["query_id", "metro_area"], "query")
     query = Window.partitionBy("query_id", "metro_area")
@@ -74,7 +87,7 @@ def _query_weights(queries: DataFrame, vocabulary: DataFrame) -> DataFrame:
 def _standing(profiles: DataFrame) -> DataFrame:
     """The part of the score that no query changes: review volume and rating."""
     volume = F.log1p(F.coalesce(F.col("review_count"), F.lit(0)).cast("double"))
-    loudest = profiles.groupBy("metro_area").agg(F.max(volume).alias("loudest"))
+    loudest = materialise(profiles.groupBy("metro_area").agg(F.max(volume).alias("loudest")), "loudest")
     relative = volume / F.when(F.col("loudest") > 0, F.col("loudest")).otherwise(1.0)
     rating = F.coalesce(F.col("avg_rating"), F.lit(0.0)) / 5
     return (
@@ -99,8 +112,10 @@ def search(
     located = profiles.filter(F.col("metro_area").isNotNull())
     index = index or build_index(located)
     venue = ["metro_area", "business_id"]
+    # stored first: a few queries are broadcast and the index is read in place, many are joined by shuffle
+    query_weights = materialise(_query_weights(asked, index.vocabulary), "query-weights")
     matches = (
-        index.weights.join(_query_weights(asked, index.vocabulary), ["metro_area", "term"])
+        index.weights.join(query_weights, ["metro_area", "term"])
         .groupBy("query_id", *venue)
         .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("match_score"))
     )

@@ -96,9 +96,7 @@ class Gold:
     @cached_property
     def text_index(self) -> search.TextIndex:
         index = search.build_index(self.profiles)
-        return search.TextIndex(
-            materialise(index.vocabulary, "vocabulary"), materialise(index.weights, "term-weights")
-        )
+        return index._replace(weights=materialise(index.weights, "term-weights"))
 
     @cached_property
     def ratings(self) -> DataFrame:

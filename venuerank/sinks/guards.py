@@ -6,11 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def complete_rows(df: DataFrame, required: list[str]) -> DataFrame:
-    """Rows in which every required column is filled in."""
-    return df.dropna(subset=required)
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
 

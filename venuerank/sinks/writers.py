@@ -9,8 +9,9 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 
 from venuerank import schemas
+from venuerank.functions.rows import complete_rows
 from venuerank.operators.profiles import sanitise
-from venuerank.sinks.guards import complete_rows, require_unique
+from venuerank.sinks.guards import require_unique
 
 log = logging.getLogger(__name__)
 
