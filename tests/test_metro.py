@@ -1,0 +1,118 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from venuerank.operators import metro
+
+SCHEMA = "city_key string, city string, state string, center_lat double, center_lng double, total_reviews long"
+
+
+def km(a, b):
+    lat1, lng1, lat2, lng2 = map(math.radians, (a[3], a[4], b[3], b[4]))
+    h = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lng2 - lng1) / 2) ** 2
+    return 2 * 6371.0 * math.asin(math.sqrt(min(1.0, h)))
+
+
+def walk(cities, radius):
+    """The plain rule: one city after the other, largest first."""
+    order = sorted(cities, key=lambda c: (-(c[5] if c[5] is not None else -2**62), c[0]))
+    anchors, names, found = [], set(), {}
+    for city in order:
+        home = next((a for a in anchors if km(a[0], city) <= radius), None)
+        if home is None:
+            name = city[1] if city[1] not in names else f"{city[1]}, {city[2]}"
+            names.add(name)
+            home = (city, name)
+            anchors.append(home)
+        found[city[0]] = (home[1], home[0][0])
+    return found
+
+
+def engine(spark, cities, radius):
+    table = metro.build_metro_map(spark.createDataFrame(cities, SCHEMA), radius)
+    return {r["city_key"]: (r["metro_area"], r["anchor_key"]) for r in table.collect()}
+
+
+def random_cities(rng, n, lat, lng, volumes=10**6):
+    cities = []
+    for i in range(n):
+        name, state = f"C{rng.randrange(max(2, n // 2))}", f"S{i}"
+        cities.append((f"{name}_{state}", name, state, rng.uniform(*lat), rng.uniform(*lng), rng.randrange(volumes)))
+    return cities
+
+
+@pytest.mark.parametrize("seed, n, lat, lng, radius", [
+    (1, 300, (30, 36), (-115, -108), 50.0),
+    (2, 250, (-2, 2), (-2, 2), 80.0),            # across the equator
+    (3, 200, (50, 54), (177, 183), 60.0),        # across the date line
+    (4, 200, (86, 90), (-180, 180), 120.0),      # around the pole
+    (5, 150, (-90, -87), (-180, 180), 300.0),    # around the other pole
+    (6, 200, (-60, 60), (-180, 180), 2500.0),    # radius of a continent
+    (7, 200, (40, 40.05), (10, 10.05), 1.0),     # small radius
+])
+def test_same_metros_as_the_sequential_walk(spark, seed, n, lat, lng, radius):
+    rng = random.Random(seed)
+    cities = [(*c[:4], (c[4] + 180) % 360 - 180, c[5]) for c in random_cities(rng, n, lat, lng)]
+    assert engine(spark, cities, radius) == walk(cities, radius)
+
+
+def test_equal_volumes_go_by_key(spark):
+    cities = random_cities(random.Random(8), 200, (30, 33), (-100, -97), volumes=3)
+    assert engine(spark, cities, 50.0) == walk(cities, 50.0)
+
+
+def test_input_order_is_irrelevant(spark):
+    cities = random_cities(random.Random(9), 80, (30, 32), (-100, -98))
+    shuffled = random.Random(10).sample(cities, len(cities))
+    assert engine(spark, cities, 50.0) == engine(spark, shuffled, 50.0)
+
+
+def test_chain_of_falling_volume(spark):
+    """Each city is near the next: every other one becomes an anchor, one after the other."""
+    cities = [(f"c{i:02}_X", f"c{i:02}", "X", 0.0, i * 0.4, 1000 - i) for i in range(12)]
+    anchors, rounds = metro.elect_anchors(metro._ordered_cities(spark.createDataFrame(cities, SCHEMA)), 50.0)
+    assert sorted(r["city_key"] for r in anchors.collect()) == [f"c{i:02}_X" for i in range(0, 12, 2)]
+    assert rounds >= 2
+    assert engine(spark, cities, 50.0) == walk(cities, 50.0)
+
+
+def test_names(spark):
+    cities = [
+        ("Portland_OR", "Portland", "OR", 45.52, -122.68, 900), ("Portland_ME", "Portland", "ME", 43.66, -70.26, 100),
+        ("Nashville_TN", "Nashville", "TN", 36.16, -86.78, 800), ("Brentwood_TN", "Brentwood", "TN", 36.03, -86.78, 50),
+    ]
+    found = {key: name for key, (name, _) in engine(spark, cities, 50.0).items()}
+    assert found == {"Portland_OR": "Portland", "Portland_ME": "Portland, ME", "Nashville_TN": "Nashville",
+                     "Brentwood_TN": "Nashville"}
+
+
+def test_highest_volume_anchor_wins_over_the_nearest(spark):
+    cities = [("big_X", "big", "X", 0.0, 0.0, 100), ("near_X", "near", "X", 0.0, 0.8, 90), ("mid_X", "mid", "X", 0.0, 0.43, 1)]
+    assert engine(spark, cities, 50.0)["mid_X"] == ("big", "big_X")
+
+
+def test_a_crowded_spot_is_settled_in_one_round(spark):
+    """All cities within one radius: the first settles the rest, without comparing pairs."""
+    crowd = spark.range(20_000).select(
+        F.concat(F.lit("k"), "id").alias("city_key"), F.concat(F.lit("n"), "id").alias("city"), F.lit("X").alias("state"),
+        (F.lit(40.0) + (F.col("id") % 100) * 0.0001).alias("center_lat"), F.lit(10.0).alias("center_lng"),
+        (F.col("id") * 7919 % 20_011).alias("total_reviews"))
+    anchors, rounds = metro.elect_anchors(metro._ordered_cities(crowd), 50.0)
+    assert (anchors.count(), rounds) == (1, 1)
+    assert metro.build_metro_map(crowd).select("metro_area").distinct().count() == 1
+
+
+def test_unknown_volume_comes_last_and_unkeyed_cities_are_left_out(spark):
+    cities = [("a_X", "a", "X", 0.0, 0.0, None), ("b_X", "b", "X", 0.0, 0.1, 0), (None, "c", None, 0.0, 0.2, 99)]
+    assert engine(spark, cities, 50.0) == {"a_X": ("b", "b_X"), "b_X": ("b", "b_X")}
+
+
+def test_no_cities(spark):
+    assert engine(spark, [], 50.0) == {}
+
+
+def test_radius_must_be_positive(spark):
+    with pytest.raises(ValueError):
+        engine(spark, [("a_X", "a", "X", 0.0, 0.0, 1)], 0.0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from venuerank import schemas
 
@@ -19,10 +20,10 @@ def read_json(spark: SparkSession, base: str, filename: str, entity: str) -> Dat
 
 
 def malformed_lines(spark: SparkSession, base: str, filename: str, entity: str) -> DataFrame:
-    """The lines `read_json` could not read."""
-    schema = schemas.RAW[entity].add("malformed", "string")
+    """Rows for the lines `read_json` could not read, with the line as `malformed`."""
+    schema = T.StructType([*schemas.RAW[entity].fields, T.StructField("malformed", T.StringType())])
     reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "malformed")
-    return reader.json(join_path(base, filename)).filter(F.col("malformed").isNotNull()).select("malformed")
+    return reader.json(join_path(base, filename)).filter(F.col("malformed").isNotNull())
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
