@@ -27,16 +27,18 @@ def binary_labels(reviews: DataFrame) -> DataFrame:
 
 
 def prepare(reviews: DataFrame, cap: int = SAMPLE_ROWS) -> DataFrame:
-    """Labelled, capped and split `review_id, text, label, is_test`, stored once."""
-    labelled = binary_labels(reviews).select("review_id", F.coalesce("text", F.lit("")).alias("text"), "label")
-    sample = capped_sample(labelled, "review_id", cap, SEED)
-    return materialise(stratified_split(sample, "review_id", "label", TEST_FRACTION, SEED), "labelled")
+    """Labelled, capped and split `review_id, label, is_test, terms`, stored once."""
+    labelled = binary_labels(reviews).select("review_id", "text", "label")
+    sample = materialise(capped_sample(labelled, "review_id", cap, SEED), "sample")
+    split = stratified_split(sample, "review_id", "label", TEST_FRACTION, SEED)
+    return materialise(
+        split.select("review_id", "label", "is_test", unigrams_and_bigrams(F.col("text")).alias("terms")), "labelled"
+    )
 
 
 def predict_held_out(reviews: DataFrame, cap: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY_SIZE) -> DataFrame:
     """`review_id, label, prediction` of the held-out reviews."""
-    rows = prepare(reviews, cap)
-    terms = rows.select("review_id", "label", "is_test", unigrams_and_bigrams(F.col("text")).alias("terms"))
+    terms = prepare(reviews, cap)
     train, test = terms.filter(~F.col("is_test")), terms.filter("is_test")
     sizes = train.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes")).first()
     if sizes["classes"] < 2:
@@ -55,7 +57,7 @@ def predict_held_out(reviews: DataFrame, cap: int = SAMPLE_ROWS, vocabulary: int
 
     # strength 1 of the ridge penalty on the summed loss is 1/n on the mean loss
     model = LogisticRegression(
-        maxIter=1000, regParam=1.0 / sizes["n"], elasticNetParam=0.0, standardization=False
+        maxIter=1000, tol=1e-4, regParam=1.0 / sizes["n"], elasticNetParam=0.0, standardization=False
     ).fit(materialise(features(train), "features"))
     return model.transform(features(test)).select("review_id", "label", "prediction")
 

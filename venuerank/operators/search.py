@@ -46,8 +46,11 @@ def build_vocabulary(terms: DataFrame, profiles: DataFrame, size: int = VOCABULA
 def build_index(profiles: DataFrame, size: int = VOCABULARY_SIZE) -> TextIndex:
     """Sublinear TF-IDF of every profile, each venue's vector scaled to unit length."""
     located = profiles.filter(F.col("metro_area").isNotNull())
+    # one row per venue: moving the short texts to their venue's partition lets the much longer
+    # list of terms be counted in place
+    placed = located.select("metro_area", "business_id", "profile_text").repartition("business_id")
     # stored, because both are read twice and only their written size tells what may be broadcast
-    terms = materialise(term_counts(located, ["metro_area", "business_id"], "profile_text"), "terms")
+    terms = materialise(term_counts(placed, ["metro_area", "business_id"], "profile_text"), "terms")
     vocabulary = materialise(build_vocabulary(terms, located, size), "vocabulary")
     # a profile holds a fixed number of short snippets, so its terms fit any task
     venue = Window.partitionBy("metro_area", "business_id")
