@@ -72,7 +72,7 @@ def test_input_order_is_irrelevant(spark):
 def test_chain_of_falling_volume(spark):
     """Each city is near the next: every other one becomes an anchor, one after the other."""
     cities = [(f"c{i:02}_X", f"c{i:02}", "X", 0.0, i * 0.4, 1000 - i) for i in range(12)]
-    anchors, rounds = metro.elect_anchors(metro._ordered_cities(spark.createDataFrame(cities, SCHEMA)), 50.0)
+    anchors, rounds = metro.elect_anchors(metro.located_cities(spark.createDataFrame(cities, SCHEMA), 50.0), 50.0)
     assert sorted(r["city_key"] for r in anchors.collect()) == [f"c{i:02}_X" for i in range(0, 12, 2)]
     assert rounds >= 2
     assert engine(spark, cities, 50.0) == walk(cities, 50.0)
@@ -99,7 +99,7 @@ def test_a_crowded_spot_is_settled_in_one_round(spark):
         F.concat(F.lit("k"), "id").alias("city_key"), F.concat(F.lit("n"), "id").alias("city"), F.lit("X").alias("state"),
         (F.lit(40.0) + (F.col("id") % 100) * 0.0001).alias("center_lat"), F.lit(10.0).alias("center_lng"),
         (F.col("id") * 7919 % 20_011).alias("total_reviews"))
-    anchors, rounds = metro.elect_anchors(metro._ordered_cities(crowd), 50.0)
+    anchors, rounds = metro.elect_anchors(metro.located_cities(crowd, 50.0), 50.0)
     assert (anchors.count(), rounds) == (1, 1)
     assert metro.build_metro_map(crowd).select("metro_area").distinct().count() == 1
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from venuerank.functions.geo import EARTH_RADIUS_KM, haversine_km
-from venuerank.session import materialise, materialise_counted
+from venuerank.session import materialise
 
 METRO_RADIUS_KM = 50.0
 _CELL = ["band", "slot"]
@@ -95,38 +95,46 @@ def _near(left: str, right: str, radius_km: float) -> Column:
     )
 
 
-def _ordered_cities(cities: DataFrame) -> DataFrame:
+def located_cities(cities: DataFrame, radius_km: float) -> DataFrame:
+    """Cities with their turn and cell, stored."""
     # ascending structs put the largest volume first, unknown volumes last
     volume = F.coalesce(-F.col("total_reviews"), F.lit(2**63 - 1))
-    return cities.filter(F.col("city_key").isNotNull()).select(
+    keyed = cities.filter(F.col("city_key").isNotNull()).select(
         F.struct(volume.alias("volume"), F.col("city_key")).alias("turn"),
         "city_key", "city", "state",
         F.col("center_lat").alias("lat"), F.col("center_lng").alias("lng"),
     )
+    return materialise(_Cells(radius_km).locate(keyed), "cities")
 
 
 def elect_anchors(cities: DataFrame, radius_km: float) -> tuple[DataFrame, int]:
-    """Anchor cities, and the number of rounds it took to find them."""
+    """Anchors among stored, located cities, and the number of rounds it took to find them.
+
+    Every round is one job that writes the cities still waiting with what became of them.
+    """
     cells = _Cells(radius_km)
-    waiting, left = materialise_counted(cells.locate(cities), "waiting")
-    columns = [c for c in waiting.columns if c not in _CELL]
-    found: list[DataFrame] = []
-    while left or not found:
+    columns = [c for c in cities.columns if c not in _CELL]
+    waiting, left = cities, cities.count()
+    found = [cities.limit(0)]
+    while left:
         best = waiting.groupBy(*_CELL).agg(F.min(F.struct(*columns)).alias("best")).select("best.*")
         rivals = (
             _named(cells.spread(best), "a_").join(_named(waiting, "b_"), _CELL)
             .filter((F.col("b_turn") < F.col("a_turn")) & _near("a_", "b_", radius_km))
             .select(F.col("a_city_key").alias("city_key")).distinct()
         )
-        anchors = materialise(best.join(rivals, "city_key", "left_anti"), "anchors")
+        anchors = best.join(rivals, "city_key", "left_anti")
         settled = (
             _named(cells.spread(anchors), "a_").join(_named(waiting, "b_"), _CELL)
             .filter(_near("a_", "b_", radius_km))
-            .select(F.col("b_city_key").alias("city_key")).distinct()
+            .groupBy(F.col("b_city_key").alias("city_key"))
+            .agg(F.max(F.col("a_city_key") == F.col("b_city_key")).alias("is_anchor"))
         )
-        waiting, left = materialise_counted(waiting.join(settled, "city_key", "left_anti"), "waiting")
-        found.append(anchors)
-    return reduce(DataFrame.unionByName, found), len(found)
+        outcome = materialise(waiting.join(settled, "city_key", "left"), "round")
+        found.append(outcome.filter("is_anchor").drop("is_anchor"))
+        waiting = outcome.filter(F.col("is_anchor").isNull()).drop("is_anchor")
+        left = waiting.count()
+    return reduce(DataFrame.unionByName, found), len(found) - 1
 
 
 def name_metros(anchors: DataFrame) -> DataFrame:
@@ -147,14 +155,14 @@ def build_metro_map(city_table: DataFrame, radius_km: float = METRO_RADIUS_KM) -
     if radius_km <= 0:
         raise ValueError("radius_km must be positive")
     cells = _Cells(radius_km)
-    cities = materialise(_ordered_cities(city_table), "cities")
+    cities = located_cities(city_table, radius_km)
     anchors, _ = elect_anchors(cities, radius_km)
     claim = F.struct(
         F.col("a_metro_area").alias("metro_area"), F.col("a_city_key").alias("anchor_key"),
         haversine_km(F.col("a_lat"), F.col("a_lng"), F.col("b_lat"), F.col("b_lng")).alias("distance_km"),
     )
     claimed = (
-        _named(cells.spread(name_metros(anchors)), "a_").join(_named(cells.locate(cities), "b_"), _CELL)
+        _named(cells.spread(name_metros(anchors)), "a_").join(_named(cities, "b_"), _CELL)
         .filter(_near("a_", "b_", radius_km))
         .groupBy(F.col("b_city_key").alias("city_key"))
         .agg(F.min_by(claim, "a_turn").alias("claim"))

@@ -31,12 +31,28 @@ def term_counts(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 
 def build_vocabulary(terms: DataFrame, profiles: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """The most frequent terms of each metro with their smoothed inverse document frequency."""
-    corpus = terms.groupBy("metro_area", "term").agg(
-        F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("doc_count")
+    """The most frequent terms of each metro with their smoothed inverse document frequency.
+
+    Most terms are too rare to get in. A histogram of counts, which has few rows whatever the
+    number of terms, gives the least count that can; only terms from there on are ranked.
+    """
+    corpus = materialise(
+        terms.groupBy("metro_area", "term").agg(
+            F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("doc_count")
+        ), "corpus",
+    )
+    frequent_first = Window.partitionBy("metro_area").orderBy(F.desc("corpus_count"))
+    least = (
+        corpus.groupBy("metro_area", "corpus_count").agg(F.count(F.lit(1)).alias("terms"))
+        .withColumn("terms", F.sum("terms").over(frequent_first))
+        .filter(F.col("terms") >= size)
+        .groupBy("metro_area").agg(F.max("corpus_count").alias("least"))
+    )
+    contenders = corpus.join(materialise(least, "least-counts"), "metro_area", "left").filter(
+        F.col("corpus_count") >= F.coalesce("least", F.lit(0))
     )
     kept = top_per_group(
-        corpus, ["metro_area"], [F.col("corpus_count").desc(), F.col("term").asc()], size, ["term"], "place", 256
+        contenders.drop("least"), ["metro_area"], [F.col("corpus_count").desc(), F.col("term").asc()], size, ["term"], "place"
     ).drop("place")
     documents = materialise(profiles.groupBy("metro_area").agg(F.count(F.lit(1)).alias("documents")), "documents")
     idf = F.ln((1 + F.col("documents")) / (1 + F.col("doc_count"))) + 1

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from venuerank import schemas
 from venuerank.functions.geo import with_grid_cell
 from venuerank.functions.scoring import (
-    CHART_COLOURS, banded, bayesian_score, half_even, is_negative, is_positive, star_label,
+    CHART_COLOURS, banded, bayesian_score, half_even, is_negative, is_positive, score_order, star_label,
 )
 
+CELL_CHARS = 18
+
 
 def _scored(counts: DataFrame) -> DataFrame:
     judged = F.col("positive_count") + F.col("negative_count")
@@ -101,6 +103,14 @@ def bayesian_cells(grid: DataFrame, sentiment: DataFrame) -> DataFrame:
     )
 
 
+def sentiment_chart(scored_cells: DataFrame) -> DataFrame:
+    """Raw and shrunk score of each metro's cells on one 0-10 scale, best first."""
+    return scored_cells.select(
+        "metro_area", F.substring("grid_cell", 1, CELL_CHARS).alias("cell"), (F.col("raw_score") * 10).alias("raw"),
+        "bayesian_score", (F.col("global_rate") * 10).alias("city_average"), "band",
+    ).orderBy("metro_area", score_order("bayesian_score"), "cell")
+
+
 def spatial_coverage(grid: DataFrame, scored_cells: DataFrame) -> DataFrame:
     """Cells with their popularity and, where known, their shrunk sentiment."""
     scores = scored_cells.select("grid_cell", "metro_area", "bayesian_score")

@@ -28,6 +28,10 @@ def in_metro(table: DataFrame, metro: str) -> DataFrame:
     return table.filter(F.col("metro_area") == metro)
 
 
+def in_city(table: DataFrame, city: str) -> DataFrame:
+    return table.filter(F.col("city") == city)
+
+
 def metros(business_scores: DataFrame) -> DataFrame:
     return business_scores.select("metro_area").distinct().orderBy("metro_area")
 

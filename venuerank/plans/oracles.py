@@ -381,6 +381,17 @@ ORACLES: dict[str, str] = {
         "SELECT g.metro_area, g.grid_cell, g.restaurant_count, "
         + _r("center_lat", "center_lng", "avg_popularity", "bayesian_score")
         + " FROM grid g LEFT JOIN bayes b ON b.grid_cell = g.grid_cell AND b.metro_area = g.metro_area", "grid", "bayes"),
+    "sentiment_chart": sql(
+        "SELECT metro_area, substring(grid_cell, 1, 18) AS cell, round(raw_score * 10, 6) AS raw,"
+        " round(global_rate * 10, 6) AS city_average, "
+        + _band("bayesian_score", "8", "6", ("#c62828", "#e65100", "#2e7d32")) + " AS band, "
+        + _r("bayesian_score") + " FROM bayes", "bayes"),
+    "metro_centres": sql(
+        "SELECT metro_area, round(avg(center_lat), 6) AS city_lat, round(avg(center_lng), 6) AS city_lng"
+        " FROM grid GROUP BY metro_area", "grid"),
+    "largest_cells": sql("""
+        SELECT metro_area, grid_cell FROM grid
+        QUALIFY row_number() OVER (PARTITION BY metro_area ORDER BY restaurant_count DESC, grid_cell) <= 10""", "grid"),
     "neighborhood_labels": sql(
         "SELECT metro_area, grid_cell, restaurant_count, neighborhood, " + _r("center_lat", "center_lng")
         + " FROM labelled", "labelled"),

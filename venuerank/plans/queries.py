@@ -12,7 +12,7 @@ from venuerank.functions.scoring import status
 from venuerank.operators import (
     classifier, clean, explore, metro, profiles, recommend, sampling, scores, search, sentiment, serving,
 )
-from venuerank.operators.neighborhoods import add_neighborhood_labels
+from venuerank.operators.neighborhoods import add_neighborhood_labels, largest_cells, metro_centres
 from venuerank.operators.ranking import ordered_position
 from venuerank.plans.gold import Gold, gold
 from venuerank.session import materialise
@@ -232,7 +232,10 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "cell_sentiment": lambda g: sentiment.cell_sentiment(g.grid_aggregates, g.grid_sentiment),
     "satisfaction_ranking": satisfaction_ranking,
     "bayesian_cells": bayesian_cells,
+    "sentiment_chart": lambda g: sentiment.sentiment_chart(bayesian_cells(g)),
     "spatial_coverage": spatial_coverage,
+    "metro_centres": lambda g: metro_centres(g.grid_aggregates),
+    "largest_cells": lambda g: largest_cells(g.grid_aggregates),
     "neighborhood_labels": neighborhood_labels,
     "cell_bounds": lambda g: serving.cell_rectangles(g.grid_aggregates),
     "heat_points": lambda g: serving.heat_points(g.grid_aggregates),

@@ -79,12 +79,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialise_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """`materialise`, with the row count taken from the written files' footers."""
-    stored = materialise(df, label)
-    return stored, stored.count()
-
-
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; call when its results are stored."""
     jvm = spark.sparkContext._jvm
