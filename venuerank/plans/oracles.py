@@ -8,7 +8,7 @@ metro areas, for example, are assigned by a sequential walk over the cities.
 from __future__ import annotations
 
 from venuerank.functions.vocabulary import CUISINE_TAGS, FOOD_AND_DRINK_TAGS
-from venuerank.plans.queries import CUISINE, METRO, MIN_PROFILED, PHRASES, SAMPLE, TASTE
+from venuerank.plans.queries import CUISINE, METRO, MIN_PROFILED, PHRASES, SAMPLE, TASTE, digits
 
 AS_OF = "2002-01-01"
 BLANKS = "(' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
@@ -313,7 +313,7 @@ def sql(query: str, *needs: str) -> str:
 
 
 def _r(*columns: str) -> str:
-    return ", ".join(f"round({c}, 6) AS {c}" for c in columns)
+    return ", ".join(f"round({c}, {digits(c)}) AS {c}" for c in columns)
 
 
 _SCORE_ROW = "business_id, name, metro_area, city, grid_cell, categories, review_count, " + _r(
@@ -387,8 +387,9 @@ ORACLES: dict[str, str] = {
         + _band("bayesian_score", "8", "6", ("#c62828", "#e65100", "#2e7d32")) + " AS band, "
         + _r("bayesian_score") + " FROM bayes", "bayes"),
     "metro_centres": sql(
-        "SELECT metro_area, round(avg(center_lat), 6) AS city_lat, round(avg(center_lng), 6) AS city_lng"
-        " FROM grid GROUP BY metro_area", "grid"),
+        "SELECT metro_area, " + _r("city_lat", "city_lng")
+        + " FROM (SELECT metro_area, avg(center_lat) AS city_lat, avg(center_lng) AS city_lng FROM grid GROUP BY metro_area)",
+        "grid"),
     "largest_cells": sql("""
         SELECT metro_area, grid_cell FROM grid
         QUALIFY row_number() OVER (PARTITION BY metro_area ORDER BY restaurant_count DESC, grid_cell) <= 10""", "grid"),

@@ -19,7 +19,11 @@ from venuerank.session import materialise
 from venuerank.sinks.guards import duplicate_keys
 from venuerank.sources import star_schema
 
+# Digits compared. Means of coordinates given to a thousandth often end in a 5 at the seventh
+# digit, where rounding would hang on the last bits; they are compared to two digits more.
 DIGITS = 6
+CENTRE_DIGITS = 8
+CENTRES = {"center_lat", "center_lng", "city_lat", "city_lng"}
 METRO = "City 1"
 CUISINE = "Mexican"
 TASTE = ["Mexican", "Bars"]
@@ -28,10 +32,14 @@ MIN_PROFILED = 60
 SAMPLE = 10_000
 
 
+def digits(column: str) -> int:
+    return CENTRE_DIGITS if column in CENTRES else DIGITS
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Sums of doubles differ in their last bits between engines and runs."""
     return df.select(*[
-        F.round(c, DIGITS).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes
+        F.round(c, digits(c)).alias(c) if t in ("double", "float") else F.col(c) for c, t in df.dtypes
     ])
 
 
