@@ -133,6 +133,7 @@ def test_jdbc_options():
     settings = writers.jdbc_settings({"VENUE_DB_URL": "jdbc:x://h/d", "VENUE_DB_USER": "u", "VENUE_DB_PASSWORD": "p"})
     options = writers.jdbc_options("als_recommendations", settings, connections=3, batch=50)
     assert options["dbtable"] == "als_recommendations" and options["numPartitions"] == "3" and options["batchsize"] == "50"
+    assert options["truncate"] == "true"
     assert options["createTableColumnTypes"] == "user_id VARCHAR(50), business_id VARCHAR(50)"
     assert options["driver"] == "org.postgresql.Driver"
     assert "createTableColumnTypes" not in writers.jdbc_options("other", settings)

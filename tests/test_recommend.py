@@ -81,6 +81,9 @@ def test_fit_and_recommend(spark):
     assert recs.groupBy("user_id").count().agg(F.max("count")).first()[0] == 5
     assert recs.columns == ["user_id", "business_id", "predicted_rating", "rank"]
     assert rmse.first()["rmse"] > 0
+    chosen, _ = recommend.fit_and_recommend(
+        rows, "review_id", 5, cross_validate=True, ranks=(2,), reg_params=(0.1, 1.0), max_iter=2)
+    assert chosen.groupBy("user_id").count().agg(F.max("count")).first()[0] == 5
     train, test = split_by_key(rows, "review_id")
     assert train.count() + test.count() == 400
 
@@ -110,5 +113,9 @@ def test_precision(spark, rows, options, expected):
     assert precision(spark, rows, **options) == expected
 
 
+def test_blocks_grow_with_the_ratings():
+    assert [recommend.blocks_for(n) for n in (0, 10**6, 10**8, 10**12)] == [10, 10, 50, 1000]
+
+
 def test_matrix_size(ratings):
     assert tuple(recommend.matrix_size(ratings).first()) == (10, 3, 4)

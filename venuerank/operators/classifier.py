@@ -19,6 +19,8 @@ SAMPLE_ROWS = 200_000
 TEST_FRACTION = 0.2
 SEED = 42
 MIN_F1 = 0.80
+MAX_PARTS = 64
+FIT_ROWS_PER_PART = 12_500  # the fit takes hundreds of short passes, so parts should not be small
 
 
 def binary_labels(reviews: DataFrame) -> DataFrame:
@@ -29,7 +31,9 @@ def binary_labels(reviews: DataFrame) -> DataFrame:
 def prepare(reviews: DataFrame, cap: int = SAMPLE_ROWS) -> DataFrame:
     """Labelled, capped and split `review_id, label, is_test, terms`, stored once."""
     labelled = binary_labels(reviews).select("review_id", "text", "label")
-    sample = materialise(capped_sample(labelled, "review_id", cap, SEED), "sample")
+    # the sample is small; spread evenly, every pass over it uses all cores it can
+    parts = min(labelled.sparkSession.sparkContext.defaultParallelism, MAX_PARTS)
+    sample = materialise(capped_sample(labelled, "review_id", cap, SEED).repartition(parts), "sample")
     split = stratified_split(sample, "review_id", "label", TEST_FRACTION, SEED)
     return materialise(
         split.select("review_id", "label", "is_test", unigrams_and_bigrams(F.col("text")).alias("terms")), "labelled"
@@ -58,7 +62,7 @@ def predict_held_out(reviews: DataFrame, cap: int = SAMPLE_ROWS, vocabulary: int
     # strength 1 of the ridge penalty on the summed loss is 1/n on the mean loss
     model = LogisticRegression(
         maxIter=1000, tol=1e-4, regParam=1.0 / sizes["n"], elasticNetParam=0.0, standardization=False
-    ).fit(materialise(features(train), "features"))
+    ).fit(materialise(features(train), "features").coalesce(1 + sizes["n"] // FIT_ROWS_PER_PART))
     return model.transform(features(test)).select("review_id", "label", "prediction")
 
 

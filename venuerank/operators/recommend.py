@@ -20,6 +20,7 @@ RANK, ITERATIONS, REGULARISATION = 20, 10, 0.1
 TOP_N = 10
 SEED = 42
 MAX_RMSE = 1.5
+MIN_BLOCKS, MAX_BLOCKS, RATINGS_PER_BLOCK = 10, 1000, 2_000_000
 
 
 class RatingMatrix(NamedTuple):
@@ -48,13 +49,18 @@ def build_user_item_matrix(ratings: DataFrame, keep: tuple[str, ...] = ()) -> Ra
     return RatingMatrix(matrix, users, businesses)
 
 
-def _als(rank: int, iterations: int, regularisation: float, blocks: int | None) -> ALS:
+def blocks_for(ratings: int) -> int:
+    """Factor blocks for so many ratings: the library's ten do for small data only."""
+    return min(MAX_BLOCKS, max(MIN_BLOCKS, ratings // RATINGS_PER_BLOCK))
+
+
+def _als(rank: int, iterations: int, regularisation: float, blocks: int) -> ALS:
     als = ALS(
         userCol="user_idx", itemCol="business_idx", ratingCol="stars",
         rank=rank, maxIter=iterations, regParam=regularisation,
         nonnegative=True, coldStartStrategy="drop", seed=SEED,
     )
-    return als.setNumBlocks(blocks) if blocks else als
+    return als.setNumBlocks(blocks)
 
 
 def train_als(
@@ -62,7 +68,7 @@ def train_als(
     blocks: int | None = None,
 ) -> ALSModel:
     ensure_checkpoint_dir(train.sparkSession)
-    return _als(rank, max_iter, reg_param, blocks).fit(train)
+    return _als(rank, max_iter, reg_param, blocks or blocks_for(train.count())).fit(train)
 
 
 def rmse_evaluator() -> RegressionEvaluator:
@@ -76,7 +82,7 @@ def grid_search(
     """Best model by cross-validated RMSE, and `rank, reg_param, rmse, is_best` of the grid."""
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
-    als = _als(RANK, max_iter, REGULARISATION, None)
+    als = _als(RANK, max_iter, REGULARISATION, blocks_for(train.count()))
     grid = ParamGridBuilder().addGrid(als.rank, list(ranks)).addGrid(als.regParam, list(reg_params)).build()
     search = CrossValidator(
         estimator=als, estimatorParamMaps=grid, evaluator=rmse_evaluator(),
@@ -143,12 +149,18 @@ def generate_recommendations(
     )
 
 
-def fit_and_recommend(ratings: DataFrame, key: str, top_n: int = TOP_N, **params) -> tuple[DataFrame, DataFrame]:
-    """Recommendations from a model trained on 80 % of the ratings, and its RMSE on the rest."""
+def fit_and_recommend(
+    ratings: DataFrame, key: str, top_n: int = TOP_N, cross_validate: bool = False, **params
+) -> tuple[DataFrame, DataFrame]:
+    """Recommendations from a model trained on 80 % of the ratings, and its RMSE on the rest.
+
+    `params` go to `train_als`, or to `grid_search` when the model is chosen by cross-validation.
+    """
     matrix = build_user_item_matrix(ratings, (key,))
     matrix = matrix._replace(ratings=materialise(matrix.ratings, "ratings"))
     train, test = split_by_key(matrix.ratings, key)
-    model = train_als(train.drop(key), **params)
+    train = train.drop(key)
+    model = grid_search(train, **params)[0] if cross_validate else train_als(train, **params)
     rmse = rmse_table(model.transform(test), "stars", "prediction")
     return generate_recommendations(model, matrix, top_n), rmse
 

@@ -71,13 +71,10 @@ def _aggregate(spark: SparkSession, options: BatchOptions, sink: _Sink) -> None:
 def _recommend(spark: SparkSession, options: BatchOptions, sink: _Sink) -> None:
     enriched = read_table(spark, options.output, "reviews_enriched")
     rated = enriched.select("review_id", "user_id", "business_id", F.col("stars").cast("float").alias("stars"))
-    params = {"rank": options.rank, "reg_param": options.reg_param}
-    if options.cross_validate:
-        matrix = recommend.build_user_item_matrix(rated)
-        _, table = recommend.grid_search(materialise(matrix.ratings, "ratings"))
-        best = table.filter("is_best").first()
-        params = {"rank": best["rank"], "reg_param": best["reg_param"]}
-    recommendations, rmse = recommend.fit_and_recommend(rated, "review_id", max_iter=options.max_iter, **params)
+    fixed = {} if options.cross_validate else {"rank": options.rank, "reg_param": options.reg_param}
+    recommendations, rmse = recommend.fit_and_recommend(
+        rated, "review_id", cross_validate=options.cross_validate, max_iter=options.max_iter, **fixed
+    )
     sink.store(recommendations, "als_recommendations")
     sink.store(rmse, "als_rmse")
     sink.publish(spark, "als_recommendations")

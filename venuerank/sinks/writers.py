@@ -50,6 +50,7 @@ def jdbc_options(table: str, settings: Mapping[str, str], connections: int = 8,
         "dbtable": table,
         "numPartitions": str(connections),
         "batchsize": str(batch),
+        "truncate": "true",  # an existing table keeps its primary key and indexes
     }
     if table in schemas.JDBC_COLUMN_TYPES:
         options["createTableColumnTypes"] = schemas.JDBC_COLUMN_TYPES[table]
