@@ -7,7 +7,7 @@ order, is a table in the shared folder. Grouping compares the whole text, never
 so texts that collide on a key become separate entries of one chain, told apart by their place.
 
 Defined results: a null text counts as empty; empty texts are equal to each other; of equal texts
-the smallest doc_id stays, and a null doc_id sorts before all others; repeated rows are members of
+the smallest doc_id stays, a null one only where the group has no other; repeated rows are members of
 one group like any other; an empty table gives no rows; columns other than `doc_id` and `text`
 are ignored.
 """
@@ -80,8 +80,8 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, D
     # all rows repeat reaches its owner once per map task
     entries = (
         keyed.groupBy("key", "norm")
-        .agg(F.min(F.struct("doc_id")).alias("first"), F.count(F.lit(1)).alias("group_size"))
-        .select("key", F.sha2(F.col("norm"), 256).alias("text_sha256"), F.col("first.doc_id").alias("keep_id"), "group_size")
+        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        .select("key", F.sha2(F.col("norm"), 256).alias("text_sha256"), "keep_id", "group_size")
     )
     chain = Window.partitionBy("bucket", "key").orderBy("text_sha256")
     owned = (

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.llm import exact_dedup, sharding
+from venuerank.llm import exact_dedup, near_dup, nearest, packing, pieces, sharding, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages")).drop("payload", "url")
+
+
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(_table(spark, sf_dir, "documents"), shards=8).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -25,7 +38,23 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op6_sharding)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_exact_dedup, op2_pieces, op3_warc, op5_near_dup, op6_sharding, op7_toxicity, op8_packing, op10_nearest,
+)}
 
 ORACLES = {
     "op1_exact_dedup": r"""
