@@ -102,10 +102,24 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, D
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Per row: doc_id, keep_id, group_size, kept, text_sha256, and the entry's bucket, depth, chain.
 
-    Rows repeating one doc_id with equal texts all say kept; see `keep_first` for one row each.
+    Rows that repeat one doc_id with equal texts all say kept; `keep_first` leaves one of them.
     """
     rows, index = build_index(docs, capacity)
     return rows.join(index, ["key", "text_sha256"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
         "bucket", "depth", "chain",
     )
+
+
+def keep_first(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """The rows of `docs`, with all their columns, that stay: one per group of equal texts."""
+    rows, index = build_index(docs, capacity)
+    stay = index.select(F.col("key").alias("s_key"), F.col("text_sha256").alias("s_sha"), F.col("keep_id").alias("s_id"))
+    norm = normalised(F.col("text"))
+    packed = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", F.xxhash64(norm).alias("key"), F.sha2(norm, 256).alias("sha"))
+    same = (packed["key"] == stay["s_key"]) & (packed["sha"] == stay["s_sha"]) & packed["doc_id"].eqNullSafe(stay["s_id"])
+    kept = packed.join(stay, same, "left_semi")
+    again = rows.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if not again.isEmpty():  # rows that repeat both id and text
+        kept = kept.groupBy("key", "sha").agg(F.min("row").alias("row"))
+    return kept.select("row.*")

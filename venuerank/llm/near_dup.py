@@ -87,11 +87,11 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prints = np.array([(s.sum(dtype=np.uint64), mix(s ^ np.uint64(0x5DEECE66D)).sum(dtype=np.uint64)) for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    ids.slice(part.first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
+                    ids.slice(part.first, len(sets)), batch.column("digest").slice(part.first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(prints[:, 0].view(np.int64)), pa.array(prints[:, 1].view(np.int64)),
                     pa.array(sig, pa.list_(pa.int32())),
                 ],
-                names=["doc_id", "n_shingles", "print_a", "print_b", "signature"],
+                names=["doc_id", "digest", "n_shingles", "print_a", "print_b", "signature"],
             )
 
 
@@ -208,10 +208,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """Per row: doc_id, n_shingles, component_id, kept, and digest, a hash of the text."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
     sketches = materialise(
-        texts.mapInArrow(_sketch, "doc_id long, n_shingles long, print_a long, print_b long, signature array<int>"), "near-sketches"
+        texts.mapInArrow(_sketch, "doc_id long, digest long, n_shingles long, print_a long, print_b long, signature array<int>"), "near-sketches"
     )
     key = ["print_a", "print_b", "n_shingles"]
     classes = materialise(
@@ -245,7 +245,19 @@ def near_groups(docs: DataFrame) -> DataFrame:
     heads = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     ended = named.join(heads, "label").select(*key, "component_id")
     placed = sketches.join(ended, key, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return placed.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return placed.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "digest")
+
+
+def text_digest() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all their columns, that stay: those whose doc_id is their component's smallest."""
+    gone = near_groups(docs).filter("NOT kept").select(F.col("doc_id").alias("g_id"), F.col("digest").alias("g_digest"))
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"))
+    dropped = (packed["digest"] == gone["g_digest"]) & packed["doc_id"].eqNullSafe(gone["g_id"])
+    return packed.join(gone, dropped, "left_anti").select("row.*")
 
 
 def _no_labels(members: DataFrame) -> DataFrame:

@@ -193,7 +193,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARL
         sealed = done if sealed is None else sealed.unionByName(done)
         rest = bins.filter(F.col("used") < full)
         left = rest.count()
-        parts = rest.rdd.getNumPartitions() if before is None else tasks
+        parts = rest.select(F.spark_partition_id()).distinct().count() if before is None else tasks
         # the root was packed, or the level got hardly anything done
         if not left or parts == 1 or (before is not None and left > before * (1 - LEAST_PROGRESS)):
             sealed = sealed.unionByName(rest)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.llm import exact_dedup, near_dup, nearest, packing, pieces, sharding, toxicity, warc
+from venuerank.llm import exact_dedup, near_dup, nearest, packing, pieces, sharding, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,7 +28,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.near_groups(_table(spark, sf_dir, "documents"))
+    return near_dup.near_groups(_table(spark, sf_dir, "documents")).drop("digest")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,13 +47,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return nearest.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_pieces, op3_warc, op5_near_dup, op6_sharding, op7_toxicity, op8_packing, op10_nearest,
+    op1_exact_dedup, op2_pieces, op3_warc, op5_near_dup, op6_sharding, op7_toxicity, op8_packing, op9_suffix_dedup, op10_nearest,
 )}
 
 ORACLES = {

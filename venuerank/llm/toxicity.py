@@ -1,7 +1,8 @@
 """Toxic passages by maximum-scoring segment search over token log-odds.
 
 * Log-odds: words and the leading 4 and 5 bytes of words get the log-odds of toxic against
-  clean training texts, smoothed by an informative Dirichlet prior (the counts of both). Entries
+  clean training texts, counted once per text and
+  smoothed by an informative Dirichlet prior (a share of the counts of both). Entries
   whose z-score is significant make the lexicon; every other word costs DRIFT.
 * Segments: one linear pass per text finds all maximal-scoring segments of its words.
 * Extreme values: a segment of score S among n words has the expected number K n exp(-L S) of
@@ -31,13 +32,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from venuerank.llm.sampling import first_by_hash
 from venuerank.llm.text import Texts, prefix_hash, slices, span_hash, words, _LOWER
 from venuerank.session import materialise
 
 TRAIN_ROWS = 20_000
-LEAST_COUNT = 5  # rarer tokens can't be significant
-PRIOR_WEIGHT = 500.0  # words the Dirichlet prior counts for
-Z = 4.0
+LEAST_COUNT = 5  # tokens of fewer texts can't be significant
+PRIOR_SHARE = 0.1  # of the counts of both classes: the Dirichlet prior's pseudo-counts
+Z = 3.3  # a token of six toxic texts and no clean one passes, of five not
 DRIFT = 0.25
 SIGNIFICANT = 0.05
 PREFIXES = (4, 5)
@@ -131,32 +133,31 @@ def probability(n: int, passages: list[tuple[int, int, float]], model: Model) ->
     return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.bias + model.slope * math.log1p(x)))))
 
 
-def _training(docs: DataFrame, labels: DataFrame, label: str, trained: Column, rows: int) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, trained: Column, rows: int) -> DataFrame:
     """(text, y) of at most `rows` labelled rows; stored."""
-    chosen = (
-        labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & trained)
-        .select("doc_id", F.col(label).cast("int").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
-    )
-    chosen = materialise(chosen, "labelled")
+    known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & trained)
+    chosen = materialise(first_by_hash(known.select("doc_id", F.col(label).cast("int").alias("y")), "doc_id", rows), "labelled")
     # at most `rows` rows of two numbers
     return materialise(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y"), "training")
 
 
 def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN_ROWS) -> Model:
-    train = _training(docs, labels, "toxic", trained, rows)
+    train = training_rows(docs, labels, "toxic", trained, rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             y = batch.column("y").to_numpy()
             for part in slices(batch.column("text")):
                 cuts, hashes = token_hashes(part)
-                toxic = np.repeat(y[part.first : part.first + len(cuts) - 1], np.diff(cuts)) == 1
-                extra = [h[h != hashes[0]] for h in hashes[1:]]
-                masks = [toxic, *(toxic[h != hashes[0]] for h in hashes[1:])]
-                flat, mask = np.concatenate([hashes[0], *extra]), np.concatenate(masks)
+                doc = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+                flat, text = np.concatenate(hashes), np.tile(doc, len(hashes))
+                order = np.lexsort((text, flat))
+                flat, text = flat[order], text[order]
+                once = np.ones(len(flat), bool)  # a text counts once for each of its tokens
+                once[1:] = (flat[1:] != flat[:-1]) | (text[1:] != text[:-1])
+                flat, toxic = flat[once], y[part.first + text[once]] == 1
                 keys, back = np.unique(flat, return_inverse=True)
-                hits = np.bincount(back, weights=mask, minlength=len(keys)).astype(np.int64)
+                hits = np.bincount(back, weights=toxic, minlength=len(keys)).astype(np.int64)
                 all_ = np.bincount(back, minlength=len(keys))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(hits), pa.array(all_ - hits)], names=["token", "toxic", "clean"])
 
@@ -174,9 +175,9 @@ def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN
         return empty._replace(bias=math.log(max(share, 1e-13) / max(1 - share, 1e-13)))
     # log-odds under the prior; only significant tokens leave the executors
     t, c = float(sums["t"]), float(sums["c"])
-    prior = PRIOR_WEIGHT * (F.col("toxic") + F.col("clean")) / (t + c)
-    a, b = F.col("toxic") + prior, F.col("clean") + prior
-    odds = F.log(a / (t + PRIOR_WEIGHT - a)) - F.log(b / (c + PRIOR_WEIGHT - b))
+    prior = PRIOR_SHARE * (F.col("toxic") + F.col("clean"))
+    a, b, weight = F.col("toxic") + prior, F.col("clean") + prior, PRIOR_SHARE * (t + c)
+    odds = F.log(a / (t + weight - a)) - F.log(b / (c + weight - b))
     chosen = (
         counts.filter(F.col("toxic") + F.col("clean") >= LEAST_COUNT)
         .select("token", "clean", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
@@ -272,6 +273,12 @@ def fold(modulus: int, doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus, F.lit(0))
 
 
+def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all their columns, that aren't predicted toxic."""
+    packed = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return scored(packed, learn(docs, labels, fold(5) != 0), ["row"]).filter("score < 0.5").select("row.*")
+
+
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, passages."""
     model = learn(docs, labels, fold(5) != 0)

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from venuerank.llm.sampling import first_by_hash
 from venuerank.session import materialise, shared_dir
 
 DICTIONARY_SAMPLES = 2000
@@ -46,8 +47,7 @@ def train(pages: DataFrame) -> bytes:
     import zstandard
 
     chosen = pages.select("page_id", F.substring(F.coalesce("html", F.lit("")), 1, DICTIONARY_PAYLOAD).alias("html"))
-    chosen = chosen.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(DICTIONARY_SAMPLES)
-    samples = [r["html"].encode() for r in chosen.collect() if r["html"]]  # bounded by the two parameters
+    samples = [r["html"].encode() for r in first_by_hash(chosen, "page_id", DICTIONARY_SAMPLES).collect() if r["html"]]  # bounded by the two parameters
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except (zstandard.ZstdError, ValueError):
