@@ -1,0 +1,109 @@
+import math
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from support import prose
+from venuerank.llm import toxicity
+from venuerank.llm.text import slices
+
+BAD = ["vilest", "grubby", "oafish", "crud"]
+
+
+def corpus(n=240):
+    rows, labels = [], []
+    for i in range(n):
+        w = prose(40 + i % 60, i).split()
+        toxic = i % 4 == 0
+        for k in range(4 if toxic else 0):
+            w.insert((k * 11 + i) % len(w), BAD[(i + k) % 4] + ("," if k == 2 else ""))
+        rows.append((i, " ".join(w)))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_rows_are_told_apart(spark, documents):
+    rows, labels = corpus()
+    odd = [(1000, None), (1001, ""), (1002, " \n"), (1003, " ".join([prose(4000, 5), *BAD, prose(4000, 6)])), (1004, rows[0][1]), (None, rows[0][1])]
+    got = toxicity.score_documents(documents(rows + odd, clash=True), table(spark, labels + [(1000, 1, None), (None, 1, 1)])).collect()
+    by_id = {r.doc_id: r for r in got}
+    assert len(got) == len(rows) + len(odd)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
+    held = [i for i, _ in rows if by_id[i].held_out]
+    assert len(held) > 30 and all(by_id[i].predicted == int(i % 4 == 0) for i in held)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    assert by_id[1000].score == by_id[1001].score == by_id[1002].score < 0.5
+    # a passage deep in a long text, reported with its place
+    assert by_id[1003].predicted == 1 and any(p["first"] <= 4000 < p["end"] for p in by_id[1003].passages)
+    assert by_id[1004].score == by_id[0].score
+    # scores read the text alone
+    moved = toxicity.scored(documents([(5, rows[0][1])]), toxicity.learn(documents(rows), table(spark, labels), toxicity.fold(5) != 0), ["doc_id"])
+    assert moved.first().score == pytest.approx(by_id[0].score)
+
+
+@pytest.mark.parametrize("labels", [[], [(i, 1, 0) for i in range(20)], [(i, 1, 1) for i in range(20)]])
+def test_one_class_or_none(spark, documents, labels):
+    rows = [(i, prose(9, i)) for i in range(20)]
+    share = 1.0 if labels and labels[0][2] else 0.0
+    assert all(r.score == pytest.approx(share, abs=1e-9) for r in toxicity.score_documents(documents(rows), table(spark, labels)).collect())
+
+
+def test_empty_tables(spark, documents):
+    assert toxicity.score_documents(documents([]), table(spark, [])).count() == 0
+
+
+def test_clean_rows_stay_whole(spark, documents):
+    rows, labels = corpus()
+    df = documents(rows, clash=True)
+    kept = toxicity.keep_clean(df, table(spark, labels))
+    assert kept.columns == df.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, _ in rows if i % 4}
+
+
+def maximal(scores):
+    """All maximal-scoring segments by definition: best one first, then left and right of it."""
+    best, found = 0.0, None
+    for a in range(len(scores)):
+        total = 0.0
+        for b in range(a, len(scores)):
+            total += scores[b]
+            if total > best + 1e-9:
+                best, found = total, (a, b + 1)
+    if found is None:
+        return []
+    a, b = found
+    return maximal(scores[:a]) + [(a, b, best)] + [(x + b, y + b, s) for x, y, s in maximal(scores[b:])]
+
+
+def test_segments_equal_the_definition():
+    draw = random.Random(2)
+    for _ in range(300):
+        # distinct sums leave no ties between segments
+        scores = [draw.choice([-0.25, -0.25, draw.uniform(0.01, 1.5)]) for _ in range(draw.randint(0, 30))]
+        at = [i for i, s in enumerate(scores) if s > 0]
+        got = toxicity.segments(at, [scores[i] for i in at], 0.25)
+        assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in maximal(scores)]
+        assert [s for *_, s in got] == pytest.approx([s for *_, s in maximal(scores)])
+
+
+def test_rate_solves_its_equation():
+    odds, shares = np.array([3.0, 1.0]), np.array([0.002, 0.01])
+    rate = toxicity._rate(odds, shares)
+    total = (shares * np.exp(rate * odds)).sum() + (1 - shares.sum()) * math.exp(-rate * toxicity.DRIFT)
+    assert total == pytest.approx(1, abs=1e-6)
+
+
+def test_tokens_are_words_and_prefixes():
+    part = next(slices(pa.array(["Loser losers", None, "LOSER"])))
+    cuts, hashes = toxicity.token_hashes(part)
+    assert cuts.tolist() == [0, 2, 2, 3]
+    whole, four, five = hashes
+    assert whole[0] == whole[2] != whole[1] and four[0] == four[1] == four[2]
+    assert five[0] == whole[0] and five[1] != whole[1]

@@ -33,7 +33,7 @@ from venuerank.session import materialise
 SHARD_ROWS = 8192
 DEGREE = 24
 BUILD_BEAM = 48
-SEARCH_BEAM = 96
+SEARCH_BEAM = 160
 RELAX = 1.2
 EXPAND = 4  # nodes of a beam that are expanded at once
 BATCH = 256

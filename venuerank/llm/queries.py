@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.llm import exact_dedup, near_dup, nearest, packing, pieces, sharding, suffix_dedup, toxicity, warc
+from venuerank.llm import exact_dedup, near_dup, nearest, packing, pieces, quality, sharding, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(_table(spark, sf_dir, "pages")).drop("payload", "url")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_groups(_table(spark, sf_dir, "documents")).drop("digest")
 
@@ -57,7 +61,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_pieces, op3_warc, op5_near_dup, op6_sharding, op7_toxicity, op8_packing, op9_suffix_dedup, op10_nearest,
+    op1_exact_dedup, op2_pieces, op3_warc, op4_quality, op5_near_dup, op6_sharding, op7_toxicity, op8_packing, op9_suffix_dedup, op10_nearest,
 )}
 
 ORACLES = {
