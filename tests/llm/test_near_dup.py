@@ -84,10 +84,33 @@ def test_keep_one(documents):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5]
 
 
-def test_members_left_out_by_their_hub_are_still_linked(documents, monkeypatch):
-    monkeypatch.setattr(near_dup, "STAR_ROUNDS", 1)  # all else is left to the pairs that stay open
-    rows = [(i, edited(9, range(0, 5 * i, 5))) for i in range(20)]
-    check(documents(rows), rows)
+def test_large_group_of_copies_of_copies(documents):
+    # copies of one text, copies of the edited copies, and shortened ones: many are no links of the hub's
+    rows = [(i, edited(9, range(0, 5 * (i % 13), 5))) for i in range(26)]
+    rows += [(50 + i, edited(9, [7 * k + i for k in range(i)])) for i in range(30)]
+    rows += [(100 + i, " ".join(words_of(200, 9)[: 120 + 4 * i])) for i in range(20)]
+    rows += [(200 + i, " ".join(words_of(200, 9)[6 * i : 6 * i + 110])) for i in range(15)]
+    want = check(documents(rows), rows)
+    assert len({c for _, c in want.values()}) > 5
+
+
+def test_hub_differences_lose_no_pair(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    base = np.arange(1, 141, dtype=np.uint64)
+    sets = [base]
+    for i in range(120):
+        near = sets[draw.integers(0, len(sets))]
+        cut = near[draw.random(len(near)) > draw.uniform(0, 0.25)]
+        sets.append(np.unique(np.append(cut, draw.integers(200, 800, draw.integers(0, 25)).astype(np.uint64))))
+    alike = lambda x, y: 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y))
+    apart = {i: i + 1 if not alike(s, base) else 0 for i, s in enumerate(sets)}  # those linked to the hub share its label
+    held = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "cid long, shingles binary")
+    anchors = spark.createDataFrame([(i, label, 0) for i, label in apart.items()], "cid long, label long, anchor long")
+    got = {(r.a, r.b) for r in near_dup.anchored_pairs(anchors, held).collect()}
+    want = {(i, j) for i in apart for j in apart if i < j and apart[i] != apart[j] and alike(sets[i], sets[j])}
+    assert want and want <= got and len(got) < 0.5 * 121 * 60
 
 
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 9])

@@ -9,9 +9,15 @@ of all with probability under 1e-7, so pairs are sought that agree in MATCHES.
   pair with MATCHES collisions meets in one of the s - MATCHES + 1 rarest: only these are posted.
 * Skip: the long lists are never merged. Pairs met in the short ones are probed for the rest of
   their collisions in the signatures themselves.
-* No list is expanded into all its pairs. Each list first compares its members with one hub,
-  and only members whose components still differ after these rounds are compared with each
-  other, which is whole: a pair within one component can't change the result.
+* No list is expanded into all its pairs. Each list compares its members with its hub, the one whose
+  lists are longest together, such as the text the others are copies of. A pair within one
+  component can't change the result, so only members of lists that still hold several
+  components go on; each is anchored at the most popular hub it met.
+* Members x, y of one anchor b are told by D(m), the shingles that either m or b has but not both:
+  they are similar enough exactly if D(x) and D(y) share (g(x) + g(y)) / 14 shingles, where
+  g(m) = 7 |D(m)| - |m|, and one of them isn't linked to b. What a member shares with no other
+  rules most of them out, and the rest meet in lists of the rarest shared shingles, again a
+  prefix. Members of different anchors are compared where they meet.
 
 Every link is confirmed on the full sets. Components come from label propagation with pointer
 jumping over tables in the shared folder.
@@ -37,7 +43,6 @@ WORDS = 5
 PERCENT = 75
 COORDINATES = 64
 MATCHES = 28
-STAR_ROUNDS = 3
 
 _PLACES = seeds(WORDS, 37) | np.uint64(1)
 _TIMES = (seeds(COORDINATES, 41) | np.uint64(1))[:, None]
@@ -123,21 +128,26 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def prefix_postings(classes: DataFrame) -> DataFrame:
-    """(value, cid) for the rarest shared values of each class that can still reach MATCHES."""
+    """(value, cid, fame) for the rarest shared values of each class that can still reach MATCHES.
+
+    `fame` is the length of all its lists together.
+    """
     value = F.shiftleft(F.col("at").cast("long"), 32) + F.col("v").bitwiseAND(F.lit(0xFFFFFFFF))
     posted = materialise(
         classes.select("cid", F.posexplode("signature").alias("at", "v"))
         .withColumn("v", F.col("v").cast("long")).select("cid", value.alias("value")),
         "near-coordinates",
     )
-    lengths = posted.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
+    # stored, here and below: only a join of two plain shuffles can be split where a value is hot
+    lengths = materialise(posted.groupBy("value").agg(F.count(F.lit(1)).alias("length")).filter("length > 1"), "near-lengths")
     ranked = (
         posted.join(lengths, "value")
         .groupBy("cid")
-        .agg(F.array_sort(F.collect_list(F.struct("length", "value"))).alias("lists"))  # COORDINATES at most
+        .agg(F.array_sort(F.collect_list(F.struct("length", "value"))).alias("lists"), F.sum("length").alias("fame"))  # COORDINATES at most
         .filter(F.size("lists") >= MATCHES)
     )
-    return ranked.select("cid", F.explode(F.slice("lists", 1, F.size("lists") - (MATCHES - 1))).alias("p")).select("p.value", "cid")
+    rarest = F.explode(F.slice("lists", 1, F.size("lists") - (MATCHES - 1)))
+    return ranked.select("cid", "fame", rarest.alias("p")).select("p.value", "cid", "fame")
 
 
 def _collisions(x: str, y: str) -> Column:
@@ -150,37 +160,81 @@ def _alike(x: str, y: str) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * PERCENT
 
 
-def star_pairs(postings: DataFrame, labels: DataFrame, members: DataFrame, turn: int) -> DataFrame:
-    """(a, b): in each list of several components, its hub of this turn and the members outside the hub's."""
-    named = postings.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    hubs = (
-        named.groupBy("value")
-        .agg(
-            F.min(F.struct(F.xxhash64(F.col("cid"), F.lit(turn)), "cid", "label")).alias("hub"),
-            F.min("label").alias("low"), F.max("label").alias("high"),
-        )
-        .filter("low < high")
-        .select("value", F.col("hub.cid").alias("a"), F.col("hub.label").alias("a_label"))
-    )
-    pairs = named.join(hubs, "value").filter("label != a_label").select("a", F.col("cid").alias("b")).distinct()
-    return _probed(pairs, members)
+def _hubs(postings: DataFrame) -> DataFrame:
+    """(value, fame, hub): the most famous member of each list, the largest cid on ties."""
+    best = postings.groupBy("value").agg(F.max(F.struct("fame", "cid")).alias("top"))
+    return materialise(best.select("value", F.col("top.fame").alias("hub_fame"), F.col("top.cid").alias("hub")), "near-hubs")
 
 
-def _probed(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs with enough collisions over the whole signatures, and alike in size."""
+def star_pairs(postings: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): the hub of each list and its other members, of enough collisions over the whole signatures and alike in size."""
+    pairs = postings.join(_hubs(postings), "value").filter("cid != hub").select(F.col("hub").alias("a"), F.col("cid").alias("b")).distinct()
     x = members.select(F.col("cid").alias("a"), F.col("n_shingles").alias("n_a"), F.col("signature").alias("s_a"))
     y = members.select(F.col("cid").alias("b"), F.col("n_shingles").alias("n_b"), F.col("signature").alias("s_b"))
     return pairs.join(x, "a").join(y, "b").filter(_alike("n_a", "n_b")).filter(_collisions("s_a", "s_b") >= MATCHES).select("a", "b")
 
 
-def open_pairs(postings: DataFrame, labels: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b): all pairs that meet in a list and whose components differ, probed in the join itself."""
+def open_members(postings: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lists, anchors), stored: the lists of several components, and the anchor of each of their members."""
     named = postings.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     mixed = named.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("value")
-    open_ = materialise(named.join(mixed, "value").join(members, "cid").select("value", "cid", "label", "n_shingles", "signature"), "near-open")
-    x = open_.select("value", *[F.col(c).alias(f"x_{c}") for c in open_.columns[1:]])
-    y = open_.select(F.col("value").alias("y_value"), *[F.col(c).alias(f"y_{c}") for c in open_.columns[1:]])
-    met = (F.col("value") == F.col("y_value")) & (F.col("x_label") < F.col("y_label"))
+    lists = materialise(named.join(materialise(mixed, "near-mixed"), "value"), "near-open")
+    met = lists.select("value", "cid", "label").join(_hubs(lists), "value")
+    anchors = met.groupBy("cid", "label").agg(F.max(F.struct("hub_fame", "hub")).alias("top")).select("cid", "label", F.col("top.hub").alias("anchor"))
+    return lists, materialise(anchors, "near-anchors")
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        deltas, sizes, anchors = [], [], []
+        for x, y in zip(batch.column("own"), batch.column("hub_own")):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            deltas.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+            sizes.append(len(x))
+            anchors.append(len(y))
+        kept = [batch.column(c) for c in ("anchor", "cid", "label")]
+        made = [pa.array(sizes, pa.int64()), pa.array(anchors, pa.int64()), pa.array(deltas, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([*kept, *made], names=["anchor", "cid", "label", "n", "n_hub", "delta"])
+
+
+def anchored_pairs(anchors: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): members of one anchor and different components that may be similar enough, by what tells them from it."""
+    own = sets.select("cid", F.col("shingles").alias("own"))
+    hub = sets.select(F.col("cid").alias("anchor"), F.col("shingles").alias("hub_own"))
+    several = anchors.groupBy("anchor").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("anchor")
+    met = anchors.join(materialise(several, "near-several"), "anchor").join(hub, "anchor").join(own, "cid")
+    told = materialise(met.mapInArrow(_differences, "anchor long, cid long, label long, n long, n_hub long, delta array<long>"), "near-differences")
+    elements = told.select("anchor", "cid", F.explode("delta").alias("element"))
+    shared = elements.groupBy("anchor", "element").agg(F.count(F.lit(1)).alias("seen")).filter("seen > 1")
+    kept = materialise(elements.join(materialise(shared, "near-shared"), ["anchor", "element"]), "near-kept")
+    # g as above; a pair shares no more than what either shares with anyone
+    common = kept.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("seen", "element"))).alias("common"))  # one set's shingles
+    gap = 7 * F.size("delta") - F.col("n")
+    facts = told.join(common, "cid").select(
+        "anchor", "cid", "label", gap.alias("gap"), F.size("common").alias("most"), "common", (gap > F.col("n_hub")).alias("apart")
+    )
+    facts = materialise(facts, "near-facts")
+    least = materialise(facts.filter("apart").groupBy("anchor").agg(F.min("gap").alias("least")), "near-least")
+    able = facts.join(least, "anchor").filter(14 * F.col("most") - F.col("gap") >= F.col("least"))
+    need = F.greatest(F.lit(1), F.ceil((F.col("least") + F.col("gap")) / 14).cast("int"))
+    posted = able.select("anchor", "cid", "label", "gap", "most", F.explode(F.slice("common", 1, F.col("most") - need + 1)).alias("p"))
+    posted = posted.select("anchor", F.col("p.element").alias("element"), F.col("cid").alias("b"), F.col("label").alias("label_b"), F.col("gap").alias("gap_b"), F.col("most").alias("most_b"))
+    asked = facts.filter("apart").select("anchor", F.col("cid").alias("a"), F.col("label").alias("label_a"), F.col("gap").alias("gap_a"), F.col("most").alias("most_a"), F.explode("common").alias("p"))
+    asked = asked.select("anchor", F.col("p.element").alias("element"), "a", "label_a", "gap_a", "most_a")
+    enough = (F.col("label_a") != F.col("label_b")) & (F.col("gap_a") + F.col("gap_b") <= 14 * F.least("most_a", "most_b"))
+    p, q = asked.alias("p"), posted.alias("q")
+    same = (F.col("p.anchor") == F.col("q.anchor")) & (F.col("p.element") == F.col("q.element"))
+    return p.join(q, same & enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def crossing_pairs(lists: DataFrame, anchors: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b): members of different anchors and components that meet in a list, probed in the join itself."""
+    known = lists.select("value", "cid").join(anchors, "cid")
+    several = known.groupBy("value").agg(F.min("anchor").alias("low"), F.max("anchor").alias("high")).filter("low < high").select("value")
+    held = materialise(known.join(materialise(several, "near-across"), "value").join(members.select("cid", "n_shingles", "signature"), "cid"), "near-crossing")
+    x = held.select("value", *[F.col(c).alias(f"x_{c}") for c in held.columns if c != "value"])
+    y = held.select(F.col("value").alias("y_value"), *[F.col(c).alias(f"y_{c}") for c in held.columns if c != "value"])
+    met = (F.col("value") == F.col("y_value")) & (F.col("x_label") < F.col("y_label")) & (F.col("x_anchor") != F.col("y_anchor"))
     met &= _alike("x_n_shingles", "y_n_shingles") & (_collisions("x_signature", "y_signature") >= MATCHES)
     return x.join(y, met).select(F.col("x_cid").alias("a"), F.col("y_cid").alias("b")).distinct()
 
@@ -228,17 +282,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     sets = materialise(found.dropDuplicates().drop("doc_id").mapInArrow(_full_sets, "cid long, shingles binary"), "near-sets")
     sets = sets.dropDuplicates(["cid"]) if _repeated(sets) else sets
 
-    links = confirmed(star_pairs(postings, _no_labels(members), members, 0), sets)
+    links = confirmed(star_pairs(postings, members), sets)
     labels = components(links)
-    for turn in range(1, STAR_ROUNDS):
-        more = confirmed(star_pairs(postings, labels, members, turn), sets)
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        labels = components(links)
-    last = confirmed(open_pairs(postings, labels, members), sets)
-    if not last.isEmpty():
-        labels = components(links.union(last))
+    lists, anchors = open_members(postings, labels)
+    more = confirmed(anchored_pairs(anchors, sets).union(crossing_pairs(lists, anchors, members)), sets)
+    if not more.isEmpty():
+        labels = components(links.union(more))
 
     named = classes.select(*key, "cid", "rep").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     named = materialise(named, "near-named")
@@ -260,10 +309,6 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return packed.join(gone, dropped, "left_anti").select("row.*")
 
 
-def _no_labels(members: DataFrame) -> DataFrame:
-    return members.select("cid", F.col("cid").alias("label")).limit(0)
-
-
 def _repeated(sets: DataFrame) -> bool:
     """Whether texts that differ only in case or white space repeat a class's first doc_id."""
     return not sets.groupBy("cid").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
