@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from venuerank.operators import profiles, search
 
@@ -109,15 +110,21 @@ DOCS = [
 ]
 
 
-def engine(spark, rows, query, size=20_000, top_n=10):
+def index_of(table, size=None):
+    """Index in which a profile's text plays the one review of its venue."""
+    venues = table.select("business_id", "metro_area", F.lit("").alias("categories"))
+    return search.build_index(venues, table.select("business_id", F.col("profile_text").alias("text")), size)
+
+
+def engine(spark, rows, query, size=None, top_n=10):
     table = spark.createDataFrame(rows, PROFILE)
     asked = spark.createDataFrame([("q", "M", query)], "query_id string, metro_area string, query string")
-    found = search.search(asked, table, search.build_index(table, size), top_n).orderBy("position").collect()
+    found = search.search(asked, table, index_of(table, size), top_n).orderBy("position").collect()
     return [(r["business_id"], r["match_score"], r["final_score"]) for r in found]
 
 
 @pytest.mark.parametrize("query", ["spicy ramen", "ramen broth", "cozy pasta wine", "beer", "unknown words"])
-@pytest.mark.parametrize("size, top_n", [(20_000, 10), (20_000, 2), (6, 10)])
+@pytest.mark.parametrize("size, top_n", [(None, 10), (None, 2), (6, 10)])
 def test_search_equals_the_plain_one(spark, query, size, top_n):
     assert engine(spark, DOCS, query, size, top_n) == plain_search(DOCS, query, size, top_n)
 
@@ -126,7 +133,7 @@ def test_venues_without_a_match_take_places(spark):
     """Well-known venues fill the first places and are cut afterwards, as they do not match."""
     rows = [profile("match", "dim sum palace with many other words", 1, 1.0)] + [
         profile(f"big{i}", "steak", 5000, 5.0) for i in range(3)]
-    assert engine(spark, rows, "palace", top_n=1) == plain_search(rows, "palace", 20_000, 1) == []
+    assert engine(spark, rows, "palace", top_n=1) == plain_search(rows, "palace", None, 1) == []
     assert [r[0] for r in engine(spark, rows, "palace", top_n=4)] == ["match"]
 
 
@@ -144,8 +151,22 @@ def test_exact_text_ranks_first_and_metros_are_apart(spark):
 
 def test_stored_index_answers_alike(spark, tmp_path):
     table = spark.createDataFrame(DOCS, PROFILE)
-    search.store_index(search.build_index(table), str(tmp_path))
+    search.store_index(index_of(table), str(tmp_path))
     asked = spark.createDataFrame([("q", "M", "spicy ramen")], "query_id string, metro_area string, query string")
     stored = search.search(asked, table, search.load_index(spark, str(tmp_path)))
-    fresh = search.search(asked, table)
+    fresh = search.search(asked, table, index_of(table))
     assert stored.select("position", "business_id").collect() == fresh.select("position", "business_id").collect()
+
+
+def test_whole_reviews_are_counted_one_by_one(spark):
+    venues = spark.createDataFrame([("a", "M", "Noodle Bars, Soup"), ("b", "M", None), ("c", None, "Soup")], "business_id string, metro_area string, categories string")
+    long = " ".join(f"w{i}" for i in range(5000)) + " ending"
+    reviews = spark.createDataFrame([("a", "soup soup"), ("a", "soup bowl"), ("b", long), ("b", None), ("c", "soup")], "business_id string, text string")
+    counts = {(r["business_id"], r["term"]): r["tf"] for r in search.venue_terms(venues, reviews).collect()}
+    assert counts["a", "soup"] == 3 + 3 and counts["a", "soup soup"] == 1 and counts["a", "noodle bars"] == 3
+    assert ("a", "soup soup bowl") not in counts and counts["b", "w4999 ending"] == 1 and counts["b", "ending"] == 1
+    assert not [k for k in counts if k[0] == "c"]
+    index = search.build_index(venues, reviews)
+    squares = search.term_weights(index).groupBy("business_id").agg(F.sum(F.col("weight") ** 2).alias("s")).collect()
+    assert {r["business_id"]: round(r["s"], 9) for r in squares} == {"a": 1.0, "b": 1.0}
+    assert index.vocabulary.count() == len({t for _, t in counts})

@@ -8,31 +8,33 @@ from pyspark.sql import functions as F
 from venuerank import schemas
 from venuerank.functions.rows import complete_rows
 from venuerank.functions.scoring import popularity
-from venuerank.functions.text import SNIPPETS_PER_PROFILE, profile_text, single_line, snippet
+from venuerank.functions.text import SNIPPET_CHARS, SNIPPETS_PER_PROFILE, profile_text, single_line, snippet
 from venuerank.operators.ranking import top_per_group
+from venuerank.session import materialise
 from venuerank.sources.raw import with_metro_fallback
 
 _ATTRIBUTES = ["name", "metro_area", "city", "latitude", "longitude", "categories"]
 
 
-def latest_snippets(reviews: DataFrame, per_venue: int = SNIPPETS_PER_PROFILE) -> DataFrame:
-    """`business_id, snippets`: the start of each venue's latest reviews, newest first.
+def latest_snippets(cut: DataFrame, per_venue: int = SNIPPETS_PER_PROFILE) -> DataFrame:
+    """`business_id, snippets`: each venue's latest of `cut(business_id, review_id, date, snippet)`, newest first.
 
     The cut comes before the list is built, so no list grows with the reviews of a venue.
     """
-    cut = reviews.select("business_id", "review_id", "date", snippet(F.col("text")).alias("snippet")).filter(
-        F.col("snippet").isNotNull()
-    )
     latest = top_per_group(
-        cut, ["business_id"], [F.col("date").desc(), F.col("review_id").asc()], per_venue, ["review_id"], "place"
+        cut.filter(F.col("snippet").isNotNull()), ["business_id"], [F.col("date").desc(), F.col("review_id").asc()], per_venue, ["review_id"], "place"
     )
     listed = F.sort_array(F.collect_list(F.struct("place", "snippet")))
     return latest.groupBy("business_id").agg(listed.getField("snippet").alias("snippets"))
 
 
-def build_profiles(enriched: DataFrame) -> DataFrame:
-    """One row per venue with its scores and searchable text."""
-    rows = with_metro_fallback(enriched)
+def build_profiles(enriched: DataFrame, chars: int = SNIPPET_CHARS, per_venue: int = SNIPPETS_PER_PROFILE) -> DataFrame:
+    """One row per venue with its scores and a short text to show: the first `chars` characters of
+    its `per_venue` latest reviews. Searches read whole reviews, not this text.
+    """
+    texts = snippet(F.col("text"), chars).alias("snippet")
+    kept = with_metro_fallback(enriched).select("review_id", "date", "stars", "recency_weight", "business_id", *_ATTRIBUTES, texts)
+    rows = materialise(kept, "profile-rows")  # read twice; the enrichment runs once
     # numbers only in the first step, which hash-aggregates all reviews; should a venue have
     # two spellings of an attribute, the second step, over venues, keeps the smaller
     spelled = rows.groupBy("business_id", *_ATTRIBUTES).agg(
@@ -49,7 +51,7 @@ def build_profiles(enriched: DataFrame) -> DataFrame:
     )
     recency = F.col("recency_sum") / F.col("review_count")
     return (
-        venues.join(latest_snippets(rows), "business_id", "left")
+        venues.join(latest_snippets(rows.select("business_id", "review_id", "date", "snippet"), per_venue), "business_id", "left")
         .withColumn("popularity_score", popularity(F.col("avg_rating"), F.col("review_count"), recency))
         .withColumn("profile_text", profile_text(F.col("categories"), F.coalesce("snippets", F.array())))
         .select(*schemas.PROFILE_COLUMNS)
@@ -64,7 +66,10 @@ def category_profiles(business_scores: DataFrame) -> DataFrame:
 
 
 def profiles_with_fallback(profiles: DataFrame, business_scores: DataFrame) -> DataFrame:
-    """Rich profiles, and category profiles for every metro that has none."""
+    """Rich profiles, and category profiles for every metro that has none.
+
+    `profiles` are those of the metros that have been profiled so far.
+    """
     covered = profiles.select("metro_area").distinct()
     return profiles.unionByName(category_profiles(business_scores).join(covered, "metro_area", "left_anti"))
 

@@ -13,7 +13,7 @@ from venuerank.operators.ranking import top_per_group
 from venuerank.session import materialise
 from venuerank.sources.raw import join_path, read_table
 
-VOCABULARY_SIZE = 20_000
+CATEGORY_TIMES = 3
 RESULTS = 10
 MIN_MATCH = 0.05
 TEXT_SHARE, VOLUME_SHARE, RATING_SHARE = 0.6, 0.25, 0.15
@@ -21,7 +21,8 @@ TEXT_SHARE, VOLUME_SHARE, RATING_SHARE = 0.6, 0.25, 0.15
 
 class TextIndex(NamedTuple):
     vocabulary: DataFrame  # metro_area, term, corpus_count, doc_count, idf
-    weights: DataFrame     # metro_area, business_id, term, weight (unit length per venue)
+    terms: DataFrame       # metro_area, business_id, term, tf
+    lengths: DataFrame     # metro_area, business_id, length: of the venue's vector of weights
 
 
 def term_counts(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
@@ -30,17 +31,40 @@ def term_counts(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     return terms.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def build_vocabulary(terms: DataFrame, profiles: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
-    """The most frequent terms of each metro with their smoothed inverse document frequency.
+def venue_terms(venues: DataFrame, reviews: DataFrame) -> DataFrame:
+    """`metro_area, business_id, term, tf` over the whole texts of all reviews of each venue.
 
-    Most terms are too rare to get in. A histogram of counts, which has few rows whatever the
-    number of terms, gives the least count that can; only terms from there on are ranked.
+    Terms of a venue's categories count CATEGORY_TIMES. No text of a venue is put together:
+    terms are counted review by review and meet in map-side sums, however many reviews a venue has.
     """
-    corpus = materialise(
-        terms.groupBy("metro_area", "term").agg(
-            F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("doc_count")
-        ), "corpus",
+    located = venues.filter(F.col("metro_area").isNotNull())
+    said = reviews.select("business_id", F.lit(1).alias("times"), "text")
+    tagged = located.select("business_id", F.lit(CATEGORY_TIMES).alias("times"), F.col("categories").alias("text"))
+    words = said.unionByName(tagged).select("business_id", "times", F.explode(unigrams_and_bigrams(F.col("text"))).alias("term"))
+    counted = words.groupBy("business_id", "term").agg(F.sum("times").alias("tf"))
+    return counted.join(located.select("business_id", "metro_area"), "business_id").select("metro_area", "business_id", "term", "tf")
+
+
+def build_vocabulary(terms: DataFrame, venues: DataFrame, size: int | None = None) -> DataFrame:
+    """The terms of each metro with their smoothed inverse document frequency.
+
+    `size` keeps a metro's most frequent terms only. A histogram of counts, which has few rows
+    whatever the number of terms, then gives the least count that can get in; only terms from
+    there on are ranked.
+    """
+    corpus = terms.groupBy("metro_area", "term").agg(
+        F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("doc_count")
+    )
+    documents = materialise(
+        venues.filter(F.col("metro_area").isNotNull()).groupBy("metro_area").agg(F.count(F.lit(1)).alias("documents")), "documents"
     )
+    if size is not None:
+        corpus = _most_frequent(materialise(corpus, "corpus"), size)
+    idf = F.ln((1 + F.col("documents")) / (1 + F.col("doc_count"))) + 1
+    return corpus.join(documents, "metro_area").withColumn("idf", idf).drop("documents")
+
+
+def _most_frequent(corpus: DataFrame, size: int) -> DataFrame:
     frequent_first = Window.partitionBy("metro_area").orderBy(F.desc("corpus_count"))
     least = (
         corpus.groupBy("metro_area", "corpus_count").agg(F.count(F.lit(1)).alias("terms"))
@@ -51,39 +75,36 @@ def build_vocabulary(terms: DataFrame, profiles: DataFrame, size: int = VOCABULA
     contenders = corpus.join(materialise(least, "least-counts"), "metro_area", "left").filter(
         F.col("corpus_count") >= F.coalesce("least", F.lit(0))
     )
-    kept = top_per_group(
-        contenders.drop("least"), ["metro_area"], [F.col("corpus_count").desc(), F.col("term").asc()], size, ["term"], "place"
-    ).drop("place")
-    documents = materialise(profiles.groupBy("metro_area").agg(F.count(F.lit(1)).alias("documents")), "documents")
-    idf = F.ln((1 + F.col("documents")) / (1 + F.col("doc_count"))) + 1
-    return kept.join(documents, "metro_area").withColumn("idf", idf).drop("documents")
+    order = [F.col("corpus_count").desc(), F.col("term").asc()]
+    return top_per_group(contenders.drop("least"), ["metro_area"], order, size, ["term"], "place").drop("place")
 
 
-def build_index(profiles: DataFrame, size: int = VOCABULARY_SIZE) -> TextIndex:
-    """Sublinear TF-IDF of every profile, each venue's vector scaled to unit length."""
-    located = profiles.filter(F.col("metro_area").isNotNull())
-    # one row per venue: moving the short texts to their venue's partition lets the much longer
-    # list of terms be counted in place
-    placed = located.select("metro_area", "business_id", "profile_text").repartition("business_id")
-    # stored, because both are read twice and only their written size tells what may be broadcast
-    terms = materialise(term_counts(placed, ["metro_area", "business_id"], "profile_text"), "terms")
-    vocabulary = materialise(build_vocabulary(terms, located, size), "vocabulary")
-    # a profile holds a fixed number of short snippets, so its terms fit any task
-    venue = Window.partitionBy("metro_area", "business_id")
-    raw = (1 + F.ln("tf")) * F.col("idf")
-    weights = (
-        terms.join(vocabulary.select("metro_area", "term", "idf"), ["metro_area", "term"])
-        .withColumn("raw", raw)
-        .withColumn("weight", F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(venue)))
-        .select("metro_area", "business_id", "term", "weight")
-    )
-    return TextIndex(vocabulary, weights)
+def _raw(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    found = terms.join(vocabulary.select("metro_area", "term", "idf"), ["metro_area", "term"])
+    return found.withColumn("raw", (1 + F.ln("tf")) * F.col("idf"))
+
+
+def build_index(venues: DataFrame, reviews: DataFrame, size: int | None = None) -> TextIndex:
+    """Sublinear TF-IDF of `venues(business_id, metro_area, categories)` by their `reviews(business_id, text)`; stored."""
+    terms = materialise(venue_terms(venues, reviews), "terms")
+    vocabulary = materialise(build_vocabulary(terms, venues, size), "vocabulary")
+    squares = _raw(terms, vocabulary).groupBy("metro_area", "business_id").agg(F.sum(F.col("raw") * F.col("raw")).alias("squares"))
+    lengths = squares.select("metro_area", "business_id", F.sqrt("squares").alias("length"))
+    return TextIndex(vocabulary, terms, materialise(lengths, "lengths"))
+
+
+def term_weights(index: TextIndex, terms: DataFrame | None = None) -> DataFrame:
+    """`metro_area, business_id, term, weight`, each venue's vector of unit length; of `terms(metro_area, term)` alone if given."""
+    held = index.terms if terms is None else index.terms.join(terms, ["metro_area", "term"], "left_semi")
+    raw = _raw(held, index.vocabulary).join(index.lengths, ["metro_area", "business_id"])
+    return raw.select("metro_area", "business_id", "term", (F.col("raw") / F.col("length")).alias("weight"))
 
 
 def store_index(index: TextIndex, path: str) -> None:
     """Keep an index for later searches, by metro and ordered by term for file skipping."""
     for name, table in index._asdict().items():
-        by_metro = table.hint("rebalance", "metro_area").sortWithinPartitions("metro_area", "term")
+        order = [c for c in ("metro_area", "term", "business_id") if c in table.columns]
+        by_metro = table.hint("rebalance", "metro_area").sortWithinPartitions(*order)
         by_metro.write.mode("overwrite").partitionBy("metro_area").parquet(join_path(path, name))
 
 
@@ -117,8 +138,7 @@ def _standing(profiles: DataFrame) -> DataFrame:
 
 
 def search(
-    queries: DataFrame, profiles: DataFrame, index: TextIndex | None = None,
-    top_n: int = RESULTS, min_match: float = MIN_MATCH,
+    queries: DataFrame, profiles: DataFrame, index: TextIndex, top_n: int = RESULTS, min_match: float = MIN_MATCH,
 ) -> DataFrame:
     """Best venues for each of `queries(query_id, metro_area, query)`.
 
@@ -129,12 +149,12 @@ def search(
     """
     asked = queries.filter(F.length(strip(F.col("query"))) > 0)
     located = profiles.filter(F.col("metro_area").isNotNull())
-    index = index or build_index(located)
     venue = ["metro_area", "business_id"]
     # stored first: a few queries are broadcast and the index is read in place, many are joined by shuffle
     query_weights = materialise(_query_weights(asked, index.vocabulary), "query-weights")
+    wanted = query_weights.select("metro_area", "term").distinct()
     matches = (
-        index.weights.join(query_weights, ["metro_area", "term"])
+        term_weights(index, wanted).join(query_weights, ["metro_area", "term"])
         .groupBy("query_id", *venue)
         .agg(F.sum(F.col("weight") * F.col("query_weight")).alias("match_score"))
     )

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime
+import logging
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.operators import clean, profiles, recommend, scores, sentiment
+from venuerank.operators import classifier, clean, profiles, recommend, scores, sentiment
 from venuerank.operators.metro import METRO_RADIUS_KM
 from venuerank.session import apply_defaults, materialise
 from venuerank.sinks.writers import jdbc_settings, ready_for_serving, write_jdbc, write_parquet
-from venuerank.sources.raw import cell_stars, join_path, read_json, read_table
+from venuerank.sources.raw import cell_stars, join_path, labelled_text, malformed_lines, ratings, read_json, read_table
+
+log = logging.getLogger(__name__)
 
 STAGES = ("clean", "aggregate", "recommend", "sentiment", "profiles")
 
@@ -30,6 +33,8 @@ class BatchOptions(NamedTuple):
     reg_param: float = recommend.REGULARISATION
     cross_validate: bool = False
     to_database: bool = False
+    sample_rows: int = classifier.SAMPLE_ROWS
+    vocabulary: int = classifier.VOCABULARY_SIZE
 
 
 class _Sink:
@@ -57,6 +62,14 @@ def _clean(spark: SparkSession, options: BatchOptions, sink: _Sink) -> None:
     businesses = materialise(clean.clean_businesses(raw_businesses, options.radius_km), "businesses")
     enriched = clean.build_enriched(clean.clean_reviews(raw_reviews), businesses, options.as_of)
     sink.store(enriched, "reviews_enriched", "metro_area")
+    files = (("business", options.business_file), ("review", options.review_file))
+    lines = [
+        malformed_lines(spark, options.raw, file, entity).select(F.lit(entity).alias("entity"), F.col("malformed").alias("line"))
+        for entity, file in files
+    ]
+    sink.store(lines[0].unionByName(lines[1]), "rejected_lines")
+    if sink.rows["rejected_lines"]:
+        log.warning("%d input lines could not be read, see rejected_lines", sink.rows["rejected_lines"])
 
 
 def _aggregate(spark: SparkSession, options: BatchOptions, sink: _Sink) -> None:
@@ -70,7 +83,7 @@ def _aggregate(spark: SparkSession, options: BatchOptions, sink: _Sink) -> None:
 
 def _recommend(spark: SparkSession, options: BatchOptions, sink: _Sink) -> None:
     enriched = read_table(spark, options.output, "reviews_enriched")
-    rated = enriched.select("review_id", "user_id", "business_id", F.col("stars").cast("float").alias("stars"))
+    rated = ratings(enriched)
     fixed = {} if options.cross_validate else {"rank": options.rank, "reg_param": options.reg_param}
     recommendations, rmse = recommend.fit_and_recommend(
         rated, "review_id", cross_validate=options.cross_validate, max_iter=options.max_iter, **fixed
@@ -84,6 +97,13 @@ def _sentiment(spark: SparkSession, options: BatchOptions, sink: _Sink) -> None:
     enriched = read_table(spark, options.output, "reviews_enriched")
     sink.store(sentiment.compute_grid_sentiment(cell_stars(enriched)), "grid_sentiment")
     sink.publish(spark, "grid_sentiment")
+    reviews = labelled_text(enriched)
+    if classifier.binary_labels(reviews).select("label").distinct().count() < 2:
+        log.warning("no text classifier: the reviews have one label only")
+        return
+    predictions = materialise(classifier.predict_held_out(reviews, options.sample_rows, options.vocabulary), "predictions")
+    sink.store(classifier.classification_metrics(predictions), "sentiment_metrics")
+    sink.store(classifier.confusion_matrix(predictions), "sentiment_confusion")
 
 
 def _profiles(spark: SparkSession, options: BatchOptions, sink: _Sink) -> None:

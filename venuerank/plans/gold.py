@@ -4,22 +4,36 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.operators import clean, metro, neighborhoods, profiles, scores, search, sentiment
+from venuerank.operators import classifier, clean, metro, neighborhoods, profiles, recommend, scores, search, sentiment
 from venuerank.operators.ranking import top_per_group
+from venuerank.operators.sampling import split_by_key
 from venuerank.session import apply_defaults, materialise
-from venuerank.sources import star_schema
+from venuerank.sources import raw, star_schema
 
-_built: dict[tuple[str, str], "Gold"] = {}
+_built: dict[tuple[str, str], tuple[str, "Gold"]] = {}
 
 
 def gold(spark: SparkSession, base: str) -> "Gold":
-    key = (spark.sparkContext.applicationId, base)
-    if key not in _built:
-        _built[key] = Gold(spark, base)
-    return _built[key]
+    """The folder's gold tables; built anew when a file of the folder has changed since."""
+    key, seen = (spark.sparkContext.applicationId, base), _state(spark, base)
+    if key not in _built or _built[key][0] != seen:
+        _built[key] = (seen, Gold(spark, base))
+    return _built[key][1]
+
+
+def _state(spark: SparkSession, base: str) -> str:
+    """Names, sizes and times of what lies in a folder, tables of several files included."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for entry in store.listStatus(path):
+        for file in store.listStatus(entry.getPath()) if entry.isDirectory() else [entry]:
+            found.append(f"{file.getPath()} {file.getLen()} {file.getModificationTime()}")
+    return "\n".join(sorted(found))
 
 
 class Gold:
@@ -95,15 +109,35 @@ class Gold:
 
     @cached_property
     def text_index(self) -> search.TextIndex:
-        index = search.build_index(self.profiles)
-        return index._replace(weights=materialise(index.weights, "term-weights"))
+        return search.build_index(self.business_scores, self.enriched_rows.select("business_id", "text"))
 
     @cached_property
     def ratings(self) -> DataFrame:
-        rows = self.enriched_rows.select(
-            "review_id", "user_id", "business_id", F.col("stars").cast("float").alias("stars")
-        )
-        return materialise(rows, "ratings")
+        return materialise(raw.ratings(self.enriched_rows), "ratings")
+
+    @cached_property
+    def matrix(self) -> recommend.RatingMatrix:
+        return recommend.stored_matrix(self.ratings, "review_id")
+
+    @property
+    def split_matrix(self) -> tuple[DataFrame, DataFrame]:
+        return split_by_key(self.matrix.ratings, "review_id")
+
+    @cached_property
+    def factor_model(self) -> ALSModel:
+        return recommend.train_als(self.split_matrix[0])
+
+    @cached_property
+    def test_predictions(self) -> DataFrame:
+        return materialise(self.factor_model.transform(self.split_matrix[1]), "test-predictions")
+
+    @cached_property
+    def model_recommendations(self) -> DataFrame:
+        return materialise(recommend.generate_recommendations(self.factor_model, self.matrix), "model-recommendations")
+
+    @cached_property
+    def classifier_predictions(self) -> DataFrame:
+        return materialise(classifier.predict_held_out(self.judged_rows), "classifier-predictions")
 
     @cached_property
     def recommendations(self) -> DataFrame:

@@ -8,7 +8,7 @@ metro areas, for example, are assigned by a sequential walk over the cities.
 from __future__ import annotations
 
 from venuerank.functions.vocabulary import CUISINE_TAGS, FOOD_AND_DRINK_TAGS
-from venuerank.plans.queries import CUISINE, METRO, MIN_PROFILED, PHRASES, SAMPLE, TASTE, digits
+from venuerank.plans.queries import CITY, CUISINE, MATCH, METRO, PHRASES, SAMPLE, TASTE, UNPROFILED, digits
 
 AS_OF = "2002-01-01"
 BLANKS = "(' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
@@ -37,7 +37,7 @@ def _popularity(rating: str, reviews: str, recency: str) -> str:
 
 
 def _full_stars(rating: str) -> str:
-    return f"CAST(least(round_even(CAST({rating} AS DECIMAL(18,6)), 0), 5) AS INTEGER)"
+    return f"CAST(least(round_even(CAST({rating} AS DECIMAL(38,12)), 0), 5) AS INTEGER)"
 
 
 def _satisfaction(rate: str) -> str:
@@ -188,22 +188,21 @@ PARTS: dict[str, tuple[list[str], str]] = {
                     {BLANKS}) AS profile_text
         FROM scores JOIN (SELECT business_id, string_agg(snippet, ' ' ORDER BY place) AS snippets
                           FROM snippet WHERE place <= 20 GROUP BY business_id) USING (business_id)"""),
-    "words": (["profile"], r"""
-        SELECT metro_area, business_id,
-               regexp_extract_all(lower(profile_text), '[\p{L}\p{N}_]{2,}') AS w
-        FROM profile"""),
+    "words": (["enriched", "scores"], r"""
+        SELECT metro_area, business_id, 1 AS times, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS w FROM enriched
+        UNION ALL
+        SELECT metro_area, business_id, 3, regexp_extract_all(lower(categories), '[\p{L}\p{N}_]{2,}') FROM scores"""),
     "terms": (["words"], """
-        SELECT metro_area, business_id, term, count(*) AS tf
-        FROM (SELECT metro_area, business_id,
+        SELECT metro_area, business_id, term, CAST(sum(times) AS BIGINT) AS tf
+        FROM (SELECT metro_area, business_id, times,
                      unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
               FROM words)
         GROUP BY ALL"""),
-    "vocabulary": (["terms", "profile"], """
+    "vocabulary": (["terms", "scores"], """
         SELECT metro_area, term, corpus_count, doc_count, ln((1 + n) / (1 + doc_count)) + 1 AS idf
         FROM (SELECT metro_area, term, CAST(sum(tf) AS BIGINT) AS corpus_count, count(*) AS doc_count
-              FROM terms GROUP BY metro_area, term
-              QUALIFY row_number() OVER (PARTITION BY metro_area ORDER BY sum(tf) DESC, term) <= 20000)
-        JOIN (SELECT metro_area, count(*) AS n FROM profile GROUP BY ALL) USING (metro_area)"""),
+              FROM terms GROUP BY metro_area, term)
+        JOIN (SELECT metro_area, count(*) AS n FROM scores GROUP BY ALL) USING (metro_area)"""),
     "weights": (["terms", "vocabulary"], """
         SELECT metro_area, business_id, term,
                raw / sqrt(sum(raw * raw) OVER (PARTITION BY metro_area, business_id)) AS weight
@@ -234,12 +233,12 @@ PARTS: dict[str, tuple[list[str], str]] = {
                   + 0.15e0 * (p.avg_rating / 5)) AS final_score
         FROM question q JOIN profile p ON p.metro_area = q.metro_area
         LEFT JOIN matched m ON m.query_id = q.query_id AND m.business_id = p.business_id"""),
-    "found": (["blended"], """
+    "found": (["blended"], f"""
         SELECT * FROM (
             SELECT *, CAST(row_number() OVER (PARTITION BY query_id
                                               ORDER BY round(final_score, 9) DESC, business_id) AS INTEGER) AS position
             FROM blended)
-        WHERE position <= 10 AND match_score > 0.05"""),
+        WHERE position <= 10 AND match_score > {MATCH}"""),
     "rating": (["enriched"], """
         SELECT review_id, user_id, business_id, CAST(stars AS FLOAT) AS stars FROM enriched"""),
     "recommendation": (["rating"], """
@@ -277,7 +276,10 @@ PARTS: dict[str, tuple[list[str], str]] = {
         SELECT sum(hits) / sum(actual) AS accuracy,
                sum(2 * hits / (actual + guessed) * actual) / sum(actual) AS weighted_f1
         FROM per_label"""),
-    "large": (["profile"], f"SELECT metro_area FROM profile GROUP BY metro_area HAVING count(*) >= {MIN_PROFILED}"),
+    "train": (["rating"], f"SELECT * FROM rating WHERE substring(md5('42:' || review_id), 1, 8) < '{SPLIT_LIMIT}'"),
+    "held": ([], """
+        SELECT CAST(quality AS INTEGER) AS label, CAST(round(count(*) * 0.2e0) AS BIGINT) AS held_out
+        FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY quality"""),
     "precision_at": (["recommendation"], """
         SELECT coalesce(avg(share), 0) AS precision_at_k
         FROM (SELECT avg(CASE WHEN predicted_rating >= 4 THEN 1 ELSE 0 END) AS share
@@ -367,7 +369,7 @@ ORACLES: dict[str, str] = {
         SELECT metro_area, grid_cell, neighborhood, satisfaction, positive_count, negative_count, restaurant_count,
                CAST(row_number() OVER (PARTITION BY metro_area ORDER BY satisfaction DESC, grid_cell) AS INTEGER) AS position
         FROM (SELECT c.*, neighborhood,
-                     CAST(round_even(CAST({_satisfaction('metro_rate')} AS DECIMAL(18,6)), 1) AS DOUBLE) AS satisfaction
+                     CAST(round_even(CAST({_satisfaction('metro_rate')} AS DECIMAL(38,12)), 1) AS DOUBLE) AS satisfaction
               FROM (SELECT *, coalesce(sum(positive_count) OVER (PARTITION BY metro_area)
                               / nullif(sum(positive_count + negative_count) OVER (PARTITION BY metro_area), 0), 0.5e0) AS metro_rate
                     FROM cell_sentiment) c
@@ -382,7 +384,7 @@ ORACLES: dict[str, str] = {
         + _r("center_lat", "center_lng", "avg_popularity", "bayesian_score")
         + " FROM grid g LEFT JOIN bayes b ON b.grid_cell = g.grid_cell AND b.metro_area = g.metro_area", "grid", "bayes"),
     "sentiment_chart": sql(
-        "SELECT metro_area, substring(grid_cell, 1, 18) AS cell, round(raw_score * 10, 6) AS raw,"
+        "SELECT metro_area, grid_cell AS cell, round(raw_score * 10, 6) AS raw,"
         " round(global_rate * 10, 6) AS city_average, "
         + _band("bayesian_score", "8", "6", ("#c62828", "#e65100", "#2e7d32")) + " AS band, "
         + _r("bayesian_score") + " FROM bayes", "bayes"),
@@ -422,6 +424,7 @@ ORACLES: dict[str, str] = {
               WHERE position <= 50 WINDOW m AS (PARTITION BY metro_area))""", "scores"),
     "metros": sql("SELECT DISTINCT metro_area FROM scores", "scores"),
     "cities": sql("SELECT DISTINCT city FROM scores", "scores"),
+    "in_city": sql(f"SELECT {_SCORE_ROW} FROM scores WHERE city = '{CITY}'", "scores"),
     "businesses_by_cuisine": sql(
         f"SELECT {_SCORE_ROW} FROM scores WHERE lower(categories) LIKE lower('%{CUISINE}%')", "scores"),
     "cuisine_tags_by_metro": sql(f"""
@@ -440,18 +443,26 @@ ORACLES: dict[str, str] = {
         FROM scores WHERE metro_area = '{METRO}'""", "scores"),
     "business_profiles": sql(f"SELECT {_PROFILE_ROW} FROM profile", "profile"),
     "profiles_with_fallback": sql(f"""
-        SELECT {_PROFILE_ROW} FROM profile WHERE metro_area IN (FROM large)
+        SELECT {_PROFILE_ROW} FROM profile WHERE metro_area NOT IN ({_texts(UNPROFILED)})
         UNION ALL
         SELECT {_PROFILE_ROW}
         FROM (SELECT *, trim(categories) || ' ' || trim(categories) || ' ' || trim(categories) AS profile_text FROM scores)
-        WHERE metro_area NOT IN (FROM large)""", "large"),
+        WHERE metro_area IN ({_texts(UNPROFILED)})""", "profile"),
     "sanitized_profiles": sql(
         "SELECT business_id, CAST(review_count AS INTEGER) AS review_count, "
         + ", ".join(_single_line(c) for c in ("name", "metro_area", "city", "profile_text"))
         + ", " + _r("latitude", "longitude", "avg_rating", "popularity_score") + " FROM profile", "profile"),
-    "tfidf_vocabulary": sql(
-        "SELECT metro_area, term, corpus_count, doc_count, " + _r("idf") + " FROM vocabulary", "vocabulary"),
-    "tfidf_index": sql("SELECT metro_area, business_id, term, " + _r("weight") + " FROM weights", "weights"),
+    "tfidf_vocabulary": sql("""
+        SELECT metro_area, doc_count, count(*) AS terms, CAST(sum(corpus_count) AS BIGINT) AS corpus_count,
+               round(max(idf), 6) AS idf, min(term) AS first_term, max(term) AS last_term
+        FROM vocabulary GROUP BY metro_area, doc_count""", "vocabulary"),
+    "tfidf_index": sql("""
+        SELECT metro_area, business_id, count(*) AS terms, round(sum(weight), 6) AS weight_sum,
+               round(max(weight), 6) AS heaviest, min(term) AS first_term, max(term) AS last_term
+        FROM weights GROUP BY metro_area, business_id""", "weights"),
+    "tfidf_weights": sql(
+        "SELECT metro_area, business_id, term, " + _r("weight") + " FROM weights SEMI JOIN question_term USING (metro_area, term)",
+        "weights", "question_term"),
     "text_search": sql(
         "SELECT query_id, business_id, name, metro_area, city, review_count, position, "
         + _r("latitude", "longitude", "avg_rating", "popularity_score", "match_score", "final_score") + " FROM found",
@@ -490,6 +501,31 @@ ORACLES: dict[str, str] = {
     "matrix_size": sql(
         "SELECT count(*) AS ratings, count(DISTINCT user_id) AS users, count(DISTINCT business_id) AS businesses FROM rating",
         "rating"),
+    "als_top_n": sql("""
+        SELECT user_id, CAST(rank AS INTEGER) AS rank, true AS is_known, true AS in_order
+        FROM (SELECT DISTINCT user_id FROM train),
+             (SELECT unnest(range(1, 1 + least(10, count(DISTINCT business_id)))) AS rank FROM train)""", "train"),
+    "als_rmse": sql("""
+        SELECT count(*) AS scored, true AS rmse_in_bounds
+        FROM (SELECT * FROM rating ANTI JOIN train USING (review_id))
+        SEMI JOIN train USING (user_id) WHERE business_id IN (SELECT business_id FROM train)""", "train"),
+    "als_rank_sweep": "SELECT CAST(rank AS INTEGER) AS rank, true AS rmse_in_bounds, true AS one_best FROM (VALUES (5), (10), (20)) AS r(rank)",
+    "als_grid_search": """
+        SELECT CAST(rank AS INTEGER) AS rank, CAST(reg_param AS DOUBLE) AS reg_param, true AS rmse_in_bounds, true AS one_best
+        FROM (VALUES (10), (20)) AS r(rank), (VALUES (0.01e0), (0.1e0)) AS p(reg_param)""",
+    "als_requests": sql(f"""
+        SELECT user_id, '{METRO}' AS metro_area, CAST(rank AS INTEGER) AS rank, true AS is_there, true AS in_order
+        FROM (SELECT DISTINCT user_id FROM train),
+             (SELECT unnest(range(1, 1 + least(10, count(DISTINCT business_id)))) AS rank
+              FROM train SEMI JOIN (SELECT business_id FROM scores WHERE metro_area = '{METRO}') USING (business_id))""",
+        "train", "scores"),
+    "als_served": sql("""
+        SELECT DISTINCT user_id, true AS some_shown, true AS fits, true AS rated, true AS cards_right
+        FROM train SEMI JOIN (SELECT DISTINCT user_id FROM recommendation) USING (user_id)""", "train", "recommendation"),
+    "als_status": "SELECT metric, true AS in_bounds, true AS status_agrees FROM (VALUES ('rmse'), ('precision_at_k'), ('weighted_f1')) AS m(metric)",
+    "sentiment_classifier_metrics": sql(
+        "SELECT CAST(sum(held_out) AS BIGINT) AS held_out, true AS accuracy_in_bounds, true AS f1_in_bounds FROM held", "held"),
+    "sentiment_classifier_confusion": sql("SELECT label AS actual, held_out FROM held", "held"),
     "rmse_of_predictions": sql(
         "SELECT " + _r("rmse") + ", CASE WHEN rmse.rmse < 1.5 THEN 'PASS' ELSE 'FAIL' END AS status FROM rmse", "rmse"),
     "classification_metrics": sql(
@@ -535,7 +571,7 @@ ORACLES: dict[str, str] = {
     "score_summary": sql(
         "SELECT metric, count(*) AS count, "
         + ", ".join(
-            f"CAST(round_even(CAST({figure} AS DECIMAL(18,6)), 3) AS DOUBLE) AS {name}" for name, figure in {
+            f"CAST(round_even(CAST({figure} AS DECIMAL(38,12)), 3) AS DOUBLE) AS {name}" for name, figure in {
                 "mean": "avg(value)", "std": "stddev_samp(value)", "min": "min(value)",
                 "p25": "quantile_cont(value, 0.25)", "p50": "quantile_cont(value, 0.5)",
                 "p75": "quantile_cont(value, 0.75)", "max": "max(value)",
@@ -553,7 +589,7 @@ ORACLES: dict[str, str] = {
               SELECT * FROM (SELECT *, rank_pop - rank_raw AS rank_shift, 'down' AS direction FROM places
                              ORDER BY rank_shift DESC, business_id LIMIT 10))""", "places"),
     "top10_by_city": sql(f"""
-        SELECT city, position, business_id, substring(name, 1, 28) AS name, {_r('popularity_score')},
+        SELECT city, position, business_id, name, {_r('popularity_score')},
                {_band('norm', '0.7', '0.4', ('#c62828', '#e65100', '#2e7d32'))} AS colour
         FROM (SELECT *, (popularity_score - min(popularity_score) OVER c)
                         / greatest(max(popularity_score) OVER c - min(popularity_score) OVER c, 1e-9) AS norm

@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from venuerank.functions.geo import haversine_km
 from venuerank.functions.scoring import status
+from venuerank.functions.text import unigrams_and_bigrams
 from venuerank.operators import (
     classifier, clean, explore, metro, profiles, recommend, sampling, scores, search, sentiment, serving,
 )
 from venuerank.operators.neighborhoods import add_neighborhood_labels, largest_cells, metro_centres
 from venuerank.operators.ranking import ordered_position
 from venuerank.plans.gold import Gold, gold
-from venuerank.session import materialise
 from venuerank.sinks.guards import duplicate_keys
 from venuerank.sources import star_schema
 
@@ -25,11 +25,16 @@ DIGITS = 6
 CENTRE_DIGITS = 8
 CENTRES = {"center_lat", "center_lng", "city_lat", "city_lng"}
 METRO = "City 1"
+CITY = "City 3"
+WORST_RMSE = 4.0  # stars run from 1 to 5
 CUISINE = "Mexican"
 TASTE = ["Mexican", "Bars"]
-PHRASES = ["best mexican restaurants", "fast food", "quiet coffee tea nightlife"]
-MIN_PROFILED = 60
+PHRASES = ["best mexican restaurants", "fast food", "quiet coffee tea nightlife", " \t"]
+# metros whose profiles are left to the fallback, as if they had not been indexed yet
+UNPROFILED = ["City 1", "City 10"]
 SAMPLE = 10_000
+# a venue's vector spreads over all words of all its reviews, which these tables make of invented words
+MATCH = 0.002
 
 
 def digits(column: str) -> int:
@@ -102,17 +107,29 @@ def neighborhood_labels(g: Gold) -> DataFrame:
 # --- profiles and search ---
 
 def profiles_with_fallback(g: Gold) -> DataFrame:
-    sizes = g.profiles.groupBy("metro_area").agg(F.count(F.lit(1)).alias("venues"))
-    large = sizes.filter(F.col("venues") >= MIN_PROFILED).select("metro_area")
-    return profiles.profiles_with_fallback(g.profiles.join(large, "metro_area", "left_semi"), g.business_scores)
+    return profiles.profiles_with_fallback(g.profiles.filter(~F.col("metro_area").isin(UNPROFILED)), g.business_scores)
 
 
 def tfidf_vocabulary(g: Gold) -> DataFrame:
-    return search.build_index(g.profiles).vocabulary
+    """Each metro's terms, counted by the number of venues that have them."""
+    return g.text_index.vocabulary.groupBy("metro_area", "doc_count").agg(
+        F.count(F.lit(1)).alias("terms"), F.sum("corpus_count").alias("corpus_count"), F.max("idf").alias("idf"),
+        F.min("term").alias("first_term"), F.max("term").alias("last_term"),
+    )
 
 
 def tfidf_index(g: Gold) -> DataFrame:
-    return search.build_index(g.profiles).weights
+    """Each venue's vector over all terms of its reviews, summed up: its terms, weights and heaviest weight."""
+    return search.term_weights(g.text_index).groupBy("metro_area", "business_id").agg(
+        F.count(F.lit(1)).alias("terms"), F.sum("weight").alias("weight_sum"), F.max("weight").alias("heaviest"),
+        F.min("term").alias("first_term"), F.max("term").alias("last_term"),
+    )
+
+
+def tfidf_weights(g: Gold) -> DataFrame:
+    """Weights of the phrases' terms in every venue that has them."""
+    words = phrases(g).select("metro_area", F.explode(unigrams_and_bigrams(F.col("query"))).alias("term")).distinct()
+    return search.term_weights(g.text_index, words)
 
 
 def phrases(g: Gold) -> DataFrame:
@@ -126,7 +143,7 @@ def phrases(g: Gold) -> DataFrame:
 
 
 def text_search(g: Gold) -> DataFrame:
-    return search.search(phrases(g), g.profiles, g.text_index)
+    return search.search(phrases(g), g.profiles, g.text_index, min_match=MATCH)
 
 
 # --- recommendations ---
@@ -156,26 +173,85 @@ def rmse_of_predictions(g: Gold) -> DataFrame:
     return recommend.rmse_table(venue_mean_predictions(g), "stars", "prediction")
 
 
-def _split_matrix(g: Gold) -> tuple[DataFrame, DataFrame]:
-    matrix = recommend.build_user_item_matrix(g.ratings, ("review_id",))
-    train, test = sampling.split_by_key(materialise(matrix.ratings, "matrix"), "review_id")
-    return train.drop("review_id"), test.drop("review_id")
+# A model's figures hang on its arithmetic; of the queries below SQL checks what must hold for any
+# model: who is served, with how many rows, in what order, and that each figure is within its bounds.
+
+def _in_order(df: DataFrame, keys: list[str]) -> Column:
+    """Whether a row's predicted rating is no higher than that of the rank before."""
+    before = F.lag("predicted_rating").over(Window.partitionBy(*keys).orderBy("rank"))  # ten rows a key
+    return F.coalesce(F.col("predicted_rating") <= before, F.lit(True))
 
 
 def als_top_n(g: Gold) -> DataFrame:
-    return recommend.fit_and_recommend(g.ratings, "review_id")[0]
+    known = g.ratings.select("business_id").distinct().withColumn("is_known", F.lit(True))
+    found = g.model_recommendations.withColumn("in_order", _in_order(g.model_recommendations, ["user_id"]))
+    return found.join(known, "business_id", "left").select(
+        "user_id", "rank", F.coalesce("is_known", F.lit(False)).alias("is_known"), "in_order"
+    )
 
 
 def als_rmse(g: Gold) -> DataFrame:
-    return recommend.fit_and_recommend(g.ratings, "review_id")[1]
+    scored = recommend.real_predictions(g.test_predictions)
+    rmse = recommend.rmse_table(scored, "stars", "prediction")
+    rows = scored.agg(F.count(F.lit(1)).alias("scored"))
+    figures = rows.select(F.lit("scored").alias("what"), F.col("scored").cast("double").alias("value")).unionByName(
+        rmse.select(F.lit("rmse").alias("what"), F.col("rmse").alias("value"))
+    )
+    at = lambda name: F.max(F.when(F.col("what") == name, F.col("value")))
+    return figures.agg(at("scored").cast("long").alias("scored"), at("rmse").between(0.0, WORST_RMSE).alias("rmse_in_bounds"))
+
+
+def _swept(table: DataFrame, keys: list[str]) -> DataFrame:
+    """The parameters tried, with whether their figure is in bounds and one is the best of all."""
+    best = table.agg(F.sum(F.col("is_best").cast("int")).alias("n"), F.min("rmse").alias("least")).first()
+    right = F.lit(best["n"] == 1) & (F.col("is_best") == (F.col("rmse") == best["least"]))
+    return table.select(*keys, F.col("rmse").between(0.0, WORST_RMSE).alias("rmse_in_bounds"), right.alias("one_best"))
 
 
 def als_rank_sweep(g: Gold) -> DataFrame:
-    return recommend.rank_sweep(*_split_matrix(g))
+    return _swept(recommend.rank_sweep(*g.split_matrix), ["rank"])
 
 
 def als_grid_search(g: Gold) -> DataFrame:
-    return recommend.grid_search(_split_matrix(g)[0])[1]
+    return _swept(recommend.grid_search(g.split_matrix[0])[1], ["rank", "reg_param"])
+
+
+def als_requests(g: Gold) -> DataFrame:
+    """The model's best venues of one metro, for every user."""
+    asked = g.ratings.select("user_id").distinct().withColumn("metro_area", F.lit(METRO))
+    found = recommend.recommend_for_requests(g.factor_model, g.matrix, asked, g.business_scores)
+    here = g.business_scores.select("business_id", F.col("metro_area").alias("its_metro"))
+    keys = ["user_id", "metro_area"]
+    return found.withColumn("in_order", _in_order(found, keys)).join(here, "business_id").select(
+        *keys, "rank", (F.col("its_metro") == F.col("metro_area")).alias("is_there"), "in_order"
+    )
+
+
+def als_served(g: Gold) -> DataFrame:
+    """The model's recommendations as they are served: how many each user sees, and whether they fit the request."""
+    shown = serving.recommendations_for(requests(g).join(g.model_recommendations.select("user_id").distinct(), "user_id", "left_semi"), g.model_recommendations, g.business_scores)
+    cards = serving.recommendation_cards(shown)
+    fits = F.min((F.col("metro_area") == F.col("requested_metro")) | ~F.col("city_filtered"))
+    rows = shown.groupBy("user_id").agg(
+        F.count(F.lit(1)).between(1, recommend.TOP_N).alias("some_shown"), fits.alias("fits"),
+        F.max("predicted_rating").isNotNull().alias("rated"),
+    )
+    drawn = cards.groupBy("user_id").agg(F.min(F.col("match_pct").between(0, 100) & (F.col("full_stars") + F.col("empty_stars") == 5)).alias("cards_right"))
+    return rows.join(drawn, "user_id")
+
+
+def als_status(g: Gold) -> DataFrame:
+    """Figures of the models' outputs: whether each is in bounds, and its status agrees with it."""
+    rmse = recommend.rmse_table(g.test_predictions, "stars", "prediction").select(F.lit("rmse").alias("metric"), F.col("rmse").alias("value"), "status", F.lit(WORST_RMSE).alias("most"))
+    precision = recommend.predicted_precision_at_k(g.model_recommendations).select(
+        F.lit("precision_at_k").alias("metric"), F.col("precision_at_k").alias("value"),
+        status(F.col("precision_at_k"), F.col("precision_at_k") >= 0.5).alias("status"), F.lit(1.0).alias("most"),
+    )
+    f1 = classifier.classification_metrics(g.classifier_predictions).select(F.lit("weighted_f1").alias("metric"), F.col("weighted_f1").alias("value"), "status", F.lit(1.0).alias("most"))
+    passed = F.when(F.col("metric") == "rmse", F.col("value") < recommend.MAX_RMSE).when(F.col("metric") == "weighted_f1", F.col("value") >= classifier.MIN_F1).otherwise(F.col("value") >= 0.5)
+    return rmse.unionByName(precision).unionByName(f1).select(
+        "metric", F.col("value").between(F.lit(0.0), F.col("most")).alias("in_bounds"), (F.col("status") == F.when(passed, "PASS").otherwise("FAIL")).alias("status_agrees")
+    )
 
 
 # --- classifier ---
@@ -188,11 +264,17 @@ def wordy_predictions(g: Gold) -> DataFrame:
 
 
 def sentiment_classifier_metrics(g: Gold) -> DataFrame:
-    return classifier.classification_metrics(classifier.predict_held_out(g.judged_rows))
+    figures = classifier.classification_metrics(g.classifier_predictions)
+    rows = g.classifier_predictions.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return figures.select(
+        rows.alias("held_out"), F.col("accuracy").between(0.5, 1.0).alias("accuracy_in_bounds"),
+        F.col("weighted_f1").between(0.5, 1.0).alias("f1_in_bounds"),
+    )
 
 
 def sentiment_classifier_confusion(g: Gold) -> DataFrame:
-    return classifier.confusion_matrix(classifier.predict_held_out(g.judged_rows))
+    cells = classifier.confusion_matrix(g.classifier_predictions)
+    return cells.select("actual", (F.col("predicted_0") + F.col("predicted_1")).alias("held_out"))
 
 
 def eval_status(g: Gold) -> DataFrame:
@@ -250,6 +332,7 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "pin_classes": lambda g: serving.business_pins(g.business_scores),
     "metros": lambda g: serving.metros(g.business_scores),
     "cities": lambda g: serving.cities(g.business_scores),
+    "in_city": lambda g: serving.in_city(g.business_scores, CITY),
     "businesses_by_cuisine": lambda g: serving.businesses_by_cuisine(g.business_scores, CUISINE),
     "cuisine_tags_by_metro": lambda g: serving.cuisine_tags_by_metro(g.business_scores),
     "metro_summary": lambda g: serving.metro_summary(g.business_scores, g.grid_aggregates, CUISINE),
@@ -259,6 +342,7 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "sanitized_profiles": lambda g: profiles.sanitise(g.profiles),
     "tfidf_vocabulary": tfidf_vocabulary,
     "tfidf_index": tfidf_index,
+    "tfidf_weights": tfidf_weights,
     "text_search": text_search,
     "search_cards": lambda g: serving.search_cards(text_search(g)),
     "recommendations_for_user": recommendations_for_user,
@@ -275,6 +359,9 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "als_rmse": als_rmse,
     "als_rank_sweep": als_rank_sweep,
     "als_grid_search": als_grid_search,
+    "als_requests": als_requests,
+    "als_served": als_served,
+    "als_status": als_status,
     "classification_metrics": lambda g: classifier.classification_metrics(wordy_predictions(g)),
     "confusion_matrix": lambda g: classifier.confusion_matrix(wordy_predictions(g)),
     "sentiment_classifier_metrics": sentiment_classifier_metrics,
