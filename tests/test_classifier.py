@@ -24,8 +24,10 @@ def test_learns_a_separable_corpus(spark):
     assert sum(r["predicted_0"] + r["predicted_1"] for r in classifier.confusion_matrix(predictions).collect()) == 36
 
 
-def test_cap(spark):
-    assert classifier.prepare(corpus(spark), cap=50).count() == 50
+def test_cap_bounds_the_fit_only(spark):
+    train, test = classifier.prepare(corpus(spark), cap=50)
+    assert (train.count(), test.count()) == (50, 36)
+    assert train.join(test, "review_id").isEmpty()
 
 
 def test_needs_both_labels(spark):

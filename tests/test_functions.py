@@ -110,7 +110,7 @@ def test_bayesian_score_shrinks(spark):
     assert abs(bayes(spark, 10, 0, 0.5, 100) - 0.5) < abs(bayes(spark, 10, 0, 0.5, 5) - 0.5)
 
 
-@pytest.mark.parametrize("value, digits, rounded", [(2.5, 0, 2.0), (3.5, 0, 4.0), (7.25, 1, 7.2), (7.35, 1, 7.4)])
+@pytest.mark.parametrize("value, digits, rounded", [(2.5, 0, 2.0), (3.5, 0, 4.0), (7.25, 1, 7.2), (7.35, 1, 7.4), (8.4500004, 1, 8.5), (8.45, 1, 8.4)])
 def test_half_even(spark, value, digits, rounded):
     assert one(spark, "v double", (value,), scoring.half_even(F.col("v"), digits)) == rounded
 

@@ -62,7 +62,7 @@ def test_seeded_runs_agree(matrix):
 
 
 def test_search_over_parameters(matrix):
-    best, table = recommend.grid_search(matrix.ratings, (2, 4), (0.1,), max_iter=2)
+    best, table = recommend.grid_search(matrix.ratings.withColumn("review_id", F.monotonically_increasing_id()), (2, 4), (0.1,), max_iter=2)
     assert best.rank in (2, 4)
     rows = table.collect()
     assert len(rows) == 2 and sum(r["is_best"] for r in rows) == 1
@@ -113,8 +113,30 @@ def test_precision(spark, rows, options, expected):
     assert precision(spark, rows, **options) == expected
 
 
-def test_blocks_grow_with_the_ratings():
-    assert [recommend.blocks_for(n) for n in (0, 10**6, 10**8, 10**12)] == [10, 10, 50, 1000]
+def test_folds_hang_on_keys_alone(spark):
+    rows = spark.range(200).selectExpr("concat('r', id) review_id", "cast(id % 20 as int) user_idx",
+                                       "cast((id * 7) % 31 as int) business_idx", "cast(1 + id % 5 as float) stars")
+    few, many = (recommend.grid_search(rows.repartition(n), (2,), (0.1, 1.0), max_iter=2)[1].collect() for n in (1, 5))
+    assert [r["rmse"] for r in few] == pytest.approx([r["rmse"] for r in many], rel=1e-4)
+
+
+def test_requests_are_answered_from_their_metro(spark):
+    rows = spark.range(400).selectExpr("concat('r', id) review_id", "concat('u', id % 20) user_id",
+                                       "concat('b', (id * 7) % 31) business_id", "cast(1 + id % 5 as float) stars")
+    matrix = recommend.stored_matrix(rows, "review_id")
+    model = recommend.train_als(matrix.ratings, 3, 3)
+    venues = spark.range(31).selectExpr("concat('b', id) business_id", "if(id % 2 = 0, 'M', 'N') metro_area")
+    asked = spark.createDataFrame([("u1", "M"), ("u2", "N"), ("u2", "M"), ("nobody", "M"), ("u3", "nowhere")], "user_id string, metro_area string")
+    found = recommend.recommend_for_requests(model, matrix, asked, venues, 5)
+    assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+    ids = {r["user_id"]: r["user_idx"] for r in matrix.users.collect()}
+    items = {r["business_id"]: r["business_idx"] for r in matrix.businesses.collect()}
+    u, v = ({r["id"]: r["features"] for r in f.collect()} for f in (model.userFactors, model.itemFactors))
+    for user, metro in (("u1", "M"), ("u2", "N"), ("u2", "M")):
+        scored = sorted((-sum(a * b for a, b in zip(u[ids[user]], v[items[f"b{i}"]])), f"b{i}") for i in range(31) if (i % 2 == 0) == (metro == "M"))
+        got = found.filter((F.col("user_id") == user) & (F.col("metro_area") == metro)).orderBy("rank").collect()
+        assert [r["predicted_rating"] for r in got] == pytest.approx([-s for s, _ in scored[:5]], rel=1e-4)
+    assert found.select("user_id").distinct().count() == 2
 
 
 def test_matrix_size(ratings):

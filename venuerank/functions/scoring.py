@@ -60,8 +60,12 @@ def bayesian_score(positive: Column, negative: Column, prior_rate: Column, prior
 
 
 def half_even(value: Column, digits: int) -> Column:
-    """Round half to even on the decimal value, not on its binary neighbour."""
-    return F.bround(value.cast("decimal(18,6)"), digits).cast("double")
+    """Round half to even on the decimal value, not on its binary neighbour.
+
+    Twelve places are kept first: enough that no value is moved onto a tie, few enough that the
+    last bits of a sum don't move a tie off itself.
+    """
+    return F.bround(value.cast("decimal(38,12)"), digits).cast("double")
 
 
 def min_max(value: Column, low: Column, high: Column, floor: float = 1e-6) -> Column:

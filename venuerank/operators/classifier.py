@@ -19,8 +19,6 @@ SAMPLE_ROWS = 200_000
 TEST_FRACTION = 0.2
 SEED = 42
 MIN_F1 = 0.80
-MAX_PARTS = 64
-FIT_ROWS_PER_PART = 12_500  # the fit takes hundreds of short passes, so parts should not be small
 
 
 def binary_labels(reviews: DataFrame) -> DataFrame:
@@ -28,22 +26,30 @@ def binary_labels(reviews: DataFrame) -> DataFrame:
     return reviews.filter(F.col("stars") != 3).withColumn("label", (F.col("stars") >= 4).cast("double"))
 
 
-def prepare(reviews: DataFrame, cap: int = SAMPLE_ROWS) -> DataFrame:
-    """Labelled, capped and split `review_id, label, is_test, terms`, stored once."""
+def prepare(reviews: DataFrame, cap: int = SAMPLE_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Fitting rows, at most `cap` and stored, and all held-out rows: `review_id, label, terms`.
+
+    Keys are split and sampled first; texts are fetched for those chosen.
+    """
     labelled = binary_labels(reviews).select("review_id", "text", "label")
-    # the sample is small; spread evenly, every pass over it uses all cores it can
-    parts = min(labelled.sparkSession.sparkContext.defaultParallelism, MAX_PARTS)
-    sample = materialise(capped_sample(labelled, "review_id", cap, SEED).repartition(parts), "sample")
-    split = stratified_split(sample, "review_id", "label", TEST_FRACTION, SEED)
-    return materialise(
-        split.select("review_id", "label", "is_test", unigrams_and_bigrams(F.col("text")).alias("terms")), "labelled"
-    )
+    split = stratified_split(labelled.select("review_id", "label"), "review_id", "label", TEST_FRACTION, SEED)
+    split = materialise(split.select("review_id", "is_test"), "split")
+    chosen = materialise(capped_sample(split.filter("NOT is_test"), "review_id", cap, SEED).select("review_id"), "chosen")
+
+    def fetched(keys: DataFrame) -> DataFrame:
+        found = labelled.join(keys.select("review_id"), "review_id")
+        return found.select("review_id", "label", unigrams_and_bigrams(F.col("text")).alias("terms"))
+
+    # the fit reads its rows often: stored once, and dealt evenly over the session's partitions
+    return materialise(fetched(chosen).hint("rebalance"), "fitting"), fetched(split.filter("is_test"))
 
 
 def predict_held_out(reviews: DataFrame, cap: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY_SIZE) -> DataFrame:
-    """`review_id, label, prediction` of the held-out reviews."""
-    terms = prepare(reviews, cap)
-    train, test = terms.filter(~F.col("is_test")), terms.filter("is_test")
+    """`review_id, label, prediction` of every held-out review.
+
+    `cap` bounds the rows the model is fitted on, `vocabulary` the terms it holds in the driver.
+    """
+    train, test = prepare(reviews, cap)
     sizes = train.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("label").alias("classes")).first()
     if sizes["classes"] < 2:
         raise ValueError("the classifier needs reviews of both labels")
@@ -62,7 +68,7 @@ def predict_held_out(reviews: DataFrame, cap: int = SAMPLE_ROWS, vocabulary: int
     # strength 1 of the ridge penalty on the summed loss is 1/n on the mean loss
     model = LogisticRegression(
         maxIter=1000, tol=1e-4, regParam=1.0 / sizes["n"], elasticNetParam=0.0, standardization=False
-    ).fit(materialise(features(train), "features").coalesce(1 + sizes["n"] // FIT_ROWS_PER_PART))
+    ).fit(materialise(features(train), "features"))
     return model.transform(features(test)).select("review_id", "label", "prediction")
 
 

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from venuerank.functions.scoring import CHART_COLOURS, banded, half_even, min_max, score_order
-from venuerank.operators.ranking import ordered_position, position_within, top_per_group
+from venuerank.operators.ranking import ordered_position, running_total, top_per_group
+from venuerank.session import materialise
 
 BINS = 20
 SCORES = ["avg_rating", "popularity_score"]
 MEASURES = ["avg_rating", "review_count", "recency_score", "popularity_score"]
-NAME_CHARS = 28
 
 
 def frequency(df: DataFrame, value: Column, name: str) -> DataFrame:
@@ -59,25 +59,31 @@ def score_histogram(business_scores: DataFrame, columns: list[str] = SCORES, bin
 def score_summary(business_scores: DataFrame, columns: list[str] = MEASURES) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles, to three digits.
 
-    Quartiles interpolate between neighbours in one distributed sort, so no task holds the
-    values of a whole column.
+    Equal values are counted together first, so a value that many venues share is one row of the
+    distributed sort; quartiles interpolate between neighbours found by the running counts.
     """
-    placed = position_within(_long(business_scores, columns), "metric", [F.col("value").asc()])
+    values = _long(business_scores, columns)
+    plain = values.groupBy("metric").agg(
+        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    counted = values.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("rows"))
+    placed = running_total(counted, [F.asc("metric"), F.asc("value")], "rows", "before")
+    starts = placed.groupBy("metric").agg(F.min("before").alias("first"), F.sum("rows").alias("size"))
+    within = placed.join(materialise(starts, "metric-sizes"), "metric").withColumn("before", F.col("before") - F.col("first"))
 
     def at(position: Column) -> Column:
-        return F.max(F.when(F.col("position") == position, F.col("value")))
+        there = (F.col("before") <= position) & (position < F.col("before") + F.col("rows"))
+        return F.max(F.when(there, F.col("value")))
 
     def quartile(p: float) -> Column:
-        place = (F.col("group_size") - 1) * F.lit(p)
+        place = (F.col("size") - 1) * F.lit(p)
         low, high = at(F.floor(place)), at(F.ceil(place))
         return low + (high - low) * F.max(place - F.floor(place))
 
-    figures = {
-        "mean": F.avg("value"), "std": F.stddev_samp("value"), "min": F.min("value"),
-        "p25": quartile(0.25), "p50": quartile(0.5), "p75": quartile(0.75), "max": F.max("value"),
-    }
-    return placed.groupBy("metric").agg(
-        F.count(F.lit(1)).alias("count"), *[half_even(figure, 3).alias(name) for name, figure in figures.items()]
+    quartiles = within.groupBy("metric").agg(*[quartile(p).alias(n) for n, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))])
+    return plain.join(quartiles, "metric").select(
+        "metric", "count", *[half_even(F.col(c), 3).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")]
     )
 
 
@@ -87,9 +93,16 @@ def rank_shift(business_scores: DataFrame) -> DataFrame:
     A negative shift is a move up.
     """
     shown = business_scores.select("business_id", "name", "avg_rating", "review_count", "popularity_score")
-    by_rating = ordered_position(shown, [score_order("avg_rating"), F.asc("business_id")], "rank_raw")
-    by_score = ordered_position(by_rating, [score_order("popularity_score"), F.asc("business_id")], "rank_pop")
-    return by_score.withColumn("rank_shift", F.col("rank_pop") - F.col("rank_raw"))
+
+    def places(score: str, name: str) -> DataFrame:
+        # id and score alone are sorted
+        ranked = ordered_position(business_scores.select("business_id", score), [score_order(score), F.asc("business_id")], name)
+        return ranked.select("business_id", name)
+
+    return (
+        shown.join(places("avg_rating", "rank_raw"), "business_id").join(places("popularity_score", "rank_pop"), "business_id")
+        .withColumn("rank_shift", F.col("rank_pop") - F.col("rank_raw"))
+    )
 
 
 def rank_movers(shifts: DataFrame, n: int = 10) -> DataFrame:
@@ -107,6 +120,6 @@ def top_by_city(business_scores: DataFrame, n: int = 10) -> DataFrame:
     score = F.col("popularity_score")
     norm = min_max(score, F.min(score).over(city), F.max(score).over(city), 1e-9)
     return top.withColumn("norm", norm).select(
-        "city", "position", "business_id", F.substring("name", 1, NAME_CHARS).alias("name"), "popularity_score",
+        "city", "position", "business_id", "name", "popularity_score",
         banded(F.col("norm"), CHART_COLOURS).alias("colour"),
     )

@@ -133,7 +133,9 @@ def elect_anchors(cities: DataFrame, radius_km: float) -> tuple[DataFrame, int]:
         outcome = materialise(waiting.join(settled, "city_key", "left"), "round")
         found.append(outcome.filter("is_anchor").drop("is_anchor"))
         waiting = outcome.filter(F.col("is_anchor").isNull()).drop("is_anchor")
-        left = waiting.count()
+        before, left = left, waiting.count()
+        if left == before:
+            raise RuntimeError(f"{left} cities can't be settled; are there cities without a position?")
     return reduce(DataFrame.unionByName, found), len(found) - 1
 
 

@@ -71,3 +71,24 @@ def position_within(df: DataFrame, group: str, order: list[Column], name: str =
         .withColumn(name, F.col("_global") - F.col("_first"))
         .drop("_global", "_first", "_group")
     )
+
+
+def running_total(df: DataFrame, order: list[Column], amount: str, name: str) -> DataFrame:
+    """Adds the sum of `amount` over all rows before each in one global order.
+
+    Rows are range-sorted and stored with their sort partition; sums run within a partition and
+    start from the sums of the partitions before it.
+    """
+    indexed = df.orderBy(*order).withColumn("_mark", F.monotonically_increasing_id())
+    stored = materialise(indexed, "running").withColumn("_part", F.shiftright("_mark", _INDEX_BITS).cast("int"))
+    sums = stored.groupBy("_part").agg(F.sum(amount).alias("_sum"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy("_part").orderBy("_mark").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per sort partition, so never more than spark.sql.shuffle.partitions rows
+    return (
+        stored.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+        .join(F.broadcast(starts), "_part")
+        .withColumn(name, F.col("_start") + F.col("_inside"))
+        .drop("_part", "_mark", "_start", "_inside")
+    )

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuerank import schemas
+from venuerank.functions.hashing import draw
 from venuerank.functions.scoring import status
-from venuerank.operators.ranking import ordered_position
+from venuerank.operators.ranking import ordered_position, top_per_group
 from venuerank.operators.sampling import split_by_key
 from venuerank.session import ensure_checkpoint_dir, materialise
 
@@ -20,7 +21,6 @@ RANK, ITERATIONS, REGULARISATION = 20, 10, 0.1
 TOP_N = 10
 SEED = 42
 MAX_RMSE = 1.5
-MIN_BLOCKS, MAX_BLOCKS, RATINGS_PER_BLOCK = 10, 1000, 2_000_000
 
 
 class RatingMatrix(NamedTuple):
@@ -49,9 +49,9 @@ def build_user_item_matrix(ratings: DataFrame, keep: tuple[str, ...] = ()) -> Ra
     return RatingMatrix(matrix, users, businesses)
 
 
-def blocks_for(ratings: int) -> int:
-    """Factor blocks for so many ratings: the library's ten do for small data only."""
-    return min(MAX_BLOCKS, max(MIN_BLOCKS, ratings // RATINGS_PER_BLOCK))
+def _blocks(df: DataFrame) -> int:
+    """Factor blocks where none are given: the session's shuffle partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _als(rank: int, iterations: int, regularisation: float, blocks: int) -> ALS:
@@ -68,7 +68,7 @@ def train_als(
     blocks: int | None = None,
 ) -> ALSModel:
     ensure_checkpoint_dir(train.sparkSession)
-    return _als(rank, max_iter, reg_param, blocks or blocks_for(train.count())).fit(train)
+    return _als(rank, max_iter, reg_param, blocks or _blocks(train)).fit(train)
 
 
 def rmse_evaluator() -> RegressionEvaluator:
@@ -77,16 +77,21 @@ def rmse_evaluator() -> RegressionEvaluator:
 
 def grid_search(
     train: DataFrame, ranks: tuple[int, ...] = (10, 20), reg_params: tuple[float, ...] = (0.01, 0.1),
-    max_iter: int = ITERATIONS, folds: int = 2, parallelism: int = 2,
+    max_iter: int = ITERATIONS, folds: int = 2, parallelism: int = 2, key: str = "review_id", blocks: int | None = None,
 ) -> tuple[ALSModel, DataFrame]:
-    """Best model by cross-validated RMSE, and `rank, reg_param, rmse, is_best` of the grid."""
+    """Best model by cross-validated RMSE, and `rank, reg_param, rmse, is_best` of the grid.
+
+    A rating's fold hangs on its `key` alone, so the folds don't depend on partitioning.
+    """
     spark = train.sparkSession
     ensure_checkpoint_dir(spark)
-    als = _als(RANK, max_iter, REGULARISATION, blocks_for(train.count()))
+    als = _als(RANK, max_iter, REGULARISATION, blocks or _blocks(train))
+    number = F.conv(F.substring(draw(F.col(key), SEED + 1), 1, 8), 16, 10).cast("long")
+    train = train.withColumn("fold", (number % folds).cast("int"))
     grid = ParamGridBuilder().addGrid(als.rank, list(ranks)).addGrid(als.regParam, list(reg_params)).build()
     search = CrossValidator(
         estimator=als, estimatorParamMaps=grid, evaluator=rmse_evaluator(),
-        numFolds=folds, parallelism=parallelism, seed=SEED,
+        numFolds=folds, parallelism=parallelism, seed=SEED, foldCol="fold",
     )
     fitted = search.fit(train)
     rows = [(int(p[als.rank]), float(p[als.regParam]), float(m)) for p, m in zip(grid, fitted.avgMetrics)]
@@ -131,6 +136,9 @@ def generate_recommendations(
 ) -> DataFrame:
     """`user_id, business_id, predicted_rating, rank` of the best `top_n` venues per user.
 
+    A batch option that scores every user with every venue, block by block, so its work grows
+    with users times venues; `recommend_for_requests` asks for what is wanted.
+
     Venues the user has rated stay in, unless `exclude_rated` drops them; ranks then keep
     their gaps.
     """
@@ -149,6 +157,29 @@ def generate_recommendations(
     )
 
 
+def recommend_for_requests(
+    model: ALSModel, matrix: RatingMatrix, requests: DataFrame, venues: DataFrame, top_n: int = TOP_N
+) -> DataFrame:
+    """The best `top_n` venues of the metro of each of `requests(user_id, metro_area)`, of `venues(business_id, metro_area)`.
+
+    A request meets the venues of its metro only, so the work is set by the requests and not by
+    users times venues; ties go to the smaller business_id.
+    """
+    asked = requests.select("user_id", "metro_area").distinct().join(matrix.users, "user_id")
+    offered = venues.select("business_id", "metro_area").distinct().join(matrix.businesses, "business_id")
+    pairs = asked.join(offered, "metro_area")
+    scored = real_predictions(model.transform(pairs)).select("user_id", "metro_area", "business_id", F.col("prediction").alias("predicted_rating"))
+    return top_per_group(
+        scored, ["user_id", "metro_area"], [F.desc("predicted_rating"), F.asc("business_id")], top_n, ["business_id"]
+    )
+
+
+def stored_matrix(ratings: DataFrame, key: str) -> RatingMatrix:
+    """The rating matrix with its key, written once for all fits."""
+    matrix = build_user_item_matrix(ratings, (key,))
+    return RatingMatrix(*[materialise(table, name) for table, name in zip(matrix, ("ratings", "users", "venues"))])
+
+
 def fit_and_recommend(
     ratings: DataFrame, key: str, top_n: int = TOP_N, cross_validate: bool = False, **params
 ) -> tuple[DataFrame, DataFrame]:
@@ -156,11 +187,9 @@ def fit_and_recommend(
 
     `params` go to `train_als`, or to `grid_search` when the model is chosen by cross-validation.
     """
-    matrix = build_user_item_matrix(ratings, (key,))
-    matrix = matrix._replace(ratings=materialise(matrix.ratings, "ratings"))
+    matrix = stored_matrix(ratings, key)
     train, test = split_by_key(matrix.ratings, key)
-    train = train.drop(key)
-    model = grid_search(train, **params)[0] if cross_validate else train_als(train, **params)
+    model = grid_search(train, key=key, **params)[0] if cross_validate else train_als(train, **params)
     rmse = rmse_table(model.transform(test), "stars", "prediction")
     return generate_recommendations(model, matrix, top_n), rmse
 
@@ -175,8 +204,10 @@ def predicted_precision_at_k(recommendations: DataFrame, k: int = 10, threshold:
 
 
 def matrix_size(ratings: DataFrame) -> DataFrame:
-    return ratings.agg(
-        F.count(F.lit(1)).alias("ratings"),
-        F.count_distinct("user_id").alias("users"),
-        F.count_distinct("business_id").alias("businesses"),
-    )
+    """How many ratings, users and venues there are; each is counted alone, so no rating is multiplied."""
+    def counted(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("what"), "n")
+
+    distinct = [ratings.select(c).filter(F.col(c).isNotNull()).distinct() for c in ("user_id", "business_id")]
+    rows = counted(ratings, "ratings").unionByName(counted(distinct[0], "users")).unionByName(counted(distinct[1], "businesses"))
+    return rows.agg(*[F.max(F.when(F.col("what") == c, F.col("n"))).alias(c) for c in ("ratings", "users", "businesses")])

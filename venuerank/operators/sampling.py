@@ -22,16 +22,18 @@ def _ticket(key: str, seed: int) -> Column:
     return F.concat_ws("-", draw(F.col(key), seed), F.col(key).cast("string"))
 
 
-def take_by_draw(df: DataFrame, key: str, stratum: Column, quota: Column, seed: int, flag: str) -> DataFrame:
-    """Mark, in each stratum, exactly the `quota` rows with the smallest draws.
+def _limits(df: DataFrame, key: str, stratum: Column, quota: Column, seed: int) -> DataFrame:
+    """(_stratum, _last, _all): the last draw of each stratum that is still in, or that all are.
 
-    `quota` is an expression over `stratum_size`. A histogram of draws locates the bucket in
-    which the quota is reached; only rows of that bucket are sorted, to find the last draw
-    that is still in. Memory per task is one bucket, a 65,536th of a stratum.
+    Draws are stored once, without the other columns. A histogram of them locates the bucket in
+    which the quota is reached; only rows of that bucket are sorted. Memory per task is one
+    bucket, a 65,536th of a stratum.
     """
-    tickets = df.withColumn("_stratum", stratum).withColumn("_ticket", _ticket(key, seed))
+    tickets = materialise(df.select(stratum.alias("_stratum"), _ticket(key, seed).alias("_ticket")), "tickets")
     bucket = F.substring("_ticket", 1, _BUCKET_DIGITS)
-    histogram = tickets.groupBy("_stratum", bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    histogram = materialise(
+        tickets.groupBy("_stratum", bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows")), "ticket-counts"
+    )
     running = Window.partitionBy("_stratum").orderBy("_bucket")  # at most 65,536 rows
     totals = Window.partitionBy("_stratum")
     edges = (
@@ -41,9 +43,7 @@ def take_by_draw(df: DataFrame, key: str, stratum: Column, quota: Column, seed:
         .filter((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_rows") < F.col("_quota")))
         .select("_stratum", "_bucket", (F.col("_quota") - F.col("_upto") + F.col("_rows")).alias("_left"))
     )
-    in_edge = (
-        tickets.select("_stratum", "_ticket", bucket.alias("_bucket")).join(edges, ["_stratum", "_bucket"])
-    )
+    in_edge = tickets.withColumn("_bucket", bucket).join(materialise(edges, "edges"), ["_stratum", "_bucket"])
     place = F.row_number().over(Window.partitionBy("_stratum").orderBy("_ticket"))
     last_in = (
         in_edge.withColumn("_place", place).filter(F.col("_place") == F.col("_left"))
@@ -55,16 +55,25 @@ def take_by_draw(df: DataFrame, key: str, stratum: Column, quota: Column, seed:
         "_stratum", "_last", (F.col("stratum_size") < quota).alias("_all")
     )
     # one row per stratum, stored so that the planner sees how small it is and moves no ticket
-    return (
-        tickets.join(materialise(limits, "limits"), "_stratum")
-        .withColumn(flag, F.col("_all") | F.coalesce(F.col("_ticket") <= F.col("_last"), F.lit(False)))
-        .drop("_stratum", "_ticket", "_last", "_all")
-    )
+    return materialise(limits, "limits")
+
+
+def take_by_draw(df: DataFrame, key: str, stratum: Column, quota: Column, seed: int, flag: str) -> DataFrame:
+    """Mark, in each stratum, exactly the `quota` rows with the smallest draws.
+
+    `quota` is an expression over `stratum_size`.
+    """
+    limits = _limits(df, key, stratum, quota, seed)
+    inside = F.col("_all") | F.coalesce(_ticket(key, seed) <= F.col("_last"), F.lit(False))
+    return df.withColumn("_stratum", stratum).join(limits, "_stratum").withColumn(flag, inside).drop("_stratum", "_last", "_all")
 
 
 def capped_sample(df: DataFrame, key: str, cap: int = 200_000, seed: int = 42) -> DataFrame:
     """Uniform sample of exactly `cap` rows, or everything when there are fewer."""
-    return take_by_draw(df, key, F.lit(0), F.lit(cap), seed, "_in").filter("_in").drop("_in")
+    limit = _limits(df, key, F.lit(0), F.lit(cap), seed).first()  # one row
+    if limit is None or limit["_all"]:
+        return df
+    return df.filter(_ticket(key, seed) <= limit["_last"]) if limit["_last"] is not None else df.limit(0)
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_fraction: float = 0.2, seed: int = 42) -> DataFrame:

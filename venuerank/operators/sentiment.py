@@ -11,7 +11,6 @@ from venuerank.functions.scoring import (
     CHART_COLOURS, banded, bayesian_score, half_even, is_negative, is_positive, score_order, star_label,
 )
 
-CELL_CHARS = 18
 
 
 def _scored(counts: DataFrame) -> DataFrame:
@@ -106,7 +105,7 @@ def bayesian_cells(grid: DataFrame, sentiment: DataFrame) -> DataFrame:
 def sentiment_chart(scored_cells: DataFrame) -> DataFrame:
     """Raw and shrunk score of each metro's cells on one 0-10 scale, best first."""
     return scored_cells.select(
-        "metro_area", F.substring("grid_cell", 1, CELL_CHARS).alias("cell"), (F.col("raw_score") * 10).alias("raw"),
+        "metro_area", F.col("grid_cell").alias("cell"), (F.col("raw_score") * 10).alias("raw"),
         "bayesian_score", (F.col("global_rate") * 10).alias("city_average"), "band",
     ).orderBy("metro_area", score_order("bayesian_score"), "cell")
 
