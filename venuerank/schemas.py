@@ -62,13 +62,26 @@ PRIMARY_KEYS = {
     "business_profiles": ["business_id"],
 }
 
-# Column types used when a serving table is created in a relational store.
-JDBC_COLUMN_TYPES = {
-    "business_scores": (
-        "business_id VARCHAR(50), city VARCHAR(100), metro_area VARCHAR(100), grid_cell VARCHAR(20)"
-    ),
-    "grid_aggregates": "grid_cell VARCHAR(20), metro_area VARCHAR(100)",
-    "als_recommendations": "user_id VARCHAR(50), business_id VARCHAR(50)",
-    "grid_sentiment": "grid_cell VARCHAR(20)",
-    "business_profiles": "business_id VARCHAR(50), metro_area VARCHAR(100), city VARCHAR(100)",
+# Widths of text columns and indexed columns of the serving tables in a relational store.
+TEXT_WIDTHS = {"business_id": 50, "user_id": 50, "city": 100, "metro_area": 100, "grid_cell": 20}
+INDEXES = {
+    "business_scores": ["city", "metro_area"],
+    "grid_aggregates": ["metro_area"],
+    "als_recommendations": ["user_id", "business_id"],
+    "business_profiles": ["metro_area"],
 }
+SQL_TYPES = {"double": "DOUBLE PRECISION", "float": "DOUBLE PRECISION", "int": "INT", "bigint": "BIGINT", "string": "TEXT"}
+
+
+def sql_type(column: T.StructField) -> str:
+    if column.name in TEXT_WIDTHS:
+        return f"VARCHAR({TEXT_WIDTHS[column.name]})"
+    return SQL_TYPES[column.dataType.simpleString()]
+
+
+def create_statements(table: str, columns: T.StructType) -> list[str]:
+    """SQL that makes a serving table with its primary key and indexes where they are missing."""
+    typed = ", ".join(f"{c.name} {sql_type(c)}" for c in columns.fields)
+    keys = ", ".join(PRIMARY_KEYS[table])
+    made = [f"CREATE TABLE IF NOT EXISTS {table} ({typed}, PRIMARY KEY ({keys}))"]
+    return made + [f"CREATE INDEX IF NOT EXISTS idx_{table}_{c} ON {table} ({c})" for c in INDEXES.get(table, [])]

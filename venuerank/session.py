@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 # The skew settings matter: a single venue may own a large share of all reviews, and the
 # enrichment join relies on AQE to split that venue's partition.
 SESSION_DEFAULTS = {
@@ -48,7 +51,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a temporary folder.
+    Only a local session may go without the setting; it then gets a temporary folder, says so,
+    and has the setting from then on.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -57,7 +61,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="venuerank-")
+        made = _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="venuerank-")
+        log.warning("spark.checkpoint.dir is not set, intermediate tables go to %s", made)
+        spark.conf.set("spark.checkpoint.dir", made)
     return _local_scratch[context.applicationId]
 
 

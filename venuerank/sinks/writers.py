@@ -6,7 +6,8 @@ import logging
 import os
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from venuerank import schemas
 from venuerank.functions.rows import complete_rows
@@ -44,22 +45,61 @@ def jdbc_settings(environment: Mapping[str, str] | None = None) -> dict[str, str
     }
 
 
-def jdbc_options(table: str, settings: Mapping[str, str], connections: int = 8, batch: int = 10_000) -> dict[str, str]:
+def jdbc_options(
+    table: str, settings: Mapping[str, str], connections: int = 8, batch: int = 10_000, columns: StructType | None = None
+) -> dict[str, str]:
     options = {
         **settings,
         "dbtable": table,
         "numPartitions": str(connections),
         "batchsize": str(batch),
-        "truncate": "true",  # an existing table keeps its primary key and indexes
     }
-    if table in schemas.JDBC_COLUMN_TYPES:
-        options["createTableColumnTypes"] = schemas.JDBC_COLUMN_TYPES[table]
+    if columns is not None:
+        options["createTableColumnTypes"] = ", ".join(f"{c.name} {schemas.sql_type(c)}" for c in columns.fields)
     return options
 
 
+def swap_statements(table: str, staging: str, columns: StructType) -> list[str]:
+    """SQL that replaces a table's rows by those of its staging table; run as one transaction."""
+    names = ", ".join(columns.names)
+    return [
+        *schemas.create_statements(table, columns), f"DELETE FROM {table}",
+        f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}", f"DROP TABLE {staging}",
+    ]
+
+
 def write_jdbc(df: DataFrame, table: str, settings: Mapping[str, str], connections: int = 8) -> None:
-    """Replace a database table, written by the executors over at most `connections` connections."""
-    df.write.format("jdbc").mode("overwrite").options(**jdbc_options(table, settings, connections)).save()
+    """Replace the rows of a database table.
+
+    Executors load a staging table over at most `connections` connections. Only when it is
+    complete do its rows take the place of the old ones, in one transaction, so readers see all
+    of either, and a failed load leaves the table as it was, with its key and indexes.
+    """
+    staging = f"{table}_staging"
+    df.write.format("jdbc").mode("overwrite").options(**jdbc_options(staging, settings, connections, columns=df.schema)).save()
+    run_transaction(df.sparkSession, swap_statements(table, staging, df.schema), settings)
+
+
+def run_transaction(spark: SparkSession, statements: list[str], settings: Mapping[str, str]) -> None:
+    jvm = spark.sparkContext._jvm
+    jvm.java.lang.Class.forName(settings["driver"])
+    connection = jvm.java.sql.DriverManager.getConnection(settings["url"], settings["user"], settings["password"])
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for text in statements:
+            statement.execute(text)
+        connection.commit()
+    finally:
+        connection.close()  # undoes what wasn't committed
+
+
+def read_jdbc(spark: SparkSession, table: str, settings: Mapping[str, str], **parameters: str) -> DataFrame:
+    """A database table, or the rows whose columns equal the named parameters; the filter reaches the database."""
+    df = spark.read.format("jdbc").options(**settings, dbtable=table).load()
+    for name, value in parameters.items():
+        df = df.filter(df[name] == value)
+    return df
 
 
 def ready_for_serving(df: DataFrame, table: str) -> DataFrame:

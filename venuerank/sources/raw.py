@@ -20,10 +20,11 @@ def read_json(spark: SparkSession, base: str, filename: str, entity: str) -> Dat
 
 
 def malformed_lines(spark: SparkSession, base: str, filename: str, entity: str) -> DataFrame:
-    """Rows for the lines `read_json` could not read, with the line as `malformed`."""
+    """The lines `read_json` could not read, as `malformed`; blank lines aren't among them."""
     schema = T.StructType([*schemas.RAW[entity].fields, T.StructField("malformed", T.StringType())])
-    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "malformed")
-    return reader.json(join_path(base, filename)).filter(F.col("malformed").isNotNull())
+    lines = spark.read.text(join_path(base, filename)).filter(F.trim("value") != "")
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"})
+    return lines.select(parsed.getField("malformed").alias("malformed")).filter(F.col("malformed").isNotNull())
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -41,7 +42,7 @@ def with_metro_fallback(df: DataFrame) -> DataFrame:
 
 
 def ratings(enriched: DataFrame) -> DataFrame:
-    return enriched.select("user_id", "business_id", F.col("stars").cast("float").alias("stars"))
+    return enriched.select("review_id", "user_id", "business_id", F.col("stars").cast("float").alias("stars"))
 
 
 def cell_stars(enriched: DataFrame) -> DataFrame:
