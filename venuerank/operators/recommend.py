@@ -165,7 +165,8 @@ def recommend_for_requests(
     A request meets the venues of its metro only, so the work is set by the requests and not by
     users times venues; ties go to the smaller business_id.
     """
-    asked = requests.select("user_id", "metro_area").distinct().join(matrix.users, "user_id")
+    # stored: of requests that all name one metro the planner would make a product otherwise
+    asked = materialise(requests.select("user_id", "metro_area").distinct().join(matrix.users, "user_id"), "requests")
     offered = venues.select("business_id", "metro_area").distinct().join(matrix.businesses, "business_id")
     pairs = asked.join(offered, "metro_area")
     scored = real_predictions(model.transform(pairs)).select("user_id", "metro_area", "business_id", F.col("prediction").alias("predicted_rating"))
