@@ -2,7 +2,8 @@
 
 * Log-odds: words and the leading 4 and 5 bytes of words get the log-odds of toxic against
   clean training texts, counted once per text and
-  smoothed by an informative Dirichlet prior (a share of the counts of both). Entries
+  smoothed by an informative Dirichlet prior (a floor and a share of the counts of both). The first of equal
+  words in a text scores. Entries
   whose z-score is significant make the lexicon; every other word costs DRIFT.
 * Segments: one linear pass per text finds all maximal-scoring segments of its words.
 * Extreme values: a segment of score S among n words has the expected number K n exp(-L S) of
@@ -38,8 +39,8 @@ from venuerank.session import materialise
 
 TRAIN_ROWS = 20_000
 LEAST_COUNT = 5  # tokens of fewer texts can't be significant
-PRIOR_SHARE = 0.1  # of the counts of both classes: the Dirichlet prior's pseudo-counts
-Z = 3.3  # a token of six toxic texts and no clean one passes, of five not
+PRIOR_FLOOR, PRIOR_SHARE = 0.5, 0.005  # the Dirichlet prior's pseudo-counts: a floor, and a share of a token's counts
+Z = 3.2  # a token of six toxic texts and no clean one passes, of five not
 DRIFT = 0.25
 SIGNIFICANT = 0.05
 PREFIXES = (4, 5)
@@ -66,8 +67,11 @@ def token_hashes(texts: Texts) -> tuple[np.ndarray, list[np.ndarray]]:
     return found.cuts, out
 
 
-def word_scores(hashes: list[np.ndarray], model: Model) -> np.ndarray:
-    """The largest lexicon score of each word's tokens, 0 where none is known."""
+def word_scores(cuts: np.ndarray, hashes: list[np.ndarray], model: Model) -> np.ndarray:
+    """The largest lexicon score of each word's tokens, 0 where none is known.
+
+    The first of equal words in a text scores; further ones say nothing new, as they count once in training.
+    """
     best = np.zeros(len(hashes[0]))
     if not len(model.keys):
         return best
@@ -77,7 +81,15 @@ def word_scores(hashes: list[np.ndarray], model: Model) -> np.ndarray:
         maybe = np.flatnonzero(seen[h >> np.uint64(48)])
         place = np.minimum(np.searchsorted(model.keys, h[maybe]), len(model.keys) - 1)
         hit = model.keys[place] == h[maybe]
-        np.maximum.at(best, maybe[hit], model.odds[place[hit]])
+        maybe, place = maybe[hit], place[hit]
+        best[maybe] = np.maximum(best[maybe], model.odds[place])
+    found = np.flatnonzero(best)
+    text = np.searchsorted(cuts, found, "right") - 1
+    order = np.lexsort((found, hashes[0][found], text))
+    word, text = hashes[0][found][order], text[order]
+    again = np.zeros(len(found), bool)
+    again[1:] = (word[1:] == word[:-1]) & (text[1:] == text[:-1])
+    best[found[order][again]] = 0
     return best
 
 
@@ -110,7 +122,7 @@ def segments(at: list[int], scores: list[float], drift: float = DRIFT) -> list[t
 def evidence(texts: Texts, model: Model) -> list[tuple[int, float, list[tuple[int, int, float]]]]:
     """Per text: its words, its best segment's score and its passages with their scores."""
     cuts, hashes = token_hashes(texts)
-    scores = word_scores(hashes, model)
+    scores = word_scores(cuts, hashes, model)
     places = np.flatnonzero(scores)
     edges = np.searchsorted(places, cuts)
     out = []
@@ -166,7 +178,7 @@ def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
         "token-counts",
     )
-    sums = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
+    sums = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"), F.count(F.lit(1)).alias("n")).first()
     classes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     empty = Model(np.empty(0, np.uint64), np.empty(0), 1.0, 0.0, -30.0, 1.0)
     toxic_rows, all_rows = classes.get(1, 0), sum(classes.values())
@@ -175,8 +187,8 @@ def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN
         return empty._replace(bias=math.log(max(share, 1e-13) / max(1 - share, 1e-13)))
     # log-odds under the prior; only significant tokens leave the executors
     t, c = float(sums["t"]), float(sums["c"])
-    prior = PRIOR_SHARE * (F.col("toxic") + F.col("clean"))
-    a, b, weight = F.col("toxic") + prior, F.col("clean") + prior, PRIOR_SHARE * (t + c)
+    prior = PRIOR_FLOOR + PRIOR_SHARE * (F.col("toxic") + F.col("clean"))
+    a, b, weight = F.col("toxic") + prior, F.col("clean") + prior, PRIOR_FLOOR * sums["n"] + PRIOR_SHARE * (t + c)
     odds = F.log(a / (t + weight - a)) - F.log(b / (c + weight - b))
     chosen = (
         counts.filter(F.col("toxic") + F.col("clean") >= LEAST_COUNT)
