@@ -34,6 +34,8 @@ VARIANTS = 8
 SEED = 20
 SLICE_BYTES = 2 << 20
 _NEVER = np.float32(np.inf)
+_CHARACTER_BYTES = np.repeat([1, 2, 3, 4], [0xC0, 0x20, 0x10, 0x10])  # by a character's first byte
+_LEAD_BITS = np.array([0, 0x7F, 0x1F, 0x0F, 0x07])
 _LONG = 64  # words of more symbols are worked on apart from the rest
 
 
@@ -57,7 +59,14 @@ class Vocabulary:
             else:
                 plain[piece] = i
                 self.raw.append(piece.replace("▁", " ").encode())
-        self.characters = {p: i for p, i in plain.items() if len(p) == 1}
+        self.blank = plain["▁"]
+        self.by_code = np.full(0x110000, -1, np.int32)
+        for p, i in plain.items():
+            if len(p) == 1:
+                self.by_code[ord(p)] = i
+        # a blank is the piece of its symbol; the symbol in a text itself goes by its bytes
+        self.by_code[ord("▁")] = -1
+        self.by_code[ord(" ")] = self.blank
         pairs = {
             (plain[p[:k]] << 32) | plain[p[k:]]: i
             for p, i in plain.items() for k in range(1, len(p)) if p[:k] in plain and p[k:] in plain
@@ -95,12 +104,23 @@ class Vocabulary:
             todo, keys, slots = todo[more], keys[more], (slots[more] + 1) & ((1 << self.bits) - 1)
         return out
 
-    def symbols(self, word: str) -> list[int]:
-        out: list[int] = []
-        for c in word:
-            i = self.characters.get(c)
-            out.extend([i] if i is not None else self.byte_ids[list(c.encode())].tolist())
-        return out
+    def symbols(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(places, ids) of the symbols that texts start from: a character's piece, or the bytes of one that has none."""
+        lead = np.flatnonzero((data & 0xC0) != 0x80)
+        size = _CHARACTER_BYTES[data[lead]]
+        padded = np.append(data, np.zeros(3, np.uint8)).astype(np.int64)
+        code = padded[lead] & _LEAD_BITS[size]
+        for k in (1, 2, 3):
+            code = np.where(size > k, (code << 6) | (padded[lead + k] & 0x3F), code)
+        piece = self.by_code[code]
+        alone = np.zeros(len(data), bool)  # bytes that are symbols themselves
+        alone[lead] = piece < 0
+        for k in (1, 2, 3):
+            alone[lead[(piece < 0) & (size > k)] + k] = True
+        ids = np.where(alone, self.byte_ids[data], np.int32(-1))
+        ids[lead[piece >= 0]] = piece[piece >= 0]
+        places = np.flatnonzero(ids >= 0)
+        return places, ids[places]
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the ids, the blank before the first word included."""
@@ -186,61 +206,35 @@ def encode_slice(vocabulary: Vocabulary, texts: Texts, doc_keys: np.ndarray, dro
     kinds = span_hash(prefix_hash(texts.data), starts, ends) ^ first
     variants = mix(doc_keys[doc] ^ mix(inner.astype(np.uint64))) % np.uint64(VARIANTS) if dropout else np.zeros(len(starts), np.uint64)
     distinct, at, back = np.unique(kinds + variants * np.uint64(0x9E3779B97F4A7C15), return_index=True, return_inverse=True)
-    raw = texts.data.tobytes()
-    forms: dict[tuple[bytes, bool], list[int]] = {}
-    lists = []
-    for a, b, f in zip(starts[at].tolist(), ends[at].tolist(), first[at].tolist()):
-        key = (raw[a:b], bool(f))
-        found = forms.get(key)
-        if found is None:
-            # U+2581 in the text itself is no blank: it goes by its bytes
-            word = ("▁" if f else "") + key[0].decode().replace("▁", "\0▁").replace(" ", "▁")
-            found = _symbols(vocabulary, word)
-            forms[key] = found
-        lists.append(found)
     keys = mix(kinds[at] ^ mix(variants[at] + np.uint64(seed) * np.uint64(1000003)))
-    sizes = np.array([len(x) for x in lists])
-    merged: list = [None] * len(lists)
-    bands = [(a, b) for a, b in ((0, 4), (4, 8), (8, 12), (12, 20), (20, _LONG))] + [(x, x + 1) for x in np.unique(sizes[sizes >= _LONG]).tolist()]
+    places, symbols = vocabulary.symbols(texts.data)
+    begin, lead = np.searchsorted(places, starts[at]), first[at].astype(np.int64)
+    sizes = np.searchsorted(places, ends[at]) - begin + lead
+    lengths, offsets, pool, pooled = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), [], 0
+    bands = [(0, 4), (4, 8), (8, 12), (12, 20), (20, _LONG)] + [(x, x + 1) for x in np.unique(sizes[sizes >= _LONG]).tolist()]
     for low, high in bands:
         chosen = np.flatnonzero((sizes >= low) & (sizes < high))
         width = int(sizes[chosen].max()) if len(chosen) else 0
         step = max(1, (1 << 20) // max(width, 1))
         for k in range(0, len(chosen), step):
             rows = chosen[k : k + step]
-            block = np.full((len(rows), width), -1, np.int32)
-            mask = np.arange(width) < sizes[rows][:, None]
-            block[mask] = np.fromiter((s for r in rows.tolist() for s in lists[r]), np.int32, int(sizes[rows].sum()))
+            column = np.arange(width)[None, :]
+            source = np.clip(begin[rows, None] + column - lead[rows, None], 0, len(symbols) - 1)
+            block = np.where(column < sizes[rows, None], symbols[source], np.int32(-1))
+            block[lead[rows] == 1, 0] = vocabulary.blank
             done = run_agendas(vocabulary, block, keys[rows], dropout)
             left = done >= 0
-            flat, edges = done[left], np.concatenate(([0], np.cumsum(left.sum(1))))
-            for j, r in enumerate(rows.tolist()):
-                merged[r] = (flat, edges[j], edges[j + 1])
-    lengths = np.array([b - a for _, a, b in merged])
-    offsets = np.cumsum(lengths) - lengths
-    pool = np.concatenate([f[a:b] for f, a, b in merged])
+            lengths[rows] = left.sum(1)
+            offsets[rows] = pooled + np.cumsum(lengths[rows]) - lengths[rows]
+            pool.append(done[left])
+            pooled += len(pool[-1])
     take = lengths[back]
     inner = np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
-    ids = pool[np.repeat(offsets[back], take) + inner]
+    ids = np.concatenate(pool)[np.repeat(offsets[back], take) + inner]
     upto = np.concatenate(([0], np.cumsum(take)))
     return ids, upto[cuts]
 
 
-def _symbols(vocabulary: Vocabulary, word: str) -> list[int]:
-    if "\0" not in word:
-        return vocabulary.symbols(word)
-    out: list[int] = []
-    parts = word.split("\0")
-    out += vocabulary.symbols(parts[0])
-    for part in parts[1:]:
-        if part.startswith("▁"):
-            out += vocabulary.byte_ids[list("▁".encode())].tolist()
-            out += vocabulary.symbols(part[1:])
-        else:  # a NUL of the text itself
-            out += vocabulary.symbols("\0" + part)
-    return out
-
-
 def decode_slice(vocabulary: Vocabulary, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, bounds) of the texts, without the blank before each first word."""
     data = vocabulary.decode(ids)
