@@ -115,7 +115,7 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> int:
     sizes = F.octet_length("html")
     # equal payloads: the narrow keys meet, with map-side sums; the payloads stay where they are
     known = materialise(keyed.filter(sizes >= least_bytes).select("page_id", "sha").distinct(), "warc-keys")
-    first = known.groupBy("sha").agg(F.max("page_id").alias("refers_to"))
+    first = materialise(known.groupBy("sha").agg(F.max("page_id").alias("refers_to")), "warc-first")
     revisits = materialise(
         known.join(first, "sha").filter(F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to")))
         .select(F.col("page_id").alias("r_page_id"), F.col("sha").alias("r_sha"), "refers_to"),
