@@ -227,7 +227,8 @@ def repeated_spans(docs: DataFrame, need: int = NEED) -> DataFrame:
         found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("run").alias("low"), F.max("run").alias("high"))
         .filter("n > 1").select("anchor", (F.col("low") == F.col("high")).alias("uniform"))
     )
-    shared = materialise(found.join(anchors, "anchor"), "suffix-shared")
+    # stored, so that the join is of two plain shuffles and a hot anchor can be split
+    shared = materialise(found.join(materialise(anchors, "suffix-anchors"), "anchor"), "suffix-shared")
     mixed = shared.filter("NOT uniform")
     place = F.struct("doc_id", "digest", "at", "first", "last")
     classes = materialise(mixed.groupBy("anchor", "run").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("rep")), "suffix-classes")
