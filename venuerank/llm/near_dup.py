@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuerank.llm.text import Texts, mix, seeds, slices, words
+from venuerank.llm.text import Texts, in_batches, mix, seeds, slices, words
 from venuerank.session import materialise
 
 WORDS = 5
@@ -263,7 +263,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept, and digest, a hash of the text."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
+    texts = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
     sketches = materialise(
         texts.mapInArrow(_sketch, "doc_id long, digest long, n_shingles long, print_a long, print_b long, signature array<int>"), "near-sketches"
     )

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuerank.llm.text import Texts, slices, words
+from venuerank.llm.text import Texts, in_batches, slices, words
 from venuerank.session import materialise
 
 CAPACITY = 4096
@@ -36,8 +36,8 @@ NEARLY_FULL = 0.995  # share of the capacity from which a bin is emitted
 FAN_IN = 8
 BINS_PER_TASK = 100_000
 LEAST_PROGRESS = 0.02  # a level that saves or seals a smaller share of its bins is the last
-SLICE_BYTES = 4 << 20
-KNOWN_WORDS = 1_000_000  # words a worker remembers; beyond, it starts to remember anew
+SLICE_BYTES = 1 << 20
+KNOWN_WORDS = 500_000  # words a worker remembers; beyond, it starts to remember anew
 
 _MEMBER = "doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint"
 _BINS = f"used long, members array<struct<{_MEMBER}>>"
@@ -120,7 +120,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Dat
                     names=_FIELDS,
                 )
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return materialise(found.mapInArrow(pieces, "doc_id long, piece int, start long, length long, ids_crc32 long"), "packing-pieces")
 
 

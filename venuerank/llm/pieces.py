@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuerank.llm.text import Texts, mix, prefix_hash, slices, span_hash
+from venuerank.llm.text import Texts, in_batches, mix, prefix_hash, slices, span_hash
 
 DROPOUT = 0.1
 VARIANTS = 8
@@ -267,7 +267,7 @@ def encoded(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = S
                     names=["doc_id", "n_pieces", "ids", "lossless"],
                 )
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = in_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return found.mapInArrow(run, "doc_id long, n_pieces long, ids array<int>, lossless boolean")
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venuerank.llm.text import Texts, slices
+from venuerank.llm.text import Texts, in_batches, slices
 from venuerank.llm.toxicity import fold, training_rows
 
 TRAIN_ROWS = 4000
@@ -221,6 +221,6 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 n = len(part.bounds) - 1
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(part.first, n), pa.array(predict(net, part).astype(np.float64))], names=["doc_id", "score"])
 
-    chosen = docs.select("doc_id", "text")
+    chosen = in_batches(docs).select("doc_id", "text")
     found = chosen.mapInArrow(run, docs.select("doc_id").schema.add("score", "double"))
     return found.select("doc_id", (fold(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))

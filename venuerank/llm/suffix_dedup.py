@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venuerank.llm.suffix_array import suffix_array
-from venuerank.llm.text import Texts, mix, prefix_hash, seeds, slices, span_hash
+from venuerank.llm.text import Texts, in_batches, mix, prefix_hash, seeds, slices, span_hash
 from venuerank.session import materialise
 
 NEED = 400
@@ -320,7 +320,7 @@ def _remove(need: int, keep_text: bool):
 
 def without_repeats(docs: DataFrame, need: int = NEED, keep_text: bool = False, carry: list[str] | None = None) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256; on demand kept_text, and `carried`, a struct of columns."""
-    base = docs.select(
+    base = in_batches(docs).select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"),
         *([F.struct(*carry).alias("carried")] if carry else []),
     )

@@ -7,7 +7,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
+BATCH_ROWS = 1000
 SLICE_BYTES = 1 << 20  # texts are worked on in slices of about this many bytes; one longer text makes its own
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -16,6 +18,12 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """The same rows; Python tasks of its session take them BATCH_ROWS at a time, which bounds a worker's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser: every input bit moves every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from venuerank.llm.sampling import first_by_hash
-from venuerank.llm.text import Texts, prefix_hash, slices, span_hash, words, _LOWER
+from venuerank.llm.text import Texts, in_batches, prefix_hash, slices, span_hash, words, _LOWER
 from venuerank.session import materialise
 
 TRAIN_ROWS = 20_000
@@ -154,7 +154,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, trained: Colum
 
 
 def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN_ROWS) -> Model:
-    train = training_rows(docs, labels, "toxic", trained, rows)
+    train = training_rows(in_batches(docs), labels, "toxic", trained, rows)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,12 +261,15 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(max(w[1], 0.0))
 
 
-def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """`keep` columns, score, and passages as (first word, end, score)."""
+def scored(docs: DataFrame, model: Model, keep: list[str], inside: str | None = None) -> DataFrame:
+    """`keep` columns, score, and passages as (first word, end, score).
+
+    The text is the column of that name, or of the struct column `inside`, which then travels once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.names.index("_text"))
+            texts = batch.column(keep.index(inside)).field("text") if inside else batch.column(len(keep))
             for part in slices(texts):
                 found = evidence(part, model)
                 held = [batch.column(i).slice(part.first, len(found)) for i in range(len(keep))]
@@ -275,7 +278,8 @@ def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     passage = StructType().add("first", "long").add("end", "long").add("score", "double")
     kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
-    chosen = docs.select(*keep, F.col("text").alias("_text"))
+    docs = in_batches(docs)
+    chosen = docs.select(*keep) if inside else docs.select(*keep, F.col("text").alias("_text"))
     schema = docs.select(*keep).schema.add("score", "double").add("passages", ArrayType(passage))
     return chosen.mapInArrow(run, schema)
 
@@ -287,8 +291,8 @@ def fold(modulus: int, doc_id: str = "doc_id") -> Column:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, that aren't predicted toxic."""
-    packed = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return scored(packed, learn(docs, labels, fold(5) != 0), ["row"]).filter("score < 0.5").select("row.*")
+    packed = docs.select(F.struct(*docs.columns).alias("row"))
+    return scored(packed, learn(docs, labels, fold(5) != 0), ["row"], "row").filter("score < 0.5").select("row.*")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
