@@ -178,7 +178,7 @@ def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")),
         "token-counts",
     )
-    sums = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"), F.count(F.lit(1)).alias("n")).first()
+    sums = counts.agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"), F.count_if(F.col("toxic") + F.col("clean") >= LEAST_COUNT).alias("n")).first()
     classes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     empty = Model(np.empty(0, np.uint64), np.empty(0), 1.0, 0.0, -30.0, 1.0)
     toxic_rows, all_rows = classes.get(1, 0), sum(classes.values())
