@@ -99,3 +99,19 @@ def test_overlapping_slices_of_texts_agree():
     whole = quality.predict(net, next(slices(pa.array(texts))))
     alone = [quality.predict(net, next(slices(pa.array([t]))))[0] for t in texts]
     assert whole == pytest.approx(alone, abs=2e-3)
+
+
+def test_scores_do_not_depend_on_the_next_text():
+    net = quality.fresh()
+    # one filter answers to a Q at a window's end
+    embed, filters, out = np.zeros_like(net.embed), np.zeros_like(net.filters), np.zeros_like(net.out)
+    embed[ord("Q"), 0] = filters[(quality.WIDTH - 1) * quality.EMBED, 0] = out[quality.HIDDEN] = 1
+    some = net._replace(embed=embed, filters=filters, out=out)
+    texts = ["", "z" * 256, "Q" * 384, prose(300, 2)[:1024], None, "QQQQQQ", prose(80, 4), "", "Q" * 512]
+    for each in (net, some):
+        alone = [quality.predict(each, next(slices(pa.array([t], pa.string()))))[0] for t in texts]
+        for turn in range(len(texts)):
+            moved = texts[turn:] + texts[:turn]
+            got = quality.predict(each, next(slices(pa.array(moved, pa.string()))))
+            assert got == pytest.approx(alone[turn:] + alone[:turn], abs=1e-6)
+            assert got == pytest.approx([plain(each, t) for t in moved], abs=1e-4)

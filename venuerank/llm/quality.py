@@ -63,7 +63,7 @@ def fresh() -> Network:
 
 
 class Pooled(NamedTuple):
-    codes: np.ndarray  # bytes, each text filled up to whole half chunks
+    codes: np.ndarray  # bytes, each text filled up to whole half chunks and one of zeros
     halves: np.ndarray  # half chunks before each text
     best: np.ndarray  # filter responses per chunk
     at: np.ndarray  # their places in codes
@@ -71,11 +71,14 @@ class Pooled(NamedTuple):
 
 
 def _lay_out(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes with each text filled up with zeros to half chunks, two at least, and the half chunks before each."""
+    """Bytes with each text filled up with zeros to half chunks, two at least, and the half chunks before each.
+
+    A half chunk of zeros follows each text, so that windows that reach over its end find no other text there.
+    """
     half = CHUNK // 2
     sizes = np.diff(texts.bounds)
     halves = np.maximum(2, -(-sizes // half))
-    before = np.concatenate(([0], np.cumsum(halves)))
+    before = np.concatenate(([0], np.cumsum(halves + 1)))
     codes = np.zeros(int(before[-1]) * half + WIDTH, np.uint8)
     place = np.arange(len(texts.data)) + np.repeat(before[:-1] * half - texts.bounds[:-1], sizes)
     codes[place] = texts.data
@@ -110,11 +113,11 @@ def pool(net: Network, texts: Texts, places: bool) -> Pooled:
             tops[a:b] = got.max(1)
     # a chunk is a half and the next one of the same text
     left = np.ones(total, bool)
-    left[before[1:] - 1] = False
+    left[before[1:] - 1] = left[before[1:] - 2] = False
     i = np.flatnonzero(left)
     best = np.maximum(tops[i], tops[i + 1])
     at = np.where(tops[i] >= tops[i + 1], spots[i], spots[i + 1]) if places else spots
-    return Pooled(codes, before, np.maximum(best + net.shift, 0), at, before[:-1] - np.arange(len(before) - 1))
+    return Pooled(codes, before, np.maximum(best + net.shift, 0), at, before[:-1] - 2 * np.arange(len(before) - 1))
 
 
 def combine(net: Network, pooled: Pooled) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
