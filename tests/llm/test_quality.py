@@ -101,6 +101,30 @@ def test_overlapping_slices_of_texts_agree():
     assert whole == pytest.approx(alone, abs=2e-3)
 
 
+def test_a_long_text_does_not_end_the_sample(spark, documents):
+    rows, labels = corpus(120)
+    # texts over the bound alone, some of them early in any order, and copies that stand together by their text's hash
+    rows += [(500 + i, f"{i} " * 15_000) for i in range(60)] + [(600 + i, rows[2][1]) for i in range(30)]
+    labels += [(500 + i, 0, 0) for i in range(60)] + [(600 + i, 1, 0) for i in range(30)]
+    docs = documents(rows)
+    net = quality.learn(docs, table(spark, labels), quality.fold(1) == 0, most_bytes=29_999)
+    part = next(slices(pa.array([t for _, t in rows[:120]])))
+    assert np.mean((quality.predict(net, part) >= 0.5) == [i % 3 != 0 for i in range(120)]) > 0.8
+
+
+def test_a_class_without_a_text_that_fits_fails(spark, documents):
+    docs = documents([(i, "x" * 30_000 if i < 5 else prose(9, i)) for i in range(20)])
+    with pytest.raises(ValueError):
+        quality.learn(docs, table(spark, [(i, int(i < 5), 0) for i in range(20)]), quality.fold(1) == 0, most_bytes=29_999)
+
+
+def test_rows_that_fit_are_taken_in_order():
+    assert quality.within([50, 3, 90, 4, 2], [1, 0, 1, 1, 0], 60) == [0, 1, 3, 4]
+    assert quality.within([200, 3, 4], [1, 0, 1], 10) == [1, 2]
+    assert sorted(quality.within([9, 8], [1, 0], 17)) == [0, 1]
+    assert sorted(quality.within([9, 9, 3, 5], [1, 1, 1, 0], 10)) == [2, 3]
+
+
 def test_scores_do_not_depend_on_the_next_text():
     net = quality.fresh()
     # one filter answers to a Q at a window's end

@@ -7,8 +7,10 @@ chunk has and which it lacks; their maxima over all chunks, of the units and of
 themselves, are combined into one probability. All layers are learnt together, by gradient steps
 through the pooled maxima.
 
-The network is learnt from at most TRAIN_ROWS labelled rows of at most TRAIN_BYTES bytes together,
-the first by a hash of doc_id. Scores read the text alone, all of it.
+The network is learnt from at most TRAIN_ROWS labelled rows, the first by a hash of doc_id, and of
+these from whole texts of at most TRAIN_BYTES bytes together: in the same order, a text that doesn't
+fit the bytes left is passed over and the next ones are still taken. Equal rows are learnt once.
+If no text of a class fits, learning fails with a ValueError. Scores read the text alone, all of it.
 
 Defined results: null and empty texts, and texts shorter than a filter, are filled up with zero
 bytes and scored like any other; rows without a label are scored but never learnt from; with
@@ -18,7 +20,7 @@ gives no rows; columns other than those named are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -197,21 +199,41 @@ def constant(share: float) -> Network:
     return Network(*[np.zeros_like(w) for w in fresh()[:-1]], np.array([np.log(share / (1 - share))], np.float32))
 
 
+def fitting(sizes: list[int], most_bytes: int, order: Iterable[int]) -> list[int]:
+    """The rows, taken in `order`, that fit the bytes left; one that doesn't is passed over."""
+    taken, left = [], most_bytes
+    for i in order:
+        if sizes[i] <= left:
+            taken.append(i)
+            left -= sizes[i]
+    return taken
+
+
+def within(sizes: list[int], labels: list[int], most_bytes: int) -> list[int]:
+    """Rows of at most `most_bytes` together, of every class there is; ValueError where no such rows exist."""
+    taken = fitting(sizes, most_bytes, range(len(sizes)))
+    if {labels[i] for i in taken} != set(labels):
+        # the shortest text of each class comes first
+        first = [min((i for i in range(len(sizes)) if labels[i] == y), key=lambda i: sizes[i]) for y in sorted(set(labels))]
+        taken = fitting(sizes, most_bytes, [*first, *(i for i in range(len(sizes)) if i not in first)])
+        lost = set(labels) - {labels[i] for i in taken}
+        if lost:
+            raise ValueError(f"no labelled text of class {sorted(lost)} fits the {most_bytes} bytes to learn from")
+    return taken
+
+
 def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES) -> Network:
-    # rows are within the bound already; their bytes are bounded by taking whole texts in order
-    held = training_rows(docs, labels, "quality", trained, rows).withColumn("size", F.octet_length("text"))
-    sizes = held.select("size", F.xxhash64("text").alias("h")).orderBy("h").collect()
-    total, cut = 0, None
-    for r in sizes:
-        total += r["size"] or 0
-        if total > most_bytes:
-            cut = r["h"]
-            break
-    found = (held if cut is None else held.filter(F.xxhash64("text") < cut)).orderBy(F.xxhash64("text")).select("text", "y").collect()
-    y = np.array([r["y"] == 1 for r in found], float)
-    if not len(y) or y.min() == y.max():
-        return constant(float(y.mean()) if len(y) else 0.5)
-    return fit([r["text"] or "" for r in found], y)
+    # rows are within the bound already; their bytes are bounded by passing over whole texts, before any text travels
+    held = training_rows(docs, labels, "quality", trained, rows).withColumn("y", (F.col("y") == 1).cast("int")).withColumn("h", F.xxhash64("text"))
+    key = ["doc_id", "h", "y"]
+    sizes = held.groupBy(*key).agg(F.coalesce(F.max(F.octet_length("text")), F.lit(0)).alias("size")).orderBy(F.xxhash64("doc_id"), *key).collect()
+    classes = {r["y"] for r in sizes}
+    if len(classes) < 2:
+        return constant(float(classes.pop()) if classes else 0.5)
+    chosen = [sizes[i] for i in within([r["size"] for r in sizes], [r["y"] for r in sizes], most_bytes)]
+    wanted = docs.sparkSession.createDataFrame([tuple(r[c] for c in key) for r in chosen], held.select(*key).schema)
+    found = held.join(F.broadcast(wanted), key).dropDuplicates(key).orderBy(F.xxhash64("doc_id"), *key).select("text", "y").collect()
+    return fit([r["text"] or "" for r in found], np.array([r["y"] for r in found], float))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -146,11 +146,11 @@ def probability(n: int, passages: list[tuple[int, int, float]], model: Model) ->
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, trained: Column, rows: int) -> DataFrame:
-    """(text, y) of at most `rows` labelled rows; stored."""
+    """(doc_id, text, y) of at most `rows` labelled rows; stored."""
     known = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & trained)
     chosen = materialise(first_by_hash(known.select("doc_id", F.col(label).cast("int").alias("y")), "doc_id", rows), "labelled")
     # at most `rows` rows of two numbers
-    return materialise(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "y"), "training")
+    return materialise(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y"), "training")
 
 
 def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN_ROWS) -> Model:
