@@ -107,3 +107,46 @@ def test_tokens_are_words_and_prefixes():
     whole, four, five = hashes
     assert whole[0] == whole[2] != whole[1] and four[0] == four[1] == four[2]
     assert five[0] == whole[0] and five[1] != whole[1]
+
+
+def best_first(at, words, scores):
+    """Maximal segments by definition, equal words scoring once in a segment."""
+    best, found = 0.0, None
+    for a in range(len(at)):
+        total, seen = 0.0, set()
+        for b in range(a, len(at)):
+            total -= toxicity.DRIFT * (at[b] - at[b - 1] - 1) if b > a else 0
+            total += -toxicity.DRIFT if words[b] in seen else scores[b]
+            seen.add(words[b])
+            if total > best + 1e-9:
+                best, found = total, (a, b + 1)
+    if found is None:
+        return []
+    a, b = found
+    return best_first(at[:a], words[:a], scores[:a]) + [(at[a], at[b - 1] + 1, best)] + best_first(at[b:], words[b:], scores[b:])
+
+
+def test_segments_of_distinct_words_equal_the_definition():
+    draw = random.Random(4)
+    for _ in range(400):
+        worth = [draw.uniform(0.3, 3) for _ in range(6)]
+        at = sorted(draw.sample(range(120), draw.randint(0, 40)))
+        words = [draw.randrange(6) for _ in at]
+        got = toxicity.distinct_segments(at, words, [worth[w] for w in words])
+        want = best_first(at, words, [worth[w] for w in words])
+        # equal passages may be cut in another order; the best of each text is the same, and so are all without ties
+        assert sorted(s for *_, s in got)[-1:] == pytest.approx(sorted(s for *_, s in want)[-1:])
+        values = [round(s, 6) for *_, s in want]
+        if len(set(values)) == len(values):
+            assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
+
+
+def test_a_passage_after_single_mentions_is_found(spark, documents):
+    rows, labels = corpus()
+    model = toxicity.learn(documents(rows), table(spark, labels), toxicity.fold(5) != 0)
+    gap = [prose(500, 50 + i) for i in range(6)]
+    singly = " ".join(f"{g} {w}" for g, w in zip(gap, BAD))
+    texts = [(1, f"{singly} {gap[4]} {' '.join(BAD)} {gap[5]}"), (2, f"{gap[0]} {' '.join(BAD)} {gap[1]} {' '.join(BAD)}")]
+    got = {r.doc_id: r for r in toxicity.scored(documents(texts), model, ["doc_id"]).collect()}
+    assert got[1].score >= 0.5 and any(p["first"] <= 2504 and p["end"] >= 2508 for p in got[1].passages)
+    assert [any(p["first"] <= a and p["end"] >= a + 4 for p in got[2].passages) for a in (500, 1004)] == [True, True]

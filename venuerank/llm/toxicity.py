@@ -2,14 +2,16 @@
 
 * Log-odds: words and the leading 4 and 5 bytes of words get the log-odds of toxic against
   clean training texts, counted once per text and
-  smoothed by an informative Dirichlet prior (a floor and a share of the counts of both). The first of equal
-  words in a text scores. Entries
+  smoothed by an informative Dirichlet prior (a floor and a share of the counts of both). Entries
   whose z-score is significant make the lexicon; every other word costs DRIFT.
-* Segments: one linear pass per text finds all maximal-scoring segments of its words.
+* Segments: all maximal-scoring segments of a text's words, best one first. Equal words score once
+  in a segment, further ones cost DRIFT there, but score anew in any other segment. Where no word
+  comes again one linear pass finds them.
 * Extreme values: a segment of score S among n words has the expected number K n exp(-L S) of
   equals in clean text; L solves sum p exp(L s) = 1 over the scores of clean training words and K
   comes from the best segments of clean training texts. Segments of an expectation below
-  SIGNIFICANT are passages; a text's evidence is the sum of their -log expectations. Two logistic
+  SIGNIFICANT are passages; a text's evidence is the sum of their -log expectations, each
+  by the share of its score from words that no better passage of the text has. Two logistic
   parameters, fitted on the training texts, turn it into a probability.
 
 The model is learnt from at most TRAIN_ROWS labelled rows, the first by a hash of doc_id. Scores
@@ -24,7 +26,8 @@ every score is the share of toxic rows (0 without any); columns other than those
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -67,11 +70,8 @@ def token_hashes(texts: Texts) -> tuple[np.ndarray, list[np.ndarray]]:
     return found.cuts, out
 
 
-def word_scores(cuts: np.ndarray, hashes: list[np.ndarray], model: Model) -> np.ndarray:
-    """The largest lexicon score of each word's tokens, 0 where none is known.
-
-    The first of equal words in a text scores; further ones say nothing new, as they count once in training.
-    """
+def word_scores(hashes: list[np.ndarray], model: Model) -> np.ndarray:
+    """The largest lexicon score of each word's tokens, 0 where none is known."""
     best = np.zeros(len(hashes[0]))
     if not len(model.keys):
         return best
@@ -83,13 +83,6 @@ def word_scores(cuts: np.ndarray, hashes: list[np.ndarray], model: Model) -> np.
         hit = model.keys[place] == h[maybe]
         maybe, place = maybe[hit], place[hit]
         best[maybe] = np.maximum(best[maybe], model.odds[place])
-    found = np.flatnonzero(best)
-    text = np.searchsorted(cuts, found, "right") - 1
-    order = np.lexsort((found, hashes[0][found], text))
-    word, text = hashes[0][found][order], text[order]
-    again = np.zeros(len(found), bool)
-    again[1:] = (word[1:] == word[:-1]) & (text[1:] == text[:-1])
-    best[found[order][again]] = 0
     return best
 
 
@@ -119,20 +112,107 @@ def segments(at: list[int], scores: list[float], drift: float = DRIFT) -> list[t
     return [(a, b, high - low) for a, b, low, high in found]
 
 
-def evidence(texts: Texts, model: Model) -> list[tuple[int, float, list[tuple[int, int, float]]]]:
-    """Per text: its words, its best segment's score and its passages with their scores."""
+def _islands(at: list[int], scores: list[float], low: int, high: int, drift: float) -> Iterator[tuple[int, int]]:
+    """Runs of hits that no segment with a positive score leaves."""
+    begin, total = low, 0.0
+    for i in range(low, high):
+        if i > begin:
+            total -= drift * (at[i] - at[i - 1] - 1)
+            if total <= 0:
+                yield begin, i
+                begin, total = i, 0.0
+        total += scores[i]
+    yield begin, high
+
+
+def _best_by_end(at: list[int], words_: list[int], scores: list[float], low: int, high: int, drift: float) -> list[tuple[float, int, int]]:
+    """(-score, last hit, first hit) of the best segment that ends at each hit, equal words scoring once in it.
+
+    A start whose segment has fallen to 0 is dropped: the hit after it is a better start for all that follows.
+    So no more starts are held than the scores of distinct words can carry.
+    """
+    value, last, live, out = np.zeros(high - low), {}, 0, []
+    for i in range(low, high):
+        j = i - low
+        if j > live:
+            value[live:j] -= drift * (at[i] - at[i - 1] - 1)
+        before = last.get(words_[i], -1)
+        value[max(live, before + 1) : j + 1] += scores[i]
+        if before >= live:
+            value[live : before + 1] -= drift
+        last[words_[i]] = j
+        while value[live] <= 0:
+            live += 1
+        held = value[live : j + 1]
+        k = len(held) - 1 - int(held[::-1].argmax())  # the shortest of equals
+        out.append((-float(held[k]), i, low + live + k))
+    return out
+
+
+def distinct_segments(at: list[int], words_: list[int], scores: list[float], drift: float = DRIFT) -> list[tuple[int, int, float]]:
+    """All maximal-scoring segments (first word, end, score), in each of which equal words score once.
+
+    The best segment is one, and so on left and right of it. All segments that beat every one they overlap are taken at once.
+    """
+    found, todo = [], [(0, len(at))]
+    while todo:
+        for low, high in _islands(at, scores, *todo.pop(), drift):
+            if len(set(words_[low:high])) == high - low:
+                found += segments(at[low:high], scores[low:high], drift)
+                continue
+            touched, begin = bytearray(high - low), low
+            chosen = []
+            for score, end, first in sorted(_best_by_end(at, words_, scores, low, high, drift)):
+                if 1 not in touched[first - low : end + 1 - low]:
+                    chosen.append((first, end + 1, -score))
+                touched[first - low : end + 1 - low] = b"\1" * (end + 1 - first)
+            for first, end, score in sorted(chosen):
+                found.append((at[first], at[end - 1] + 1, score))
+                if first > begin:
+                    todo.append((begin, first))
+                begin = end
+            if begin < high:
+                todo.append((begin, high))
+    return sorted(found)
+
+
+class Passage(NamedTuple):
+    first: int  # word
+    end: int
+    score: float
+    new: float  # share of its score from words that no better passage has
+
+
+class Evidence(NamedTuple):
+    n: int  # words
+    best: float  # score of the best segment
+    passages: list[Passage]
+    counted: list[float]  # the scores that make up the segments
+
+
+def evidence(texts: Texts, model: Model) -> list[Evidence]:
+    """The passages of each text."""
     cuts, hashes = token_hashes(texts)
-    scores = word_scores(cuts, hashes, model)
+    scores = word_scores(hashes, model)
     places = np.flatnonzero(scores)
     edges = np.searchsorted(places, cuts)
     out = []
     for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
         n = int(cuts[i + 1] - cuts[i])
         if a == b:
-            out.append((n, 0.0, []))
+            out.append(Evidence(n, 0.0, [], []))
             continue
-        own = segments((places[a:b] - cuts[i]).tolist(), scores[places[a:b]].tolist())
-        out.append((n, max(s for *_, s in own), [p for p in own if expectation(p[2], n, model) < SIGNIFICANT]))
+        at, own, held = (places[a:b] - cuts[i]).tolist(), hashes[0][places[a:b]].tolist(), scores[places[a:b]].tolist()
+        found = distinct_segments(at, own, held)
+        seen, passages, counted = set(), [], []
+        for first, end, score in sorted(found, key=lambda p: (-p[2], p[0])):
+            inside = dict((own[k], held[k]) for k in range(bisect_left(at, first), bisect_left(at, end)))
+            counted += inside.values()
+            if expectation(score, n, model) < SIGNIFICANT:
+                new = sum(x for w, x in inside.items() if w not in seen) / sum(inside.values())
+                passages.append(Passage(first, end, score, new))
+                seen.update(inside)
+        out.append(Evidence(n, max(p[2] for p in found), sorted(passages), counted))
     return out
 
 
@@ -140,9 +220,14 @@ def expectation(score: float, n: int, model: Model) -> float:
     return math.exp(min(50.0, model.scale + math.log(max(n, 1)) - model.rate * score))
 
 
-def probability(n: int, passages: list[tuple[int, int, float]], model: Model) -> float:
-    x = sum(-math.log(max(1e-300, expectation(s, n, model))) for *_, s in passages)
-    return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.bias + model.slope * math.log1p(x)))))
+def weight_of(n: int, passages: Iterable[tuple[float, float]], model: Model) -> float:
+    """The evidence of (score, new) of a text's passages."""
+    return math.log1p(sum(-math.log(max(1e-300, expectation(s, n, model))) * new for s, new in passages))
+
+
+def probability(n: int, passages: list[Passage], model: Model) -> float:
+    x = weight_of(n, [(p.score, p.new) for p in passages], model)
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, model.bias + model.slope * x))))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, trained: Column, rows: int) -> DataFrame:
@@ -202,26 +287,37 @@ def learn(docs: DataFrame, labels: DataFrame, trained: Column, rows: int = TRAIN
     if not len(keys):
         share = toxic_rows / all_rows
         return empty._replace(bias=math.log(share / (1 - share)))
-    shares = np.array([r["clean"] + 0.5 for r in chosen])[order] / c
-    model = model._replace(rate=_rate(model.odds, shares))
-
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free = model._replace(scale=-1e6)  # every segment counts
         for batch in batches:
             found = [x for part in slices(batch.column("text")) for x in evidence(part, free)]
+            clean = batch.column("y").to_numpy() != 1
             yield pa.RecordBatch.from_arrays(
-                [batch.column("y"), pa.array([n for n, _, _ in found], pa.int64()), pa.array([s for _, s, _ in found], pa.float64()), pa.array([[p[2] for p in own] for *_, own in found], pa.list_(pa.float64()))],
-                names=["y", "n", "best", "scores"],
+                [
+                    batch.column("y"), pa.array([x.n for x in found], pa.int64()), pa.array([x.best for x in found], pa.float64()),
+                    pa.array([[p.score for p in x.passages] for x in found], pa.list_(pa.float64())),
+                    pa.array([[p.new for p in x.passages] for x in found], pa.list_(pa.float64())),
+                    pa.array([x.counted if c else [] for x, c in zip(found, clean)], pa.list_(pa.float64())),
+                ],
+                names=["y", "n", "best", "scores", "new", "counted"],
             )
 
-    found = train.mapInArrow(best, "y int, n long, best double, scores array<double>").collect()  # at most `rows` rows
+    seen = materialise(train.mapInArrow(best, "y int, n long, best double, scores array<double>, new array<double>, counted array<double>"), "segments")
+    # how often each score counts among clean words; a token's score counts half a time more, its word and prefixes as one
+    values, mult = np.unique(model.odds, return_counts=True)
+    hits = {r["s"]: r["n"] for r in seen.select(F.explode("counted").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
+    all_words = seen.filter("y <> 1").agg(F.sum("n")).first()[0] or 1
+    shares = np.array([hits.get(v, 0) for v in values.tolist()]) + 0.5 * mult / (1 + len(PREFIXES))
+    model = model._replace(rate=_rate(values, shares / all_words))
+    found = seen.drop("counted").collect()  # at most `rows` rows
     clean = [(r["n"], r["best"]) for r in found if r["y"] != 1]
     # P(no segment above s among n words) = exp(-K n exp(-L s)): K by its moment over clean texts
-    seen = [n * math.exp(-model.rate * s) for n, s in clean if s > 0]
-    hit = max(len(seen), 1) / max(len(clean), 1)
+    hit = max(sum(s > 0 for _, s in clean), 1) / max(len(clean), 1)
     words_ = sum(n for n, _ in clean) / max(len(clean), 1)
     model = model._replace(scale=math.log(max(hit, 1 / len(clean)) / max(words_, 1.0) * math.exp(model.rate * _quantile([s for _, s in clean if s > 0]))))
-    x = np.array([math.log1p(sum(-math.log(max(1e-300, e)) for s in r["scores"] if (e := expectation(s, r["n"], model)) < SIGNIFICANT)) for r in found])
+    x = np.array([
+        weight_of(r["n"], [(s, w) for s, w in zip(r["scores"], r["new"]) if expectation(s, r["n"], model) < SIGNIFICANT], model) for r in found
+    ])
     y = np.array([r["y"] == 1 for r in found], float)
     bias, slope = _logistic(x, y)
     return model._replace(bias=bias, slope=slope)
@@ -273,8 +369,8 @@ def scored(docs: DataFrame, model: Model, keep: list[str], inside: str | None =
             for part in slices(texts):
                 found = evidence(part, model)
                 held = [batch.column(i).slice(part.first, len(found)) for i in range(len(keep))]
-                passages = pa.array([[{"first": a, "end": b, "score": s} for a, b, s in own] for *_, own in found], kind)
-                yield pa.RecordBatch.from_arrays([*held, pa.array([probability(n, own, model) for n, _, own in found], pa.float64()), passages], names=[*keep, "score", "passages"])
+                passages = pa.array([[{"first": p.first, "end": p.end, "score": p.score} for p in x.passages] for x in found], kind)
+                yield pa.RecordBatch.from_arrays([*held, pa.array([probability(x.n, x.passages, model) for x in found], pa.float64()), passages], names=[*keep, "score", "passages"])
 
     passage = StructType().add("first", "long").add("end", "long").add("score", "double")
     kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
