@@ -95,3 +95,27 @@ def test_slices_of_bytes():
         ids, bounds = pieces.encode_slice(vocabulary, part, np.zeros(len(part.bounds) - 1, np.uint64))
         data, back = pieces.decode_slice(vocabulary, ids, bounds)
         assert data.tobytes() == part.data.tobytes() and back.tolist() == part.bounds.tolist()
+
+
+def test_every_occurrence_is_drawn_by_document_and_place():
+    vocabulary = pieces.loaded(PATH)
+    word, texts = " international", ["x" + " international" * 500, "x" + " international" * 500, prose(40, 3)]
+    part, keys = next(slices(pa.array(texts))), pieces.mix(np.array([7, 8, 9], np.uint64))
+    ids, bounds = pieces.encode_slice(vocabulary, part, keys)
+    whole = pieces.encode_slice(vocabulary, part, keys, 0.0)
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    assert whole[0][: whole[1][1]].tolist() == model.encode(texts[0])
+    seen = set()
+    for i, text in enumerate(texts):
+        # every word's agenda by its definition, under its own key
+        want = []
+        starts = [k for k, c in enumerate(text) if k == 0 or c == " "] + [len(text)]
+        for place, (a, b) in enumerate(zip(starts, starts[1:])):
+            key = pieces.mix(keys[i : i + 1] ^ pieces.mix(np.array([place + pieces.SEED * 1000003], np.uint64)))[0]
+            symbols = ([vocabulary.blank] if place == 0 else []) + symbols_of(vocabulary, text[a:b])
+            got = plain(vocabulary, symbols, key, pieces.DROPOUT)
+            want += got
+            if text[a:b] == word:
+                seen.add(tuple(got))
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == want
+    assert len(seen) > 16  # more than eight variants, and eight of a text's first word, could give

@@ -3,10 +3,11 @@
 The vocabulary of a BPE model is read from its file; merging is done here. Every word starts as
 single characters (bytes, where a character has no piece). Its agenda holds the adjacent pairs
 that form a piece; the best-scoring one, leftmost on ties, is taken off in each step. A keyed
-hash of the seed, the word's variant, the pair's place and the piece decides whether the merge is
-skipped for good or made, so the same key gives the same ids anywhere. Which of VARIANTS a
-word follows is a hash of the document and the word's place: a word is segmented in varied ways
-within a text, and each (word, variant) of a slice is worked out once, all of them in lock-step.
+hash of the seed, the document, the word's place in its text, the pair's place and the piece decides
+whether the merge is skipped for good or made, so the same key gives the same ids anywhere and every
+occurrence of a word is drawn on its own. Each distinct word of a slice is worked out once without
+skips; an occurrence that skips none of these merges takes its ids from there, and only the others
+are worked out one by one, all of them in lock-step.
 
 Merges never cross the start of a word, since no piece holds a blank after another character;
 blanks in a run belong to the word after them. Dropout 0 gives the model's own ids.
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 from venuerank.llm.text import Texts, in_batches, mix, prefix_hash, slices, span_hash
 
 DROPOUT = 0.1
-VARIANTS = 8
 SEED = 20
 SLICE_BYTES = 2 << 20
 _NEVER = np.float32(np.inf)
@@ -135,8 +135,20 @@ def loaded(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def run_agendas(vocabulary: Vocabulary, symbols: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
-    """Merge all rows of `symbols` (-1 fills the ends) in lock-step; -1 marks what was merged away."""
+def _limit(dropout: float) -> np.uint64:
+    return np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
+
+
+def _event(place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """What a merge's draw hangs on besides its word's key."""
+    return mix((place.astype(np.uint64) << np.uint64(32)) | piece.astype(np.uint64))
+
+
+def run_agendas(vocabulary: Vocabulary, symbols: np.ndarray, keys: np.ndarray, dropout: float, merges: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+    """Merge all rows of `symbols` (-1 fills the ends) in lock-step; -1 marks what was merged away.
+
+    (rows, what is drawn for) of the merges made are added to `merges`.
+    """
     n, width = symbols.shape
     symbols = symbols.copy()
     result = symbols
@@ -148,7 +160,7 @@ def run_agendas(vocabulary: Vocabulary, symbols: np.ndarray, keys: np.ndarray, d
     for place in range(width - 1):
         pair[:, place] = vocabulary.merge(symbols[:, place], symbols[:, place + 1])
     cost = np.where(pair >= 0, -vocabulary.score[pair], _NEVER)
-    limit = np.uint64(min(int(dropout * 2.0**64), 2**64 - 1))
+    limit = _limit(dropout)
     while True:
         place = cost[live].argmin(1)
         open_ = cost[live, place] < _NEVER
@@ -157,12 +169,14 @@ def run_agendas(vocabulary: Vocabulary, symbols: np.ndarray, keys: np.ndarray, d
             return result
         piece = pair[live, place]
         if dropout:
-            drawn = mix(keys[live] ^ mix((place.astype(np.uint64) << np.uint64(32)) | piece.astype(np.uint64)))
+            drawn = mix(keys[live] ^ _event(place, piece))
             skipped = drawn < limit
             cost[live[skipped], place[skipped]] = _NEVER
             at, place, piece = live[~skipped], place[~skipped], piece[~skipped]
         else:
             at = live
+        if merges is not None:
+            merges.append((at, _event(place, piece)))
         right = after[at, place]
         beyond = after[at, right]
         symbols[at, place], symbols[at, right] = piece, -1
@@ -204,33 +218,60 @@ def encode_slice(vocabulary: Vocabulary, texts: Texts, doc_keys: np.ndarray, dro
     first = (inner == 0).astype(np.uint64)
     # the first word of a text follows the model's own blank
     kinds = span_hash(prefix_hash(texts.data), starts, ends) ^ first
-    variants = mix(doc_keys[doc] ^ mix(inner.astype(np.uint64))) % np.uint64(VARIANTS) if dropout else np.zeros(len(starts), np.uint64)
-    distinct, at, back = np.unique(kinds + variants * np.uint64(0x9E3779B97F4A7C15), return_index=True, return_inverse=True)
-    keys = mix(kinds[at] ^ mix(variants[at] + np.uint64(seed) * np.uint64(1000003)))
+    distinct, at, back = np.unique(kinds, return_index=True, return_inverse=True)
+    keys = mix(doc_keys[doc] ^ mix(inner.astype(np.uint64) + np.uint64(seed) * np.uint64(1000003)))
     places, symbols = vocabulary.symbols(texts.data)
-    begin, lead = np.searchsorted(places, starts[at]), first[at].astype(np.int64)
-    sizes = np.searchsorted(places, ends[at]) - begin + lead
-    lengths, offsets, pool, pooled = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64), [], 0
-    bands = [(0, 4), (4, 8), (8, 12), (12, 20), (20, _LONG)] + [(x, x + 1) for x in np.unique(sizes[sizes >= _LONG]).tolist()]
-    for low, high in bands:
-        chosen = np.flatnonzero((sizes >= low) & (sizes < high))
-        width = int(sizes[chosen].max()) if len(chosen) else 0
-        step = max(1, (1 << 20) // max(width, 1))
-        for k in range(0, len(chosen), step):
-            rows = chosen[k : k + step]
-            column = np.arange(width)[None, :]
-            source = np.clip(begin[rows, None] + column - lead[rows, None], 0, len(symbols) - 1)
-            block = np.where(column < sizes[rows, None], symbols[source], np.int32(-1))
-            block[lead[rows] == 1, 0] = vocabulary.blank
-            done = run_agendas(vocabulary, block, keys[rows], dropout)
-            left = done >= 0
-            lengths[rows] = left.sum(1)
-            offsets[rows] = pooled + np.cumsum(lengths[rows]) - lengths[rows]
-            pool.append(done[left])
-            pooled += len(pool[-1])
-    take = lengths[back]
+    pool, pooled = [], 0
+
+    def work_out(at: np.ndarray, dropout: float, merges: list | None) -> tuple[np.ndarray, np.ndarray]:
+        """(lengths, offsets in the pool) of the words of these numbers; `merges` takes (word, draw) of all merges."""
+        nonlocal pooled
+        begin, lead = np.searchsorted(places, starts[at]), first[at].astype(np.int64)
+        sizes = np.searchsorted(places, ends[at]) - begin + lead
+        lengths, offsets = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        bands = [(0, 4), (4, 8), (8, 12), (12, 20), (20, _LONG)] + [(x, x + 1) for x in np.unique(sizes[sizes >= _LONG]).tolist()]
+        for low, high in bands:
+            chosen = np.flatnonzero((sizes >= low) & (sizes < high))
+            width = int(sizes[chosen].max()) if len(chosen) else 0
+            step = max(1, (1 << 20) // max(width, 1))
+            for k in range(0, len(chosen), step):
+                rows = chosen[k : k + step]
+                column = np.arange(width)[None, :]
+                source = np.clip(begin[rows, None] + column - lead[rows, None], 0, len(symbols) - 1)
+                block = np.where(column < sizes[rows, None], symbols[source], np.int32(-1))
+                block[lead[rows] == 1, 0] = vocabulary.blank
+                made = None if merges is None else []
+                done = run_agendas(vocabulary, block, keys[at[rows]], dropout, made)
+                if made:
+                    merges += [(rows[i], event) for i, event in made]
+                left = done >= 0
+                lengths[rows] = left.sum(1)
+                offsets[rows] = pooled + np.cumsum(lengths[rows]) - lengths[rows]
+                pool.append(done[left])
+                pooled += len(pool[-1])
+        return lengths, offsets
+
+    merges: list[tuple[np.ndarray, np.ndarray]] = []
+    lengths, offsets = work_out(at, 0.0, merges if dropout else None)
+    take, offset = lengths[back], offsets[back]
+    if merges:
+        # the merges of each distinct word, and the occurrences that skip one of them
+        row = np.concatenate([r for r, _ in merges])
+        order = np.argsort(row, kind="stable")
+        event = np.concatenate([e for _, e in merges])[order]
+        edges = np.searchsorted(row[order], np.arange(len(at) + 1))
+        skips, limit, block = np.zeros(len(starts), bool), _limit(dropout), 1 << 16
+        for a in range(0, len(starts), block):
+            kind = back[a : a + block]
+            count = np.diff(edges)[kind]
+            before = np.cumsum(count) - count
+            owner = np.repeat(np.arange(len(kind)), count)
+            drawn = mix(keys[a : a + block][owner] ^ event[edges[kind][owner] + np.arange(len(owner)) - before[owner]])
+            skips[a + owner[drawn < limit]] = True
+        alone = np.flatnonzero(skips)
+        take[alone], offset[alone] = work_out(alone, dropout, None)
     inner = np.arange(take.sum()) - np.repeat(np.cumsum(take) - take, take)
-    ids = np.concatenate(pool)[np.repeat(offsets[back], take) + inner]
+    ids = np.concatenate(pool)[np.repeat(offset, take) + inner]
     upto = np.concatenate(([0], np.cumsum(take)))
     return ids, upto[cuts]
 
