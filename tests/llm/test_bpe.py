@@ -70,20 +70,24 @@ def test_a_text_longer_than_a_slice(documents, library, monkeypatch):
 
 def test_cuts_are_certain(library):
     merges = bpe.Merges(PATH)
-    assert not any(not merges.joined[merges.number[a], merges.number[b]] for a, b in ("th", "in", "he"))
-    found = ["qzxqj", "hello", "aaaa", "zqzqz"]
-    pieces = merges.fragments(found)
-    assert ["".join(f for f, _ in row) for row in pieces] == found and all(row[-1][1] for row in pieces)
-    assert any(len(row) > 1 for row in pieces)
-    for word, row in zip(found, pieces):
-        assert [i for f in row for i in merges.merge(*f)] == library.encode(word, add_special_tokens=False).ids
-
-
-def test_heap_and_rescan_agree():
+    found = ["qzxqj", "hello", "aaaa", "zqzqz", "x"]
+    letters, stops = merges.numbers(found), np.cumsum([len(w) for w in found])
+    assert all(merges.joined[a, b] for a, b in (merges.numbers([p]) for p in ("th", "in", "he")))
+    first, stop, ends = merges.fragments(letters, stops)
+    joined = ["".join(found)[a:b] for a, b in zip(first, stop)]
+    assert "".join(joined) == "".join(found) and set(stops) <= set(stop) and ends.sum() == len(found)
+    assert len(joined) > len(found)
+    ids = np.concatenate(merges.merge(letters, first, stop, ends)).tolist()
+    assert ids == [i for w in found for i in library.encode(w, add_special_tokens=False).ids]
+
+
+def test_heap_and_lock_step_agree():
     merges, draw = bpe.Merges(PATH), random.Random(1)
-    for _ in range(400):
-        symbols = [draw.randrange(97 - 33, 97 - 33 + draw.choice([2, 5, 26])) for _ in range(draw.randint(1, 60))]
-        assert merges._rescan(symbols.copy()) == merges._agenda(symbols.copy())
+    rows = [[draw.randrange(64, 64 + draw.choice([2, 5, 26])) for _ in range(draw.randint(1, 40))] for _ in range(500)]
+    table = np.full((len(rows), 40), -1)
+    for i, row in enumerate(rows):
+        table[i, : len(row)] = row
+    assert [r.tolist() for r in merges._lock_step(table)] == [merges._agenda(list(row)) for row in rows]
 
 
 def test_words_are_forgotten(documents, library, monkeypatch):
