@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.llm import bpe, exact_dedup, near_dup, nearest, packing, pieces, quality, sharding, suffix_dedup, toxicity, warc
+from venuerank.llm import bpe, exact_dedup, near_dup, nearest, packing, pieces, quality, sharding, spelling, suffix_dedup, toxicity, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,9 +64,17 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_pieces, op3_warc, op4_quality, op5_near_dup, op6_sharding, op7_toxicity, op8_packing, op9_suffix_dedup, op10_nearest,
-    op11_bpe,
+    op11_bpe, op12_whitening, op13_spelling,
 )}
 
 ORACLES = {
