@@ -82,11 +82,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.scratch_path = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables that `materialise` made, once everything read from them is itself stored."""
+    for df in stored:
+        _delete(df.sparkSession, df.scratch_path)
 
 
 def release_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the shared folder; call when its results are stored."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    _delete(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
