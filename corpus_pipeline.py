@@ -32,8 +32,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of repeated passages leave the texts; n_chars follows. A text that was all repeats stays as an empty one."""
-    cut = suffix_dedup.without_repeats(docs, keep_text=True, carry=docs.columns)
+    """Repeated passages of over 50 words, or of 400 bytes, leave the texts; n_chars follows. A text that was all repeats stays as an empty one."""
+    cut = suffix_dedup.without_passages(docs, carry=docs.columns)
     text, n_chars = F.col("kept_text"), F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("carried.n_chars"))
     new = {"text": text} | ({"n_chars": n_chars} if "n_chars" in docs.columns else {})
     return cut.select(*[new.get(c, F.col("carried").getField(c)).alias(c) for c in docs.columns])

@@ -52,7 +52,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
+    return suffix_dedup.with_passages(_table(spark, sf_dir, "documents"))
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
