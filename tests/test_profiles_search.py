@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -110,23 +111,28 @@ DOCS = [
 ]
 
 
-def index_of(table, size=None):
+def index_of(table, size=None, block=search.BLOCK):
     """Index in which a profile's text plays the one review of its venue."""
     venues = table.select("business_id", "metro_area", F.lit("").alias("categories"))
-    return search.build_index(venues, table.select("business_id", F.col("profile_text").alias("text")), size)
+    return search.build_index(venues, table.select("business_id", F.col("profile_text").alias("text")), size, block)
 
 
-def engine(spark, rows, query, size=None, top_n=10):
+def engine(spark, rows, query, size=None, top_n=10, block=search.BLOCK):
     table = spark.createDataFrame(rows, PROFILE)
     asked = spark.createDataFrame([("q", "M", query)], "query_id string, metro_area string, query string")
-    found = search.search(asked, table, index_of(table, size), top_n).orderBy("position").collect()
+    found = search.search(asked, table, index_of(table, size, block), top_n).orderBy("position").collect()
     return [(r["business_id"], r["match_score"], r["final_score"]) for r in found]
 
 
-@pytest.mark.parametrize("query", ["spicy ramen", "ramen broth", "cozy pasta wine", "beer", "unknown words"])
 @pytest.mark.parametrize("size, top_n", [(None, 10), (None, 2), (6, 10)])
-def test_search_equals_the_plain_one(spark, query, size, top_n):
-    assert engine(spark, DOCS, query, size, top_n) == plain_search(DOCS, query, size, top_n)
+def test_search_equals_the_plain_one(spark, size, top_n):
+    asked = ["spicy ramen", "ramen broth", "cozy pasta wine", "beer", "unknown words", "   "]
+    table = spark.createDataFrame(DOCS, PROFILE)
+    queries = spark.createDataFrame([(q, "M", q) for q in asked], "query_id string, metro_area string, query string")
+    found = {q: [] for q in asked}
+    for r in search.search(queries, table, index_of(table, size), top_n).orderBy("position").collect():
+        found[r["query_id"]].append((r["business_id"], r["match_score"], r["final_score"]))
+    assert found == {q: plain_search(DOCS, q, size, top_n) if q.strip() else [] for q in asked}
 
 
 def test_venues_without_a_match_take_places(spark):
@@ -137,8 +143,7 @@ def test_venues_without_a_match_take_places(spark):
     assert [r[0] for r in engine(spark, rows, "palace", top_n=4)] == ["match"]
 
 
-def test_blank_query_or_no_profiles(spark):
-    assert engine(spark, DOCS, "   ") == []
+def test_no_profiles(spark):
     assert engine(spark, [], "ramen") == []
 
 
@@ -162,11 +167,65 @@ def test_whole_reviews_are_counted_one_by_one(spark):
     venues = spark.createDataFrame([("a", "M", "Noodle Bars, Soup"), ("b", "M", None), ("c", None, "Soup")], "business_id string, metro_area string, categories string")
     long = " ".join(f"w{i}" for i in range(5000)) + " ending"
     reviews = spark.createDataFrame([("a", "soup soup"), ("a", "soup bowl"), ("b", long), ("b", None), ("c", "soup")], "business_id string, text string")
-    counts = {(r["business_id"], r["term"]): r["tf"] for r in search.venue_terms(venues, reviews).collect()}
+    index = search.build_index(venues, reviews)
+    counts = {(r["business_id"], r["term"]): r["tf"] for r in search.venue_terms(index).collect()}
     assert counts["a", "soup"] == 3 + 3 and counts["a", "soup soup"] == 1 and counts["a", "noodle bars"] == 3
     assert ("a", "soup soup bowl") not in counts and counts["b", "w4999 ending"] == 1 and counts["b", "ending"] == 1
     assert not [k for k in counts if k[0] == "c"]
-    index = search.build_index(venues, reviews)
     squares = search.term_weights(index).groupBy("business_id").agg(F.sum(F.col("weight") ** 2).alias("s")).collect()
     assert {r["business_id"]: round(r["s"], 9) for r in squares} == {"a": 1.0, "b": 1.0}
-    assert index.vocabulary.count() == len({t for _, t in counts})
+    assert search.vocabulary(index).count() == len({t for _, t in counts})
+    assert [r["term"] for r in index.dictionary.orderBy("term_id").collect()] == sorted({t for _, t in counts})
+
+
+def many_profiles(n, metro="M"):
+    """Profiles in which few words are very frequent, of many lengths, so that long lists have a wide range of weights."""
+    draw = random.Random(11)
+    words = [f"word{i}" for i in range(60)]
+    share = [1 / (i + 1) for i in range(60)]
+    return [
+        profile(f"{metro}{i:04}", " ".join(draw.choices(words, share, k=draw.choice([3, 8, 40, 160]))), draw.choice([None, 0, 3, 80, 2000]), draw.choice([None, 1.0, 3.5, 5.0]), metro)
+        for i in range(n)
+    ]
+
+
+@pytest.fixture(scope="module")
+def many(spark):
+    rows = many_profiles(400) + many_profiles(30, "N")
+    table = spark.createDataFrame(rows, PROFILE)
+    return rows, table, index_of(table, block=16)
+
+
+def test_blocks_are_skipped_for_a_frequent_term(spark, many):
+    rows, table, index = many
+    asked = spark.createDataFrame([("q", "M", "word0")], "query_id string, metro_area string, query string")
+    weights = search.materialise(search._query_weights(asked, index), "weights")
+    idle = spark.createDataFrame([], "query_id string, metro_area string, business_id string, match_score double")
+    plan = search.first_look(weights, index, search._standing(table), idle, 5).plan.toPandas()
+    lists = index.ranked.groupBy("metro", "term_id").count().toPandas()
+    assert lists["count"].max() > 300  # a term that most venues have
+    assert len(plan) >= 15 and (~plan["kept"]).sum() >= len(plan) / 2
+    kept = plan[plan["kept"]]["bound"]
+    assert plan[~plan["kept"]]["bound"].max() < plan["least"].iloc[0] and (kept >= plan["least"].iloc[0] - 1e-8).all()
+
+
+@pytest.mark.parametrize("top_n", [1, 5, 50, 500])
+def test_bounded_search_equals_scoring_everything(spark, many, top_n):
+    rows, table, index = many
+    asked = ["word0", "word0 word1", "word3 word40 word0 word0", "word59", "nothing", "word1 word2 word3 word4 word5"]
+    queries = spark.createDataFrame([(f"{m}{i}", m, q) for m in "MN" for i, q in enumerate(asked)], "query_id string, metro_area string, query string")
+    found = {}
+    for r in search.search(queries, table, index, top_n).orderBy("query_id", "position").collect():
+        found.setdefault(r["query_id"], []).append((r["business_id"], r["match_score"], r["final_score"]))
+    for m in "MN":
+        here = [r for r in rows if r[2] == m]
+        for i, q in enumerate(asked):
+            assert found.get(f"{m}{i}", []) == plain_search(here, q, None, top_n), (m, q)
+
+
+def test_equal_texts_are_one_vector(spark):
+    venues = spark.createDataFrame([("a", "M", "Thai"), ("b", "M", "Thai")], "business_id string, metro_area string, categories string")
+    reviews = spark.createDataFrame([("a", "good soup")] * 50 + [("b", "good soup"), ("b", "Thai")], "business_id string, text string")
+    index = search.build_index(venues, reviews)
+    counts = {(r["business_id"], r["term"]): r["tf"] for r in search.venue_terms(index).collect()}
+    assert counts == {("a", "good"): 50, ("a", "soup"): 50, ("a", "good soup"): 50, ("a", "thai"): 3, ("b", "good"): 1, ("b", "soup"): 1, ("b", "good soup"): 1, ("b", "thai"): 4}

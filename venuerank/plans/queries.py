@@ -112,18 +112,12 @@ def profiles_with_fallback(g: Gold) -> DataFrame:
 
 def tfidf_vocabulary(g: Gold) -> DataFrame:
     """Each metro's terms, counted by the number of venues that have them."""
-    return g.text_index.vocabulary.groupBy("metro_area", "doc_count").agg(
-        F.count(F.lit(1)).alias("terms"), F.sum("corpus_count").alias("corpus_count"), F.max("idf").alias("idf"),
-        F.min("term").alias("first_term"), F.max("term").alias("last_term"),
-    )
+    return search.vocabulary_summary(g.text_index)
 
 
 def tfidf_index(g: Gold) -> DataFrame:
     """Each venue's vector over all terms of its reviews, summed up: its terms, weights and heaviest weight."""
-    return search.term_weights(g.text_index).groupBy("metro_area", "business_id").agg(
-        F.count(F.lit(1)).alias("terms"), F.sum("weight").alias("weight_sum"), F.max("weight").alias("heaviest"),
-        F.min("term").alias("first_term"), F.max("term").alias("last_term"),
-    )
+    return search.venue_summary(g.text_index)
 
 
 def tfidf_weights(g: Gold) -> DataFrame:
