@@ -1,0 +1,115 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from venuerank.operators import increment, places, scores, sketches
+from venuerank.plans import round_trip
+from venuerank.plans.serving_sql import serve
+from venuerank.sources.raw import read_table
+
+
+def km(a, b):
+    h = math.sin(math.radians(b[0] - a[0]) / 2) ** 2 + math.cos(math.radians(a[0])) * math.cos(math.radians(b[0])) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+    return 2 * 6371.0 * math.asin(min(1.0, math.sqrt(h)))
+
+
+@pytest.mark.parametrize("spread, k", [("globe", 1), ("globe", 3), ("town", 2), ("poles", 2)])
+def test_nearest_places_equal_brute_force(spark, spread, k):
+    draw = random.Random(spread + str(k))
+    at = {
+        "globe": lambda: (draw.uniform(-90, 90), draw.choice([draw.uniform(-180, 180), draw.uniform(179.9, 180), draw.uniform(-180, -179.9), 180.0, -180.0])),
+        "town": lambda: (draw.uniform(40, 40.4), draw.uniform(-74.2, -74)),
+        "poles": lambda: (draw.choice([-1, 1]) * draw.uniform(89.5, 90), draw.uniform(-180, 180)),
+    }[spread]
+    known = {f"p{i:03}": at() for i in range(60)}
+    asked = {i: at() for i in range(50)} | {100: (0.0, 0.0), 101: (90.0, 0.0), 102: (-12.5, 179.99999)}
+    points = spark.createDataFrame([(i, *p) for i, p in asked.items()] + [(200, None, 1.0)], "id int, lat double, lng double")
+    table = spark.createDataFrame([(n, *p) for n, p in known.items()] + [("nowhere", None, None)], "place string, lat double, lng double")
+    got = {}
+    for r in places.nearest_places(points, table, ["id"], k).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append((r["place"], r["distance_km"]))
+    for i, p in asked.items():
+        want = sorted((round(km(p, q), 6), n) for n, q in known.items())[:k]
+        assert [(n, pytest.approx(d, abs=1e-5)) for d, n in want] == got[i], (i, p)
+    assert set(got) == set(asked)
+
+
+def test_fewer_places_than_asked_for(spark):
+    points = spark.createDataFrame([(1, 10.0, 10.0)], "id int, lat double, lng double")
+    table = spark.createDataFrame([("far", -80.0, -170.0)], "place string, lat double, lng double")
+    assert [r["place"] for r in places.nearest_places(points, table, ["id"], 3).collect()] == ["far"]
+    assert places.nearest_places(points, table.limit(0), ["id"]).count() == 0
+
+
+def test_sketches_merge_like_rows(spark):
+    rows = spark.range(40_000).select(
+        (F.col("id") % 3).cast("string").alias("metro"), (F.col("id") % 30).alias("cell"),
+        (F.col("id") % 9001).cast("string").alias("user_id"), (F.pmod(F.xxhash64("id"), F.lit(1000)) / 10).alias("stars"),
+    )
+    merged = sketches.rolled_up(sketches.sketched(rows, ["metro", "cell"]), ["metro"])
+    exact = {r["metro"]: r for r in rows.groupBy("metro").agg(F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("n"), F.percentile("stars", F.lit([0.47, 0.53])).alias("around")).collect()}
+    for r in sketches.estimates(merged).collect():
+        true = exact[r["metro"]]
+        assert abs(r["users_hll"] - true["users"]) <= sketches.HLL_ERROR * true["users"]
+        assert abs(r["users_theta"] - true["users"]) <= sketches.THETA_ERROR * true["users"]
+        assert r["rows"] == true["n"] and true["around"][0] <= r["median"] <= true["around"][1]
+    for r in sketches.shared_users(merged, "metro", "1").collect():
+        assert abs(r["shared"] - (9001 if r["metro"] == "1" else 9001)) <= sketches.THETA_ERROR * 9001
+
+
+REVIEWS = "business_id string, stars double, date string, load int"
+
+
+def test_loads_equal_one_full_load(spark):
+    draw = random.Random(1)
+    rows = [(draw.choice("abc"), float(draw.randint(1, 5)), draw.choice(["2001-01-05 00:00:00", "2000-07-09 12:00:00", "2001-12-31 23:59:59", "no date"]), draw.randint(0, 2)) for _ in range(300)]
+    reviews = spark.createDataFrame(rows, REVIEWS)
+    state = None
+    for loads in ([0], [0], [0, 1], [1, 2], [2], []):
+        state = increment.advance(state, reviews.filter(F.col("load").isin(loads)))
+    assert state.through == 2 and state.days.count() <= 3 * 4
+    # one state, any date
+    for as_of in ("2002-01-01", "2010-06-30"):
+        got = {r["business_id"]: r for r in increment.totals(state, as_of).collect()}
+        for r in scores.review_totals(reviews, as_of).collect():
+            mine = got.pop(r["business_id"])
+            assert (mine["reviews"], mine["positive"], mine["negative"]) == (r["reviews"], r["positive"], r["negative"])
+            assert mine["avg_rating"] == pytest.approx(r["avg_rating"]) and mine["recency_sum"] == pytest.approx(r["recency_sum"])
+        assert not got
+
+
+def test_no_reviews_at_first(spark):
+    none = spark.createDataFrame([], REVIEWS)
+    state = increment.advance(None, none)
+    assert (state.through, increment.totals(state, "2002-01-01").count()) == (-1, 0)
+    state = increment.advance(state, spark.createDataFrame([("a", 4.0, "2001-01-01 00:00:00", 0)], REVIEWS))
+    assert state.through == 0 and increment.totals(state, "2002-01-01").first()["reviews"] == 1
+
+
+def test_round_trip_replaces_one_metro_and_prunes(spark):
+    rows = [(f"r{i}", f"u{i % 4}", f"b{i % 6}", float(1 + i % 4), "2001-01-01 00:00:00", "tab\there \"quoted\" é\n" if i % 2 else None) for i in range(60)]
+    reviews = spark.createDataFrame(rows, "review_id string, user_id string, business_id string, stars double, date string, text string")
+    metros = spark.createDataFrame([(f"b{i}", None if i == 5 else "12" if i < 2 else "City N") for i in range(6)], "business_id string, metro_area string")
+    stored, rejected = round_trip.stored_reviews(reviews, metros, F.col("review_id").endswith("7"), "12")
+    got = {r["review_id"]: r for r in stored.collect()}
+    whole = [r for r in rows if not r[0].endswith("7") and r[2] != "b5"]
+    assert set(got) == {r[0] for r in whole}
+    for r in whole:
+        assert (got[r[0]]["text"], got[r[0]]["stars"]) == (r[5], 5.0 if r[2] in ("b0", "b1") else r[3])
+    assert rejected.count() == 6
+    one = stored.filter(F.col("metro_area") == "12")
+    assert one.count() == sum(r[2] in ("b0", "b1") for r in whole)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(metro_area" in plan and "metro_area" in plan
+
+
+def test_statements_take_values_as_parameters(spark):
+    table = spark.createDataFrame([("a", "100% Vegan", "X"), ("b", "1000 Vegan", "Y"), ("c", None, "X'; --"), ("d", "under_score!", "X")], "business_id string, categories string, city string")
+    ids = lambda name, **p: sorted(r["business_id"] for r in serve(spark, name, {"scores": table}, **p).collect())
+    assert ids("venues_by_cuisine", cuisine="100% v") == ["a"] and ids("venues_by_cuisine", cuisine="r_s") == ["d"]
+    assert ids("venues_by_cuisine", cuisine="E!") == ["d"] and ids("venues_by_cuisine", cuisine="rxs") == []
+    for everything in (None, "All", ""):
+        assert ids("venues_by_cuisine", cuisine=everything) == ["a", "b", "c", "d"]
+    assert ids("venues_of_city", city="X'; --") == ["c"] and ids("venues_of_city", city=None) == []

@@ -17,9 +17,17 @@ CHART_COLOURS = ("#c62828", "#e65100", "#2e7d32")
 PIN_COLOURS = ("green", "orange", "lightgray")
 
 
+def review_day(date: Column) -> Column:
+    """The day of a review; null when its date is unreadable."""
+    return F.try_to_timestamp(date, F.lit(DATE_FORMAT)).cast("date")
+
+
 def recency_weight(date: Column, as_of: datetime.date | str) -> Column:
     """1 / (1 + age in years); null when the date is unreadable or the formula has its pole."""
-    day = F.try_to_timestamp(date, F.lit(DATE_FORMAT)).cast("date")
+    return day_weight(review_day(date), as_of)
+
+
+def day_weight(day: Column, as_of: datetime.date | str) -> Column:
     age = F.datediff(F.lit(str(as_of)).cast("date"), day).cast("double")
     return F.try_divide(F.lit(1.0), 1 + age / 365.0)
 

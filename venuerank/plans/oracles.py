@@ -8,7 +8,7 @@ metro areas, for example, are assigned by a sequential walk over the cities.
 from __future__ import annotations
 
 from venuerank.functions.vocabulary import CUISINE_TAGS, FOOD_AND_DRINK_TAGS
-from venuerank.plans.queries import CITY, CUISINE, MATCH, METRO, PHRASES, SAMPLE, TASTE, UNPROFILED, digits
+from venuerank.plans.queries import CITY, CUISINE, DAMAGED, MATCH, METRO, PHRASES, SAMPLE, TASTE, UNPROFILED, digits
 
 AS_OF = "2002-01-01"
 BLANKS = "(' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
@@ -522,6 +522,40 @@ ORACLES: dict[str, str] = {
     "als_served": sql("""
         SELECT DISTINCT user_id, true AS some_shown, true AS fits, true AS rated, true AS cards_right
         FROM train SEMI JOIN (SELECT DISTINCT user_id FROM recommendation) USING (user_id)""", "train", "recommendation"),
+    "als_exact_top_n": sql("""
+        SELECT user_id, CAST(rank AS INTEGER) AS rank, true AS agrees
+        FROM (SELECT DISTINCT user_id FROM train),
+             (SELECT unnest(range(1, 1 + least(10, count(DISTINCT business_id)))) AS rank FROM train)""", "train"),
+    "als_in_slices": sql("""
+        SELECT count(*) AS scored, true AS as_the_library
+        FROM (SELECT * FROM rating ANTI JOIN train USING (review_id))
+        SEMI JOIN train USING (user_id) WHERE business_id IN (SELECT business_id FROM train)""", "train"),
+    "nearest_centres": sql(f"""
+        SELECT metro_area, grid_cell, place, round(km, 6) AS distance_km, CAST(rank AS INTEGER) AS rank
+        FROM (SELECT metro_area, grid_cell, c.city_key AS place, km,
+                     row_number() OVER (PARTITION BY metro_area, grid_cell ORDER BY round(km, 9), c.city_key) AS rank
+              FROM grid g, city_anchor c, LATERAL (SELECT {_km('g.center_lat', 'g.center_lng', 'c.center_lat', 'c.center_lng')} AS km))
+        WHERE rank <= 2""", "grid", "city_anchor"),
+    "sketched_metros": sql("""
+        SELECT metro_area, count(DISTINCT user_id) AS users, count(*) AS reviews,
+               true AS hll_within, true AS theta_within, true AS all_rows, true AS median_within
+        FROM enriched GROUP BY metro_area""", "enriched"),
+    "users_shared_with_metro": sql(f"""
+        SELECT metro_area, count(*) FILTER (user_id IN (SELECT user_id FROM enriched WHERE metro_area = '{METRO}')) AS shared_users,
+               true AS shared_within, true AS either_within
+        FROM (SELECT DISTINCT metro_area, user_id FROM enriched) GROUP BY metro_area""", "enriched"),
+    "incremental_scores": _SCORES,
+    "reviews_through_json": sql(f"""
+        SELECT metro_area, count(*) AS reviews,
+               CAST(sum(CASE WHEN metro_area = '{METRO}' THEN 5 ELSE stars END) AS BIGINT) AS stars, count(text) AS texts,
+               min(md5(text)) AS first_text, max(date) AS last_date, count(DISTINCT user_id) AS users
+        FROM review JOIN (SELECT business_id, metro_area FROM venue) USING (business_id)
+        WHERE NOT suffix(review_id, '{DAMAGED}') GROUP BY metro_area""", "review", "venue"),
+    "rejected_lines": sql(f"SELECT review_id, false AS is_closed FROM review WHERE suffix(review_id, '{DAMAGED}')", "review"),
+    "venues_of_city": sql(f"SELECT {_SCORE_ROW} FROM scores WHERE city = '{CITY}'", "scores"),
+    "venues_by_cuisine": sql(
+        f"SELECT {_SCORE_ROW} FROM scores WHERE lower(categories) LIKE lower('%{CUISINE}%')", "scores"),
+    "users_matching_taste": sql("SELECT user_id, matches, " + _r("avg_pred") + " FROM taste", "taste"),
     "als_status": "SELECT metric, true AS in_bounds, true AS status_agrees FROM (VALUES ('rmse'), ('precision_at_k'), ('weighted_f1')) AS m(metric)",
     "sentiment_classifier_metrics": sql(
         "SELECT CAST(sum(held_out) AS BIGINT) AS held_out, true AS accuracy_in_bounds, true AS f1_in_bounds FROM held", "held"),

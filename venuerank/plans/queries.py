@@ -11,11 +11,14 @@ from venuerank.functions.geo import haversine_km
 from venuerank.functions.scoring import status
 from venuerank.functions.text import unigrams_and_bigrams
 from venuerank.operators import (
-    classifier, clean, explore, metro, profiles, recommend, sampling, scores, search, sentiment, serving,
+    classifier, clean, explore, factors, increment, metro, places, profiles, recommend, sampling, scores, search, sentiment, serving, sketches,
 )
 from venuerank.operators.neighborhoods import add_neighborhood_labels, largest_cells, metro_centres
 from venuerank.operators.ranking import ordered_position
+from venuerank.plans import round_trip
 from venuerank.plans.gold import Gold, gold
+from venuerank.plans.serving_sql import serve
+from venuerank.session import materialise
 from venuerank.sinks.guards import duplicate_keys
 from venuerank.sources import star_schema
 
@@ -33,6 +36,7 @@ PHRASES = ["best mexican restaurants", "fast food", "quiet coffee tea nightlife"
 # metros whose profiles are left to the fallback, as if they had not been indexed yet
 UNPROFILED = ["City 1", "City 10"]
 SAMPLE = 10_000
+DAMAGED = "-13"  # reviews whose id ends so are written as broken lines
 # a venue's vector spreads over all words of all its reviews, which these tables make of invented words
 MATCH = 0.002
 
@@ -299,6 +303,109 @@ def capped_sample(g: Gold) -> DataFrame:
     return sampling.capped_sample(g.ratings.select("review_id", "stars"), "review_id", SAMPLE)
 
 
+# --- exact searches and models in slices ---
+
+CLOSE_SCORES = 1e-4  # the library's products are made of 32-bit numbers
+CLOSE_RMSE = 0.05
+FACTOR_ROUNDS = 6
+
+
+def als_exact_top_n(g: Gold) -> DataFrame:
+    """The model's best venues by bounded search, and whether they score as the library's own."""
+    model = g.factor_model
+    best = factors.best_items(model.userFactors, model.itemFactors, model.rank, recommend.TOP_N)
+    found = best.rows.select(F.col("user").alias("user_idx"), F.col("rank").cast("int").alias("rank"), "score")
+    theirs = g.model_recommendations.select("user_id", F.col("rank").cast("int").alias("rank"), "predicted_rating")
+    met = found.join(g.matrix.users, "user_idx").join(theirs, ["user_id", "rank"])
+    return met.select("user_id", "rank", (F.abs(F.col("score") - F.col("predicted_rating")) < CLOSE_SCORES).alias("agrees"))
+
+
+def als_in_slices(g: Gold) -> DataFrame:
+    """Factors fitted by sums in slices: ratings they can score, and whether their error is that of the library's model."""
+    train, test = g.split_matrix
+    fitted = factors.factorise(train, recommend.RANK, FACTOR_ROUNDS, recommend.REGULARISATION)
+    scored = factors.predict(test, fitted, recommend.RANK)
+    theirs = recommend.rmse_table(g.test_predictions, "stars", "prediction").select("rmse").scalar()
+    error = F.col("stars") - F.col("prediction")
+    return scored.agg(F.count(F.lit(1)).alias("scored"), F.sqrt(F.avg(error * error)).alias("rmse")).select(
+        "scored", (F.abs(F.col("rmse") - theirs) < CLOSE_RMSE).alias("as_the_library")
+    )
+
+
+# --- places, sketches, loads ---
+
+def nearest_centres(g: Gold) -> DataFrame:
+    """The two nearest city centres to each cell."""
+    cells = g.grid_aggregates.select("metro_area", "grid_cell", F.col("center_lat").alias("lat"), F.col("center_lng").alias("lng"))
+    centres = g.city_centres.select(F.col("city_key").alias("place"), F.col("center_lat").alias("lat"), F.col("center_lng").alias("lng"))
+    return places.nearest_places(cells, centres, ["metro_area", "grid_cell"], 2)
+
+
+def _metro_sketches(g: Gold) -> DataFrame:
+    """Sketches by metro, rolled up from stored ones by cell."""
+    by_cell = materialise(sketches.sketched(g.enriched_rows.select("metro_area", "grid_cell", "user_id", "stars"), ["metro_area", "grid_cell"]), "sketches")
+    return materialise(sketches.rolled_up(by_cell, ["metro_area"]), "metro-sketches")
+
+
+def sketched_metros(g: Gold) -> DataFrame:
+    """Users and reviews of each metro as counted, and whether the sketches' figures are within their errors."""
+    rows = g.enriched_rows.select("metro_area", "user_id", "stars")
+    low, high = F.percentile("stars", F.lit(0.5 - sketches.RANK_ERROR)), F.percentile("stars", F.lit(0.5 + sketches.RANK_ERROR))
+    exact = rows.groupBy("metro_area").agg(
+        F.count_distinct("user_id").alias("users"), F.count(F.lit(1)).alias("reviews"), F.floor(low).alias("low"), F.ceil(high).alias("high")
+    )
+    met = sketches.estimates(_metro_sketches(g)).join(exact, "metro_area")
+    users = F.col("users")
+    return met.select(
+        "metro_area", "users", "reviews", sketches.within(F.col("users_hll"), users, sketches.HLL_ERROR).alias("hll_within"),
+        sketches.within(F.col("users_theta"), users, sketches.THETA_ERROR).alias("theta_within"),
+        (F.col("rows") == F.col("reviews")).alias("all_rows"), F.col("median").between(F.col("low"), F.col("high")).alias("median_within"),
+    )
+
+
+def users_shared_with_metro(g: Gold) -> DataFrame:
+    """Users each metro shares with one metro, as counted, and whether the sketches' figure is within its error."""
+    rows = g.enriched_rows.select("metro_area", "user_id").distinct()
+    here = rows.filter(F.col("metro_area") == METRO).select("user_id", F.lit(True).alias("is_here"))
+    size = here.agg(F.count(F.lit(1))).scalar()
+    exact = rows.join(here, "user_id", "left").groupBy("metro_area").agg(F.count_if(F.col("is_here")).alias("shared_users"), F.count(F.lit(1)).alias("users"))
+    met = sketches.shared_users(_metro_sketches(g), "metro_area", METRO).join(exact, "metro_area")
+    either = F.col("users") + size - F.col("shared_users")
+    return met.select(
+        "metro_area", "shared_users", sketches.within(F.col("shared"), F.col("shared_users"), sketches.THETA_ERROR, either).alias("shared_within"),
+        sketches.within(F.col("either"), either, sketches.THETA_ERROR).alias("either_within"),
+    )
+
+
+def incremental_scores(g: Gold) -> DataFrame:
+    """Venue scores from a state that took three loads, the second one twice."""
+    reviews = g.clean_review_rows.select("review_id", "business_id", "stars", "date", F.pmod(F.xxhash64("review_id"), F.lit(3)).cast("int").alias("load"))
+    state = None
+    for given in ([0], [0, 1], [1], [1, 2]):
+        state = increment.advance(state, reviews.filter(F.col("load").isin(given)))
+    return scores.score_from_totals(increment.totals(state, star_schema.AS_OF), g.businesses)
+
+
+def _round_trip(g: Gold) -> tuple[DataFrame, DataFrame]:
+    reviews = g.review_rows.select("review_id", "user_id", "business_id", "stars", "date", F.md5("text").alias("text"))
+    return round_trip.stored_reviews(reviews, g.businesses.select("business_id", "metro_area"), F.col("review_id").endswith(DAMAGED), METRO)
+
+
+def reviews_through_json(g: Gold) -> DataFrame:
+    """Reviews of each metro after JSON lines, partitioned Parquet and the replacement of one metro."""
+    stored, _ = _round_trip(g)
+    return stored.groupBy("metro_area").agg(
+        F.count(F.lit(1)).alias("reviews"), F.sum("stars").cast("long").alias("stars"), F.count("text").alias("texts"),
+        F.min("text").alias("first_text"), F.max("date").alias("last_date"), F.count_distinct("user_id").alias("users"),
+    )
+
+
+def rejected_lines(g: Gold) -> DataFrame:
+    """The damaged lines, by what can still be read of them."""
+    _, rejected = _round_trip(g)
+    return rejected.select(F.regexp_extract("malformed", '"review_id":"([^"]*)"', 1).alias("review_id"), F.col("malformed").endswith("}").alias("is_closed"))
+
+
 QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "business_scores": business_scores,
     "business_scores_grouped": business_scores_grouped,
@@ -356,6 +463,19 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "als_requests": als_requests,
     "als_served": als_served,
     "als_status": als_status,
+    "als_exact_top_n": als_exact_top_n,
+    "als_in_slices": als_in_slices,
+    "nearest_centres": nearest_centres,
+    "sketched_metros": sketched_metros,
+    "users_shared_with_metro": users_shared_with_metro,
+    "incremental_scores": incremental_scores,
+    "reviews_through_json": reviews_through_json,
+    "rejected_lines": rejected_lines,
+    "venues_of_city": lambda g: serve(g.spark, "venues_of_city", {"scores": g.business_scores}, city=CITY),
+    "venues_by_cuisine": lambda g: serve(g.spark, "venues_by_cuisine", {"scores": g.business_scores}, cuisine=CUISINE),
+    "users_matching_taste": lambda g: serve(
+        g.spark, "users_matching_taste", {"recommendations": g.recommendations, "scores": g.business_scores}, metro=METRO, cuisines=TASTE,
+    ),
     "classification_metrics": lambda g: classifier.classification_metrics(wordy_predictions(g)),
     "confusion_matrix": lambda g: classifier.confusion_matrix(wordy_predictions(g)),
     "sentiment_classifier_metrics": sentiment_classifier_metrics,

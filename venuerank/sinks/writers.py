@@ -31,6 +31,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) ->
         df.write.mode("overwrite").parquet(path)
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: str) -> None:
+    """Replace the partitions of a Parquet table that `df` has rows of; the others stay as they are."""
+    dynamic = df.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    dynamic.partitionBy(partition_by).parquet(path)
+
+
 def jdbc_settings(environment: Mapping[str, str] | None = None) -> dict[str, str]:
     """Connection settings, checked before any Spark work is started."""
     source = os.environ if environment is None else environment
