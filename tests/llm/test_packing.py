@@ -57,6 +57,19 @@ def test_residues_meet_up_the_tree(spark):
     assert len({r.sequence_id for r in got}) <= 31
 
 
+@pytest.mark.parametrize("per_task", [50_000, 2_000])
+def test_many_partitions_are_close_to_one_task(spark, monkeypatch, per_task):
+    """64 partitions of documents against best fit over all of them at once."""
+    monkeypatch.setattr(packing, "PIECES_PER_TASK", per_task)
+    draw = np.random.default_rng(4)
+    lengths = np.minimum(4096, (draw.lognormal(6.5, 1.2, 20_000) + 1).astype(int))
+    rows = [(i, 0, 0, int(n), i) for i, n in enumerate(lengths)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(64)
+    got = packing.pack(pieces).select("doc_id", "sequence_id").collect()
+    alone = packing.best_fit(lengths, 4096)[0].max() + 1
+    assert len(got) == 20_000 and len({r.sequence_id for r in got}) <= 1.005 * alone
+
+
 def test_empty_table(documents):
     assert packing.packed(documents([]), PATH).count() == 0
 

@@ -1,14 +1,14 @@
 """Token sequences of a fixed length by hierarchical residual packing.
 
 Documents become token ids of a public tokenizer plus an end id; only those longer than a
-sequence are cut. Each scan partition packs its pieces by best fit, longest first, and emits the
-nearly full bins. The others become items themselves: the bins of several partitions meet in one
-task and are packed again, up to the root of this tree. A level that fills next to nothing ends
-the tree, and a task takes at most BINS_PER_TASK bins, so no task grows with the input even
-where nothing fits together. Every level is stored in the shared folder.
+sequence are cut. Partitions of about PIECES_PER_TASK pieces are packed by best fit, longest first, and
+the nearly full bins are emitted. The others become items themselves: the bins of several partitions
+meet in one task and are packed again, up to the root of this tree. A task takes at most BINS_PER_TASK
+bins, so no task grows with the input even where nothing fits together; where that leaves more than one
+task at the top, rounds go on until one saves fewer bins than it has tasks. Every level is stored
+in the shared folder.
 
-The tokenizer sees each distinct white-space separated word of a slice once. It works word by
-word itself: its pattern never spans white space, which it drops.
+Ids come from `bpe`, which gives those of the tokenizer itself.
 
 Defined results: a null or empty text is its end id alone; ties in length keep the order of the
 rows; repeated rows are packed like any others; an empty table gives no rows; columns other than
@@ -17,96 +17,48 @@ doc_id and text are ignored.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venuerank.llm.text import Texts, in_batches, slices, words
+from venuerank.llm import bpe
+from venuerank.llm.text import in_batches, slices
 from venuerank.session import materialise
 
 CAPACITY = 4096
 END_ID = 1
 NEARLY_FULL = 0.995  # share of the capacity from which a bin is emitted
 FAN_IN = 8
+PIECES_PER_TASK = 50_000
 BINS_PER_TASK = 100_000
-LEAST_PROGRESS = 0.02  # a level that saves or seals a smaller share of its bins is the last
 SLICE_BYTES = 1 << 20
-KNOWN_WORDS = 500_000  # words a worker remembers; beyond, it starts to remember anew
 
 _MEMBER = "doc_id: bigint, piece: int, start: bigint, length: bigint, ids_crc32: bigint, offset: bigint"
 _BINS = f"used long, members array<struct<{_MEMBER}>>"
 _FIELDS = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
 
-class WordIds:
-    """Token ids of texts, word by word, with the ids of known words kept in sorted arrays."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.keys, self.at, self.sizes = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-        self.ids = np.empty(0, np.uint32)
-
-    def learn(self, keys: np.ndarray, found: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
-        sizes = np.array([len(e) for e in encoded], np.int64)
-        at = len(self.ids) + np.cumsum(sizes) - sizes
-        self.ids = np.concatenate([self.ids, np.array([i for e in encoded for i in e], np.uint32)])
-        place = np.searchsorted(self.keys, keys)
-        self.keys, self.at, self.sizes = (np.insert(a, place, b) for a, b in ((self.keys, keys), (self.at, at), (self.sizes, sizes)))
-
-    def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): document i has ids[bounds[i]:bounds[i + 1]], END_ID last."""
-        found = words(texts, lower=False)
-        distinct, first, back = np.unique(found.hashes, return_index=True, return_inverse=True)
-        if len(self.keys) > KNOWN_WORDS:
-            self.forget()
-        place = np.minimum(np.searchsorted(self.keys, distinct), max(0, len(self.keys) - 1))
-        new = self.keys[place] != distinct if len(self.keys) else np.ones(len(distinct), bool)
-        if new.any():
-            raw = texts.data.tobytes()
-            at = first[new]
-            spans = zip(found.starts[at].tolist(), found.ends[at].tolist())
-            self.learn(distinct[new], [raw[a:b].decode() for a, b in spans])
-            place = np.searchsorted(self.keys, distinct)
-        n, at = len(texts.bounds) - 1, self.at[place][back]
-        sizes = self.sizes[place][back]
-        upto = np.concatenate(([0], np.cumsum(sizes)))
-        bounds = upto[found.cuts] + np.arange(n + 1)
-        ids = np.full(bounds[-1], END_ID, np.uint32)
-        # ids of word w go one after another; each document before it adds one end id
-        shift = np.repeat(np.arange(n), np.diff(found.cuts))
-        inner = np.arange(upto[-1]) - np.repeat(upto[:-1], sizes)
-        ids[np.repeat(upto[:-1] + shift, sizes) + inner] = self.ids[np.repeat(at, sizes) + inner]
-        return ids, bounds
-
-
-@lru_cache(maxsize=1)
-def loaded(path: str) -> WordIds:
-    """A worker's tokenizer; the words it knows serve all its tasks."""
-    return WordIds(path)
+def _with_ends(ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same with END_ID behind the ids of each document."""
+    n = np.arange(len(bounds) - 1)
+    out = np.full(len(ids) + len(n), END_ID, np.uint32)
+    out[np.arange(len(ids)) + np.repeat(n, np.diff(bounds))] = ids
+    return out, bounds + np.arange(len(bounds))
 
 
 def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's pieces, stored."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = loaded(tokenizer)
+        encoder = bpe.loaded(tokenizer)
         for batch in batches:
             doc_ids = batch.column("doc_id")
             for part in slices(batch.column("text"), SLICE_BYTES):
-                ids, bounds = encoder.encode(part)
+                ids, bounds = _with_ends(*encoder.encode(part))
                 counts = -(-np.diff(bounds) // capacity)
                 row = np.repeat(np.arange(len(counts)), counts)
                 piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -186,20 +138,21 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, nearly_full: float = NEARL
 
     member = F.struct("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("long").alias("offset"))
     items = pieces.select(F.col("length").alias("used"), F.array(member).alias("members"))
-    full, sealed, before = int(capacity * nearly_full), None, None
+    items = items.coalesce(max(1, pieces.count() // PIECES_PER_TASK))
+    full, sealed, before, tasks = int(capacity * nearly_full), None, None, None
     while True:
         bins = materialise(items.mapInArrow(level, _BINS), "packing-bins")
         done = bins.filter(F.col("used") >= full)
         sealed = done if sealed is None else sealed.unionByName(done)
         rest = bins.filter(F.col("used") < full)
         left = rest.count()
-        parts = rest.select(F.spark_partition_id()).distinct().count() if before is None else tasks
-        # the root was packed, or the level got hardly anything done
-        if not left or parts == 1 or (before is not None and left > before * (1 - LEAST_PROGRESS)):
+        parts = rest.select(F.spark_partition_id()).distinct().count() if tasks is None else tasks
+        at_top = tasks is not None and tasks <= -(-before // BINS_PER_TASK)
+        if not left or (parts == 1 and left <= BINS_PER_TASK) or (at_top and before - left < tasks):
             sealed = sealed.unionByName(rest)
             break
-        tasks = max(-(-parts // FAN_IN), -(-left // BINS_PER_TASK))
-        items, before = rest.repartition(tasks), left
+        tasks, before = max(-(-parts // FAN_IN), -(-left // BINS_PER_TASK)), left
+        items = rest.repartition(tasks)
     numbered = materialise(sealed.withColumn("sequence_id", F.monotonically_increasing_id()), "packing-sequences")
     return numbered.select("sequence_id", F.explode("members").alias("m")).select(
         *[f"m.{name}" for name in _FIELDS], "sequence_id", "m.offset"
