@@ -50,7 +50,7 @@ def test_empty_table(spark):
 
 def test_archives_are_standard(spark, tmp_path):
     folder = f"file://{tmp_path}/archives"
-    made = warc.write(pages(spark, [(i, "http://x.example/", prose(200, i)) for i in range(300)]), folder)
+    made = warc.write(pages(spark, [(i, "http://x.example/", prose(600, i)) for i in range(300)]), folder)
     files = sorted(f for f in os.listdir(tmp_path / "archives") if f.endswith(".warc.zst"))
     assert made == len(files) > 0 and not [f for f in os.listdir(tmp_path / "archives") if f.endswith(".tmp")]
     content = (tmp_path / "archives" / files[0]).read_bytes()
@@ -62,11 +62,27 @@ def test_archives_are_standard(spark, tmp_path):
     assert record.startswith(b"WARC/1.1\r\n") and record.count(b"WARC/1.1\r\n") == 1 and reader.unused_data
 
 
+def test_a_few_pages_have_a_dictionary_too(spark, tmp_path):
+    folder = f"file://{tmp_path}/archives"
+    rows = [(i, "http://x.example/", prose(60, 1) + prose(20, i)) for i in range(4)] + [(9, None, "x" * (300 << 10))]
+    assert warc.write(pages(spark, rows), folder) > 0
+    for name in os.listdir(tmp_path / "archives"):
+        if not name.endswith(".warc.zst"):
+            continue
+        content = (tmp_path / "archives" / name).read_bytes()
+        magic, size = struct.unpack("<II", content[:8])
+        # records as they are archived, whole
+        assert magic == 0x184D2A5D and content[8 : 8 + size].startswith(b"WARC/1.1\r\n") and prose(60, 1).encode() in content[8 : 8 + size]
+        reader = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(content[8 : 8 + size])).decompressobj()
+        assert reader.decompress(content[8 + size :]).startswith(b"WARC/1.1\r\n")
+    assert {r.page_id: len(r.payload or "") for r in warc.archived(pages(spark, rows)).collect()} == {i: len(h) for i, _, h in rows}
+
+
 def test_archives_roll(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
-    rows = [(i, "u", prose(60, i)) for i in range(100)]
+    rows = [(i, "u", prose(150, i)) for i in range(400)]  # far more than the dictionary holds
     made = warc.write(pages(spark, rows), f"file://{tmp_path}/a")
-    assert made > 8 and warc.read(spark, f"file://{tmp_path}/a").count() == 100
+    assert made > 40 and warc.read(spark, f"file://{tmp_path}/a").count() == 400
 
 
 def test_a_damaged_payload_is_noticed(spark):

@@ -7,8 +7,10 @@ its HTTP header, so a payload is stored once. Archives are written by the tasks
 folder: first under a name of the attempt, then moved to the partition's name. A partition's
 pages are sorted, so a task that runs again after a lost executor writes the same archives.
 
-The sample is DICTIONARY_SAMPLES pages, the first by a hash of page_id, of which
-DICTIONARY_PAYLOAD characters each are learnt from; it bounds the dictionary only.
+The sample is whole records of at most DICTIONARY_SAMPLES pages, the first by a hash of page_id, those of at
+most DICTIONARY_RECORD bytes and of DICTIONARY_INPUT bytes together; it bounds the dictionary only. A
+sample too small to train on is a dictionary itself, as plain content: the ends of its records one after
+another, with that of an empty page first, so there is always one.
 
 Defined results: a null html is an empty payload, and payloads below `least_bytes` are never
 revisits; pages with equal payload and page_id are all responses; a null page_id is written as
@@ -26,15 +28,17 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from venuerank.llm.sampling import first_by_hash
 from venuerank.session import materialise, shared_dir
 
 DICTIONARY_SAMPLES = 2000
-DICTIONARY_PAYLOAD = 8192
+DICTIONARY_RECORD = 256 << 10
+DICTIONARY_INPUT = 16 << 20
 DICTIONARY_BYTES = 64 << 10
+LEAST_RECORDS, LEAST_INPUT = 16, 8 * DICTIONARY_BYTES  # of a sample that is trained on
 LEVEL = 3
 ARCHIVE_BYTES = 32 << 20
 DATE = "2000-01-01T00:00:00Z"  # pages carry no date
@@ -43,15 +47,18 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def train(pages: DataFrame) -> bytes:
-    """A dictionary, or nothing where the sample is too small for one."""
+    """The dictionary of archives of these pages."""
     import zstandard
 
-    chosen = pages.select("page_id", F.substring(F.coalesce("html", F.lit("")), 1, DICTIONARY_PAYLOAD).alias("html"))
-    samples = [r["html"].encode() for r in first_by_hash(chosen, "page_id", DICTIONARY_SAMPLES).collect() if r["html"]]  # bounded by the two parameters
-    try:
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
+    chosen = materialise(first_by_hash(rows.filter(F.octet_length("html") <= DICTIONARY_RECORD), "page_id", DICTIONARY_SAMPLES), "warc-sample")
+    # at most DICTIONARY_SAMPLES rows; the last may pass DICTIONARY_INPUT
+    upto = F.sum(F.octet_length("html")).over(Window.orderBy(F.xxhash64("page_id"), "page_id", "url", "html").rowsBetween(Window.unboundedPreceding, -1))
+    kept = chosen.withColumn("before", F.coalesce(upto, F.lit(0))).filter(F.col("before") < DICTIONARY_INPUT)
+    samples = [record(r["page_id"], r["url"], r["html"].encode(), None) for r in kept.orderBy("before").collect()]  # bounded by the three parameters
+    if len(samples) >= LEAST_RECORDS and sum(map(len, samples)) >= LEAST_INPUT:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except (zstandard.ZstdError, ValueError):
-        return b""
+    return b"".join([record(None, None, b"", None), *samples])[-DICTIONARY_BYTES:]
 
 
 def _name(page_id: int | None) -> str:
@@ -132,9 +139,8 @@ def write(pages: DataFrame, folder: str, least_bytes: int = 0) -> int:
         from pyspark import TaskContext
 
         store, base = fs.FileSystem.from_uri(folder)
-        held = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-        compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=held)
-        head = struct.pack("<II", _SKIPPABLE, len(dictionary)) + dictionary if dictionary else b""
+        compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary))
+        head = struct.pack("<II", _SKIPPABLE, len(dictionary)) + dictionary
         part, made = TaskContext.get().partitionId(), 0
         frames = io.BytesIO()
 
