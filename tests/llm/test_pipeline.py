@@ -68,6 +68,6 @@ def test_empty_tables(spark, documents, tmp_path):
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 def test_registered():
-    names = {f"op{n}_" for n in range(1, 11)}
+    names = {f"op{n}_" for n in range(1, 14)}
     assert {q.split("_")[0] + "_" for q in driver.queries() if re.match(r"op\d+_", q)} == names
     assert "pipeline" in driver.queries() and "op1_exact_dedup" in driver.oracle_sql()
