@@ -46,8 +46,27 @@ def test_texts_that_collide_are_chained(spark):
     entries = index.groupBy("key", "norm").count()
     assert entries.count() == 3  # the text, not the key, tells groups apart
     keys = spark.createDataFrame([(1,)] * 3 + [(1 << 62,)], "key long")
-    grown = {r.slot: r.depth for r in exact_dedup.grow_directory(keys, 1, 4).collect()}
-    assert len(grown) == 2 and set(grown.values()) == {2}
+    directory = exact_dedup.grow_directory(keys, 1, 4)
+    assert {(r.slot, r.depth, r.bits) for r in directory.collect()} == {(0, 2, 2), (1, 2, 2)}
+    keyed = spark.createDataFrame([(7, 1, "a"), (3, 1, "b"), (5, 1, "a"), (1, 1 << 62, "c")], "doc_id long, key long, norm string")
+    routed = exact_dedup.route(keyed, directory).collect()
+    assert sorted((r.bucket, r.key, r.keep_id, r.group_size) for r in routed) == [(0, 1, 3, 1), (0, 1, 5, 2), (1, 1 << 62, 1, 1)]
+
+
+def test_one_task_owns_a_bucket_and_copies_are_summed_before_the_route(spark, documents):
+    rows = [(i, "the same text" if i % 3 == 0 else prose(5, i)) for i in range(900)]
+    keyed = documents(rows).select("doc_id", exact_dedup.normalised(F.col("text")).alias("norm")).withColumn("key", F.xxhash64("norm"))
+    directory = exact_dedup.grow_directory(keyed, 50)
+    bits = directory.first().bits
+    assert directory.count() <= 2**bits < 64  # as far as it doubled, not 2**18
+    routed = exact_dedup.route(keyed, directory)
+    placed = routed.withColumn("task", F.spark_partition_id())
+    held = placed.groupBy("depth", "bucket").agg(F.countDistinct("task").alias("tasks"), F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n")).collect()
+    assert len(held) > 8 and all(r.tasks == 1 and r.n <= 50 for r in held)
+    for r in held:  # a bucket is the range of keys with its leading bits
+        assert r.depth == 0 or {k % 2**64 >> (64 - r.depth) for k in (r.low, r.high)} == {r.bucket}
+    plan = routed._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning(bucket") < plan.rindex("Exchange hashpartitioning(bucket") < plan.index("partial_min")
 
 
 def test_keep_first_leaves_whole_rows(documents):

@@ -1,10 +1,13 @@
 """Exact duplicates by an extendible-hash index kept on shared files; DataFrame functions only.
 
 A text's key is a 64-bit hash of its normalised bytes. A directory maps the leading bits of a
-key to a bucket: it doubles (one more bit) as long as a bucket holds more texts than `capacity`,
-and only overfull buckets are split. The index itself, one entry per distinct text in bucket
-order, is a table in the shared folder. Grouping compares the whole text, never the key alone,
-so texts that collide on a key become separate entries of one chain, told apart by their place.
+key to a bucket: it doubles (one more bit) as long as a bucket holds more keys than `capacity`,
+and only overfull buckets are split. Texts then go where the directory sends them: each is looked
+up in it, copies are summed on the map side by (bucket, key, whole text), and one task owns all
+entries of a bucket, a range of keys. Whole texts are compared, never the key alone, so texts
+that collide on a key become separate entries of the chain that the owner makes of them. The
+index, one entry per distinct text in bucket order, is a table in the shared folder; rows find
+their entry by bucket, key and digest.
 
 Defined results: a null text counts as empty; empty texts are equal to each other; of equal texts
 the smallest doc_id stays, a null one only where the group has no other; repeated rows are members of
@@ -22,7 +25,7 @@ from venuerank.session import materialise
 # At most 2**18 directory slots, so the broadcast directory stays within a few MB at any input;
 # buckets still overfull at this depth keep all their entries as a longer chain.
 MAX_DEPTH = 18
-CAPACITY = 50_000
+CAPACITY = 4_000
 
 # Runs of white space that differ from a single blank; replacing only these equals replacing every
 # run of [\x20\x09-\x0D] by one space, with far fewer matches.
@@ -39,10 +42,11 @@ def leading_bits(key: Column, bits: int) -> Column:
 
 
 def grow_directory(keys: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """slot -> (depth, bucket), one row per occupied slot of the directory at `max_depth` bits.
+    """slot -> (depth, bucket): the occupied slots of the directory, of as many bits as the deepest bucket; stored.
 
     Each doubling counts the keys below the overfull buckets by one more bit. The counts are kept
     as a table of at most ``2**max_depth`` rows, so a round never touches the keys again.
+    `bucket` is the leading `depth` bits of its keys, and `bits` the directory's own depth.
     """
     slots = materialise(
         keys.select("key").distinct().groupBy(leading_bits(F.col("key"), max_depth).alias("slot")).agg(F.count(F.lit(1)).alias("n")),
@@ -60,34 +64,43 @@ def grow_directory(keys: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -
         settled = closed if settled is None else settled.unionByName(closed)
         open_slots = rounds.filter("NOT fits").select("slot", "n")
         if open_slots.isEmpty():
-            return settled
+            break
         depth += 1
+    slot = F.shiftright("slot", max_depth - depth)
+    return materialise(settled.select(slot.alias("slot"), "depth", "bucket", F.lit(depth).alias("bits")).distinct(), "directory-final")
+
+
+def looked_up(keyed: DataFrame, directory: DataFrame) -> DataFrame:
+    """`keyed` with the depth and bucket that the directory names for each key."""
+    first = directory.first()
+    slot = leading_bits(F.col("key"), first.bits if first else 0)
+    # at most 2**MAX_DEPTH rows, as many as the directory has doubled to
+    return keyed.withColumn("slot", slot).join(F.broadcast(directory.drop("bits")), "slot").drop("slot")
+
+
+def route(keyed: DataFrame, directory: DataFrame) -> DataFrame:
+    """One row per distinct text with keep_id and group_size, all of a bucket in the task that owns it."""
+    # the whole text is part of the grouping key: copies meet in map-side sums, so a text that a
+    # third of all rows repeat is sent once per map task
+    entries = looked_up(keyed, directory).groupBy("bucket", "depth", "key", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    return entries.select("bucket", "depth", "key", F.sha2(F.col("norm"), 256).alias("text_sha256"), "keep_id", "group_size").repartition("bucket", "depth")
 
 
 def build_index(docs: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
-    """(rows, index): every row's key and digest, and the stored index of distinct texts.
+    """(rows, index): every row's key, place in the directory and digest, and the stored index of distinct texts.
 
-    `rows` has doc_id, key, text_sha256; `index` has bucket, depth, key, chain (0 for the first text
-    of a key), text_sha256, keep_id, group_size.
+    `rows` has doc_id, key, text_sha256, depth, bucket; `index` has bucket, depth, key, chain (0 for the
+    first text of a key), text_sha256, keep_id, group_size.
     """
     texts = docs.select(F.col("doc_id"), normalised(F.col("text")).alias("norm"))
     keyed = texts.withColumn("key", F.xxhash64("norm"))
     rows = materialise(
         keyed.select("doc_id", "key", F.sha2(F.col("norm"), 256).alias("text_sha256")), "dedup-rows"
     )
-    directory = materialise(grow_directory(rows, capacity), "directory-final")
-    # the whole text is the grouping key: copies meet in map-side sums, so a text that a third of
-    # all rows repeat reaches its owner once per map task
-    entries = (
-        keyed.groupBy("key", "norm")
-        .agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        .select("key", F.sha2(F.col("norm"), 256).alias("text_sha256"), "keep_id", "group_size")
-    )
-    chain = Window.partitionBy("bucket", "key").orderBy("text_sha256")
+    directory = grow_directory(rows, capacity)
+    chain = Window.partitionBy("bucket", "depth", "key").orderBy("text_sha256")
     owned = (
-        entries.withColumn("slot", leading_bits(F.col("key"), MAX_DEPTH))
-        .join(F.broadcast(directory), "slot")  # at most 2**MAX_DEPTH rows
-        .drop("slot")
+        route(keyed, directory)
         .withColumn("chain", F.row_number().over(chain) - 1)
         .withColumn("before", F.lag("text_sha256").over(chain))
     )
@@ -96,7 +109,7 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, D
         "text_sha256",
         F.when(F.col("before") == F.col("text_sha256"), F.raise_error(F.lit("two texts share a SHA-256"))).otherwise(F.col("text_sha256")),
     ).drop("before")
-    return rows, materialise(index.sortWithinPartitions("depth", "bucket", "key", "chain"), "dedup-index")
+    return looked_up(rows, directory), materialise(index.sortWithinPartitions("depth", "bucket", "key", "chain"), "dedup-index")
 
 
 def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -105,7 +118,7 @@ def exact_groups(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Rows that repeat one doc_id with equal texts all say kept; `keep_first` leaves one of them.
     """
     rows, index = build_index(docs, capacity)
-    return rows.join(index, ["key", "text_sha256"]).select(
+    return rows.join(index, ["bucket", "depth", "key", "text_sha256"]).select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256",
         "bucket", "depth", "chain",
     )
