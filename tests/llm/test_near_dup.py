@@ -113,6 +113,36 @@ def test_hub_differences_lose_no_pair(spark):
     assert want and want <= got and len(got) < 0.5 * 121 * 60
 
 
+def test_members_that_meet_share_an_anchor(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    lists = [(value, int(cid), int(cid) % 7 * 3) for value in range(60) for cid in draw.choice(80, draw.integers(2, 9), replace=False)]
+    labels = {cid: cid % 30 for cid in range(80)}
+    postings = spark.createDataFrame(lists, "value long, cid long, fame long")
+    named = spark.createDataFrame(list(labels.items()), "cid long, label long")
+    anchors, held = defaultdict(set), defaultdict(set)
+    for r in near_dup.open_members(postings, named).collect():
+        anchors[r.cid].add(r.anchor)
+    for value, cid, _ in lists:
+        held[value].add(cid)
+    for met in held.values():
+        for x in met:
+            for y in met:
+                assert labels[x] == labels[y] or anchors[x] & anchors[y]
+    places = Counter(cid for _, cid, _ in lists)
+    assert all(len(a) <= places[cid] for cid, a in anchors.items())  # grows with lists, not with pairs
+
+
+def test_one_template_in_unlinked_texts(documents):
+    # similarity of about 0.6 to one template and to each other: every text stays alone, but for a few true copies
+    rows = [(i, " ".join(words_of(160, 5)) + " " + prose(40, 1000 + i)) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " end") for i in range(0, 60, 9)]
+    rows += [(200 + i, " ".join(words_of(160, 6)) + " " + prose(38, 3000 + i)) for i in range(30)]
+    want = check(documents(rows), rows)
+    assert any(c != i for i, (_, c) in want.items()) and sum(c == i for i, (_, c) in want.items()) > 60
+
+
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 9])
 def test_number_of_shingles(documents, n):
     rows = [(1, prose(n, 3))]

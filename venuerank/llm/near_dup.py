@@ -12,12 +12,14 @@ of all with probability under 1e-7, so pairs are sought that agree in MATCHES.
 * No list is expanded into all its pairs. Each list compares its members with its hub, the one whose
   lists are longest together, such as the text the others are copies of. A pair within one
   component can't change the result, so only members of lists that still hold several
-  components go on; each is anchored at the most popular hub it met.
+  components go on; each is anchored at the most popular hub it met, and members of a list
+  that holds several anchors are anchored at the list's own hub as well. So any two members
+  that meet have an anchor in common.
 * Members x, y of one anchor b are told by D(m), the shingles that either m or b has but not both:
   they are similar enough exactly if D(x) and D(y) share (g(x) + g(y)) / 14 shingles, where
   g(m) = 7 |D(m)| - |m|, and one of them isn't linked to b. What a member shares with no other
   rules most of them out, and the rest meet in lists of the rarest shared shingles, again a
-  prefix. Members of different anchors are compared where they meet.
+  prefix.
 
 Every link is confirmed on the full sets. Components come from label propagation with pointer
 jumping over tables in the shared folder.
@@ -174,14 +176,20 @@ def star_pairs(postings: DataFrame, members: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").filter(_alike("n_a", "n_b")).filter(_collisions("s_a", "s_b") >= MATCHES).select("a", "b")
 
 
-def open_members(postings: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lists, anchors), stored: the lists of several components, and the anchor of each of their members."""
+def open_members(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cid, label, anchor), stored: members of lists of several components; two that meet in a list share an anchor."""
     named = postings.join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     mixed = named.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("value")
     lists = materialise(named.join(materialise(mixed, "near-mixed"), "value"), "near-open")
-    met = lists.select("value", "cid", "label").join(_hubs(lists), "value")
-    anchors = met.groupBy("cid", "label").agg(F.max(F.struct("hub_fame", "hub")).alias("top")).select("cid", "label", F.col("top.hub").alias("anchor"))
-    return lists, materialise(anchors, "near-anchors")
+    met = materialise(lists.select("value", "cid", "label").join(_hubs(lists), "value"), "near-met")
+    top = met.groupBy("cid", "label").agg(F.max(F.struct("hub_fame", "hub")).alias("top")).select("cid", "label", F.col("top.hub").alias("anchor"))
+    top = materialise(top, "near-tops")
+    several = (
+        met.join(top.select("cid", "anchor"), "cid").groupBy("value")
+        .agg(F.min("anchor").alias("low"), F.max("anchor").alias("high")).filter("low < high").select("value")
+    )
+    across = met.join(materialise(several, "near-across"), "value").select("cid", "label", F.col("hub").alias("anchor"))
+    return materialise(top.union(across).distinct(), "near-anchors")
 
 
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +216,9 @@ def anchored_pairs(anchors: DataFrame, sets: DataFrame) -> DataFrame:
     shared = elements.groupBy("anchor", "element").agg(F.count(F.lit(1)).alias("seen")).filter("seen > 1")
     kept = materialise(elements.join(materialise(shared, "near-shared"), ["anchor", "element"]), "near-kept")
     # g as above; a pair shares no more than what either shares with anyone
-    common = kept.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("seen", "element"))).alias("common"))  # one set's shingles
+    common = kept.groupBy("anchor", "cid").agg(F.array_sort(F.collect_list(F.struct("seen", "element"))).alias("common"))  # one set's shingles
     gap = 7 * F.size("delta") - F.col("n")
-    facts = told.join(common, "cid").select(
+    facts = told.join(common, ["anchor", "cid"]).select(
         "anchor", "cid", "label", gap.alias("gap"), F.size("common").alias("most"), "common", (gap > F.col("n_hub")).alias("apart")
     )
     facts = materialise(facts, "near-facts")
@@ -227,18 +235,6 @@ def anchored_pairs(anchors: DataFrame, sets: DataFrame) -> DataFrame:
     return p.join(q, same & enough).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def crossing_pairs(lists: DataFrame, anchors: DataFrame, members: DataFrame) -> DataFrame:
-    """(a, b): members of different anchors and components that meet in a list, probed in the join itself."""
-    known = lists.select("value", "cid").join(anchors, "cid")
-    several = known.groupBy("value").agg(F.min("anchor").alias("low"), F.max("anchor").alias("high")).filter("low < high").select("value")
-    held = materialise(known.join(materialise(several, "near-across"), "value").join(members.select("cid", "n_shingles", "signature"), "cid"), "near-crossing")
-    x = held.select("value", *[F.col(c).alias(f"x_{c}") for c in held.columns if c != "value"])
-    y = held.select(F.col("value").alias("y_value"), *[F.col(c).alias(f"y_{c}") for c in held.columns if c != "value"])
-    met = (F.col("value") == F.col("y_value")) & (F.col("x_label") < F.col("y_label")) & (F.col("x_anchor") != F.col("y_anchor"))
-    met &= _alike("x_n_shingles", "y_n_shingles") & (_collisions("x_signature", "y_signature") >= MATCHES)
-    return x.join(y, met).select(F.col("x_cid").alias("a"), F.col("y_cid").alias("b")).distinct()
-
-
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough, stored."""
     left, right = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("left")), sets.select(F.col("cid").alias("b"), F.col("shingles").alias("right"))
@@ -284,14 +280,14 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     links = confirmed(star_pairs(postings, members), sets)
     labels = components(links)
-    lists, anchors = open_members(postings, labels)
-    more = confirmed(anchored_pairs(anchors, sets).union(crossing_pairs(lists, anchors, members)), sets)
+    more = confirmed(anchored_pairs(open_members(postings, labels), sets), sets)
     if not more.isEmpty():
         labels = components(links.union(more))
 
     named = classes.select(*key, "cid", "rep").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     named = materialise(named, "near-named")
-    heads = named.groupBy("label").agg(F.min("rep").alias("component_id"))
+    # stored: a component may hold a third of all classes, and only a join of two plain shuffles can be split
+    heads = materialise(named.groupBy("label").agg(F.min("rep").alias("component_id")), "near-heads")
     ended = named.join(heads, "label").select(*key, "component_id")
     placed = sketches.join(ended, key, "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return placed.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "digest")
