@@ -139,14 +139,17 @@ def _half(ratings: DataFrame, side: str, other: str, factors: DataFrame, rank: i
 
 
 def factorise(
-    ratings: DataFrame, rank: int, iterations: int, regularisation: float, seed: int = 42, slice_rows: int = SLICE_ROWS,
+    ratings: DataFrame, rank: int, iterations: int, regularisation: float, seed: int = 42, slice_rows: int = SLICE_ROWS, start: Column | None = None,
 ) -> Factors:
-    """Non-negative factors of `ratings(user_idx, business_idx, stars)`, the penalty weighted by each one's number of ratings."""
+    """Non-negative factors of `ratings(user_idx, business_idx, stars)`, the penalty weighted by each one's number of ratings.
+
+    `start` gives the venues' first factors from their `id`; without it they are drawn by a hash.
+    """
     held = ratings.select(F.col("user_idx").cast("int").alias("user_idx"), F.col("business_idx").cast("int").alias("business_idx"), "stars")
     held = _with_slices(_with_slices(held, "user_idx", "business_idx", slice_rows), "business_idx", "user_idx", slice_rows)
     held = materialise(held, "sliced-ratings")
-    start = F.transform(F.sequence(F.lit(0), F.lit(rank - 1)), lambda j: (F.pmod(F.xxhash64("id", j, F.lit(seed)), F.lit(1 << 20)) + 1) / float(rank ** 0.5 * (1 << 20)))
-    businesses = materialise(held.select(F.col("business_idx").alias("id")).distinct().select("id", start.alias("features")), "factors")
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(rank - 1)), lambda j: (F.pmod(F.xxhash64("id", j, F.lit(seed)), F.lit(1 << 20)) + 1) / float(rank ** 0.5 * (1 << 20)))
+    businesses = materialise(held.select(F.col("business_idx").alias("id")).distinct().select("id", (drawn if start is None else start).alias("features")), "factors")
     users = None
     for _ in range(iterations):
         new = _half(held, "user_idx", "business_idx", businesses, rank, regularisation)

@@ -8,7 +8,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.operators import classifier, clean, metro, neighborhoods, profiles, recommend, scores, search, sentiment
+from venuerank.operators import classifier, clean, factors, metro, neighborhoods, profiles, recommend, scores, search, sentiment
 from venuerank.operators.ranking import top_per_group
 from venuerank.operators.sampling import split_by_key
 from venuerank.session import apply_defaults, materialise
@@ -127,6 +127,15 @@ class Gold:
     def factor_model(self) -> ALSModel:
         return recommend.train_als(self.split_matrix[0])
 
+    @cached_property
+    def flat_factors(self) -> factors.Factors:
+        """One factor each, fitted in three rounds from equal venues, which SQL can repeat."""
+        return factors.factorise(self.split_matrix[0], 1, 3, recommend.REGULARISATION, start=F.array(F.lit(1.0)))
+
+    @cached_property
+    def flat_predictions(self) -> DataFrame:
+        return materialise(factors.predict(self.split_matrix[1], self.flat_factors, 1), "flat-predictions")
+
     @cached_property
     def test_predictions(self) -> DataFrame:
         return materialise(self.factor_model.transform(self.split_matrix[1]), "test-predictions")

@@ -294,8 +294,24 @@ PARTS: dict[str, tuple[list[str], str]] = {
         FROM scores"""),
 }
 
+# Alternating least squares with one factor, written out round by round: each side's factor is the quotient of two sums.
+FLAT_ROUNDS = 3
+for _k in range(1, FLAT_ROUNDS + 1):
+    for _side, _id, _other, _other_id, _before in (
+        ("user", "user_id", "business", "business_id", _k - 1), ("business", "business_id", "user", "user_id", _k),
+    ):
+        _sums = "sum(CAST(t.stars AS DOUBLE) * o.x) / (sum(o.x * o.x) + 0.1e0 * count(*))"
+        PARTS[f"flat_{_side}_{_k}"] = (["train", f"flat_{_other}_{_before}"], f"""
+            SELECT t.{_id} AS id, {_sums} AS x FROM train t JOIN flat_{_other}_{_before} o ON o.id = t.{_other_id} GROUP BY t.{_id}""")
+PARTS["flat_business_0"] = (["train"], "SELECT DISTINCT business_id AS id, 1e0 AS x FROM train")
+PARTS["flat_prediction"] = (["rating", "train", f"flat_user_{FLAT_ROUNDS}", f"flat_business_{FLAT_ROUNDS}"], f"""
+    SELECT r.review_id, r.stars, u.x * b.x AS prediction
+    FROM rating r JOIN flat_user_{FLAT_ROUNDS} u ON u.id = r.user_id JOIN flat_business_{FLAT_ROUNDS} b ON b.id = r.business_id
+    WHERE r.review_id NOT IN (SELECT review_id FROM train)""")
+
 # Subqueries read more than once, or too large to be inlined.
 _STORED = {"review", "clean_review", "venue", "enriched", "scores", "grid", "terms", "vocabulary", "weights", "profile"}
+_STORED |= {"train"} | {name for name in PARTS if name.startswith("flat_")}
 
 
 def sql(query: str, *needs: str) -> str:
@@ -327,6 +343,10 @@ _PROFILE_ROW = "business_id, name, metro_area, city, review_count, profile_text,
 _VENUE_ROW = "business_id, is_open, name, city, state, categories, review_count, metro_area, " + _r("latitude", "longitude")
 
 
+def _rounded(value: str, name: str) -> str:
+    return f"round({value}, {digits(name)}) AS {name}"
+
+
 def _single_line(column: str) -> str:
     return f"translate({column}, chr(9) || chr(10) || chr(13) || '\\', '   ') AS {column}"
 
@@ -530,6 +550,18 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS scored, true AS as_the_library
         FROM (SELECT * FROM rating ANTI JOIN train USING (review_id))
         SEMI JOIN train USING (user_id) WHERE business_id IN (SELECT business_id FROM train)""", "train"),
+    "flat_factors": sql(f"""
+        SELECT 'user' AS kind, id, {_rounded("x", "factor")} FROM flat_user_{FLAT_ROUNDS}
+        UNION ALL SELECT 'business', id, {_rounded("x", "factor")} FROM flat_business_{FLAT_ROUNDS}""",
+        f"flat_user_{FLAT_ROUNDS}", f"flat_business_{FLAT_ROUNDS}"),
+    "flat_predictions": sql("SELECT review_id, " + _r("prediction") + " FROM flat_prediction", "flat_prediction"),
+    "flat_rmse": sql(
+        f"SELECT {_rounded('sqrt(avg((CAST(stars AS DOUBLE) - prediction) ** 2))', 'rmse')} FROM flat_prediction", "flat_prediction"),
+    "flat_top_n": sql(f"""
+        SELECT u.id AS user_id, b.rank, {_rounded("u.x * b.x", "predicted_rating")}
+        FROM flat_user_{FLAT_ROUNDS} u,
+             (SELECT x, CAST(row_number() OVER (ORDER BY x DESC) AS INTEGER) AS rank FROM flat_business_{FLAT_ROUNDS}) b
+        WHERE b.rank <= 10""", f"flat_user_{FLAT_ROUNDS}", f"flat_business_{FLAT_ROUNDS}"),
     "nearest_centres": sql(f"""
         SELECT metro_area, grid_cell, place, round(km, 6) AS distance_km, CAST(rank AS INTEGER) AS rank
         FROM (SELECT metro_area, grid_cell, c.city_key AS place, km,

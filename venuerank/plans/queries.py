@@ -332,6 +332,23 @@ def als_in_slices(g: Gold) -> DataFrame:
     )
 
 
+def flat_factors(g: Gold) -> DataFrame:
+    """The factor of each user and venue of a model with one factor."""
+    users = g.flat_factors.users.withColumnRenamed("id", "user_idx").join(g.matrix.users, "user_idx")
+    venues = g.flat_factors.businesses.withColumnRenamed("id", "business_idx").join(g.matrix.businesses, "business_idx")
+    factor = F.col("features")[0].alias("factor")
+    return users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), factor).unionByName(
+        venues.select(F.lit("business").alias("kind"), F.col("business_id").alias("id"), factor)
+    )
+
+
+def flat_top_n(g: Gold) -> DataFrame:
+    """Each user's best products of that model, by bounded search."""
+    best = factors.best_items(g.flat_factors.users, g.flat_factors.businesses, 1, recommend.TOP_N).rows
+    named = best.withColumnRenamed("user", "user_idx").join(g.matrix.users, "user_idx")
+    return named.select("user_id", F.col("rank").cast("int").alias("rank"), F.col("score").alias("predicted_rating"))
+
+
 # --- places, sketches, loads ---
 
 def nearest_centres(g: Gold) -> DataFrame:
@@ -465,6 +482,10 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "als_status": als_status,
     "als_exact_top_n": als_exact_top_n,
     "als_in_slices": als_in_slices,
+    "flat_factors": flat_factors,
+    "flat_predictions": lambda g: g.flat_predictions.select("review_id", "prediction"),
+    "flat_rmse": lambda g: recommend.rmse_table(g.flat_predictions, "stars", "prediction").select("rmse"),
+    "flat_top_n": flat_top_n,
     "nearest_centres": nearest_centres,
     "sketched_metros": sketched_metros,
     "users_shared_with_metro": users_shared_with_metro,
