@@ -173,6 +173,26 @@ def test_rejected_lines_are_kept_and_counted(spark, tmp_path):
     assert {(r["entity"], r["line"]) for r in kept} == {("review", "{broken"), ("review", "[1, 2")}
 
 
+def test_writes_are_observed_in_a_session_of_their_own(spark, run, tmp_path):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    from venuerank.sinks.observed import watched, write_observed
+
+    side = session.sibling(spark)
+    assert side.conf.get("spark.sql.shuffle.partitions") == "4" and session.shared_dir(side) == session.shared_dir(spark)
+    rows = side.range(1000).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 3).alias("a.b"), F.lit("x").alias("kind"))
+    whole, seen = watched(rows, rows=F.count(F.lit(1)))
+    found = write_observed(whole.filter("id >= 500"), str(tmp_path / "t"), "kind", top=F.max("id"))
+    assert found == {"rows": 500, "nulls": {"id": 0, "a.b": 50, "kind": 0}, "top": 999} and seen.get == {"rows": 1000}
+    assert write_observed(rows.limit(0), str(tmp_path / "none"))["rows"] == 0
+    # as many as the files hold
+    assert all(n == table(spark, run, name).count() for name, n in run[1].items())
+    # a model fitted afterwards in the first session can still be applied
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.range(50).selectExpr("double(id) AS x", "double(id > 20) AS label"))
+    assert LogisticRegression(maxIter=2).fit(data).transform(data).filter("prediction = label").count() > 25
+
+
 def test_guards(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, v int")
     assert [tuple(r) for r in guards.duplicate_keys(df, ["k"]).collect()] == [("a", 2)]

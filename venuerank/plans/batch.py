@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 
 from venuerank.operators import classifier, clean, profiles, recommend, scores, sentiment
 from venuerank.operators.metro import METRO_RADIUS_KM
-from venuerank.session import apply_defaults, materialise
+from venuerank.session import apply_defaults, materialise, sibling
+from venuerank.sinks.observed import write_observed
 from venuerank.sinks.writers import jdbc_settings, ready_for_serving, write_jdbc, write_parquet
 from venuerank.sources.raw import cell_stars, join_path, labelled_text, malformed_lines, ratings, read_json, read_table
 
 log = logging.getLogger(__name__)
 
 STAGES = ("clean", "aggregate", "recommend", "sentiment", "profiles")
+FITTING = ("recommend", "sentiment")  # stages that fit models can't be observed
 
 
 class BatchOptions(NamedTuple):
@@ -38,17 +40,24 @@ class BatchOptions(NamedTuple):
 
 
 class _Sink:
-    """Writes gold tables and reports their rows."""
+    """Writes gold tables and reports their rows and nulls: as observed, or of fitting stages from the file footers."""
 
-    def __init__(self, options: BatchOptions):
+    def __init__(self, options: BatchOptions, observing: SparkSession):
         self.options = options
+        self.observing = observing
+        self.nulls: dict[str, dict[str, int]] = {}
         self.settings = jdbc_settings() if options.to_database else None
         self.rows: dict[str, int] = {}
 
     def store(self, df: DataFrame, name: str, partition_by: str | None = None) -> None:
         path = join_path(self.options.output, name)
-        write_parquet(df, path, partition_by)
-        self.rows[name] = df.sparkSession.read.schema(df.schema).parquet(path).count()  # from the file footers
+        if df.sparkSession is self.observing:
+            found = write_observed(df, path, partition_by)
+            self.rows[name], self.nulls[name] = found["rows"], {c: n for c, n in found["nulls"].items() if n}
+            log.info("%s: %d rows, nulls %s", name, self.rows[name], self.nulls[name])
+        else:
+            write_parquet(df, path, partition_by)
+            self.rows[name] = df.sparkSession.read.schema(df.schema).parquet(path).count()
 
     def publish(self, spark: SparkSession, name: str) -> None:
         if self.settings:
@@ -123,9 +132,9 @@ def run_batch(spark: SparkSession, options: BatchOptions) -> dict[str, int]:
     unknown = [s for s in options.stages if s not in _RUN]
     if unknown:
         raise ValueError(f"unknown stages {unknown}, choose from {list(STAGES)}")
-    sink = _Sink(options)  # checks the database settings before any work
     apply_defaults(spark)
+    sink = _Sink(options, sibling(spark))  # checks the database settings before any work
     for stage in STAGES:
         if stage in options.stages:
-            _RUN[stage](spark, options, sink)
+            _RUN[stage](spark if stage in FITTING else sink.observing, options, sink)
     return sink.rows

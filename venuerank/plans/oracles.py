@@ -562,6 +562,11 @@ ORACLES: dict[str, str] = {
         FROM flat_user_{FLAT_ROUNDS} u,
              (SELECT x, CAST(row_number() OVER (ORDER BY x DESC) AS INTEGER) AS rank FROM flat_business_{FLAT_ROUNDS}) b
         WHERE b.rank <= 10""", f"flat_user_{FLAT_ROUNDS}", f"flat_business_{FLAT_ROUNDS}"),
+    "observed_write": sql("""
+        SELECT (SELECT count(*) FROM review) AS scanned, (SELECT count(*) FROM review WHERE text IS NULL) AS without_text,
+               count(*) AS written, CAST(0 AS BIGINT) AS nulls, count(*) FILTER (stars >= 4) AS good,
+               CAST(sum(stars) AS DOUBLE) AS stars, max(date) AS last_date
+        FROM clean_review""", "clean_review"),
     "nearest_centres": sql(f"""
         SELECT metro_area, grid_cell, place, round(km, 6) AS distance_km, CAST(rank AS INTEGER) AS rank
         FROM (SELECT metro_area, grid_cell, c.city_key AS place, km,

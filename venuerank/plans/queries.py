@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -18,8 +19,9 @@ from venuerank.operators.ranking import ordered_position
 from venuerank.plans import round_trip
 from venuerank.plans.gold import Gold, gold
 from venuerank.plans.serving_sql import serve
-from venuerank.session import materialise
+from venuerank.session import materialise, shared_dir, sibling
 from venuerank.sinks.guards import duplicate_keys
+from venuerank.sinks.observed import watched, write_observed
 from venuerank.sources import star_schema
 
 # Digits compared. Means of coordinates given to a thousandth often end in a 5 at the seventh
@@ -408,6 +410,19 @@ def _round_trip(g: Gold) -> tuple[DataFrame, DataFrame]:
     return round_trip.stored_reviews(reviews, g.businesses.select("business_id", "metro_area"), F.col("review_id").endswith(DAMAGED), METRO)
 
 
+def observed_write(g: Gold) -> DataFrame:
+    """What a write of the clean reviews observed of the rows it scanned and the rows it wrote."""
+    spark = sibling(g.spark)
+    scanned, seen = watched(star_schema.reviews(spark, g.base), rows=F.count(F.lit(1)), textless=F.count_if(F.col("text").isNull()))
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/observed-{uuid.uuid4().hex}"
+    written = write_observed(
+        clean.clean_reviews(scanned), path, good=F.count_if(F.col("stars") >= 4), stars=F.sum(F.col("stars").cast("double")), last_date=F.max("date"),
+    )
+    facts = {"scanned": seen.get["rows"], "without_text": seen.get["textless"], "written": written["rows"], "nulls": sum(written["nulls"].values())}
+    facts |= {name: written[name] for name in ("good", "stars", "last_date")}
+    return g.spark.range(1).select(*[(F.lit(value).cast("long") if isinstance(value, int) else F.lit(value)).alias(name) for name, value in facts.items()])
+
+
 def reviews_through_json(g: Gold) -> DataFrame:
     """Reviews of each metro after JSON lines, partitioned Parquet and the replacement of one metro."""
     stored, _ = _round_trip(g)
@@ -490,6 +505,7 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "sketched_metros": sketched_metros,
     "users_shared_with_metro": users_shared_with_metro,
     "incremental_scores": incremental_scores,
+    "observed_write": observed_write,
     "reviews_through_json": reviews_through_json,
     "rejected_lines": rejected_lines,
     "venues_of_city": lambda g: serve(g.spark, "venues_of_city", {"scores": g.business_scores}, city=CITY),

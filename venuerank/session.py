@@ -48,6 +48,15 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def sibling(spark: SparkSession) -> SparkSession:
+    """Another session of the same application, hence with the same shared folder, and with the same SQL settings."""
+    other = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
