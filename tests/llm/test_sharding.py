@@ -1,3 +1,5 @@
+import math
+import random
 import zlib
 from collections import defaultdict
 
@@ -41,3 +43,34 @@ def test_target_bytes_and_odd_shards(documents):
 def test_few_and_no_rows(documents):
     assert sharding.kd_shards(documents([])).count() == 0
     assert sharding.kd_shards(documents([(1, "a")])).collect()[0].slot == 0
+
+
+def plain_tree(points, dims, shards, first=0):
+    """Row -> leaf of a k-d tree by plain recursion; a point is (row, size, key of each dimension)."""
+    if shards == 1:
+        return {p[0]: first for p in points}
+    widths = [max(p[2][k] for p in points) - min(p[2][k] for p in points) for k in range(dims)]
+    widest = widths.index(max(widths))
+    goal, total, cut = sum(p[1] for p in points) * (shards // 2) / shards, 0, None
+    for p in sorted(points, key=lambda p: p[2][widest]):
+        total += p[1]
+        if total >= goal:
+            cut = p[2][widest]
+            break
+    low, high = ([p for p in points if (p[2][widest] > cut) == side] for side in (False, True))
+    return plain_tree(low, dims, shards // 2, first) | plain_tree(high, dims, shards - shards // 2, first + shards // 2)
+
+
+def test_leaves_equal_a_plain_tree(spark):
+    draw = random.Random(6)
+    rows = [(i, draw.randint(1, 900), draw.gauss(0, 1), draw.choice([1.0, 2.0, 5.0]), draw.expovariate(1), draw.randrange(1 << 29)) for i in range(900)]
+    points = spark.createDataFrame(rows, "doc_id long, size long, d0 double, d1 double, d2 double, tie long")
+    top = float((1 << 31) - 1)
+    ends = [(min(r[k] for r in rows), max(r[k] for r in rows)) for k in (2, 3, 4)]
+    keyed = [
+        (r[0], r[1], [(math.floor((r[k] - low) / (high - low) * top + 0.5) << 29) + r[5] for k, (low, high) in zip((2, 3, 4), ends)])
+        for r in rows
+    ]
+    for shards in (8, 5):
+        got = {r.doc_id: r.shard for r in sharding.kd_leaves(points, shards).collect()}
+        assert got == plain_tree(keyed, 3, shards)
