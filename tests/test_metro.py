@@ -1,6 +1,7 @@
 import math
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,47 @@ def test_chain_of_falling_volume(spark):
     assert engine(spark, cities, 50.0) == walk(cities, 50.0)
 
 
+def chain(spark, n):
+    """Cities 0.9 km apart along the equator, each larger than the next."""
+    return spark.range(n).select(
+        F.format_string("c%05d", "id").alias("city_key"), F.format_string("c%05d", "id").alias("city"), F.lit("X").alias("state"),
+        F.lit(0.0).alias("center_lat"), (F.col("id") * 0.0081).alias("center_lng"), (F.lit(n) - F.col("id")).alias("total_reviews"))
+
+
+@pytest.mark.parametrize("block_cities, most", [(metro.BLOCK_CITIES, 3), (1_500, 19)])
+def test_a_long_chain_takes_few_rounds(spark, block_cities, most):
+    """In one block as in many, whose borders are settled in one round after the other."""
+    cities = metro.located_cities(chain(spark, 10_000), 1.0)
+    anchors, rounds = metro.elect_anchors(cities, 1.0, block_cities)
+    assert sorted(r["city_key"] for r in anchors.select("city_key").collect()) == [f"c{i:05}" for i in range(0, 10_000, 2)]
+    assert 3 <= rounds <= most
+
+
+@pytest.mark.parametrize("seed, n, lat, lng, radius, block_cities", [
+    (11, 400, (30, 33), (-115, -112), 50.0, 40),
+    (12, 300, (50, 53), (178, 182), 60.0, 30),    # across the date line
+    (13, 300, (87, 90), (-180, 180), 90.0, 60),   # around the pole
+    (14, 300, (-2, 2), (-2, 2), 80.0, 1),         # blocks of single cities, most of them too small
+])
+def test_blocks_change_nothing(spark, monkeypatch, seed, n, lat, lng, radius, block_cities):
+    monkeypatch.setattr(metro, "CELL_ROUNDS", 0)
+    rng = random.Random(seed)
+    cities = [(*c[:4], (c[4] + 180) % 360 - 180, c[5]) for c in random_cities(rng, n, lat, lng)]
+    located = metro.located_cities(spark.createDataFrame(cities, SCHEMA), radius)
+    anchors, _ = metro.elect_anchors(located, radius, block_cities)
+    assert {r["city_key"] for r in anchors.collect()} == {anchor for _, anchor in walk(cities, radius).values()}
+
+
+def test_a_block_leaves_open_what_hangs_on_others():
+    """The first city may be near one outside: the chain behind it waits, a city out of reach doesn't."""
+    block = pd.DataFrame({
+        "volume": [-9, -8, -7, -6], "city_key": list("abcd"), "lat": [0.0] * 4, "lng": [0.0, 0.4, 0.8, 5.0], "cell": ["0", "1", "2", "9"],
+        "near": [["0", "1"], ["0", "1", "2"], ["1", "2"], ["9"]], "held": [True, False, False, False],
+    })
+    assert metro._follow(50.0, block)["city_key"].tolist() == ["d"]
+    assert metro._follow(50.0, block.assign(held=False))["city_key"].tolist() == ["a", "c", "d"]
+
+
 def test_names(spark):
     cities = [
         ("Portland_OR", "Portland", "OR", 45.52, -122.68, 900), ("Portland_ME", "Portland", "ME", 43.66, -70.26, 100),

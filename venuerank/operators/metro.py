@@ -6,6 +6,11 @@ higher volume within the radius is certain to be an anchor, and everything near
 Cells are small enough to hold one anchor each, and cities are only ever compared with the
 best city of a nearby cell, so the work is linear in the number of cities however crowded a
 cell is.
+
+A chain of near cities of falling volume would take a round for every link. From the third
+round on the cells still waiting are therefore put together to blocks, as large as a bound on
+their cities allows, and each block follows its chains by itself as far as they don't hang on
+a city outside. Only what does waits for the next round.
 """
 
 from __future__ import annotations
@@ -13,6 +18,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +26,10 @@ from venuerank.functions.geo import EARTH_RADIUS_KM, haversine_km
 from venuerank.session import materialise
 
 METRO_RADIUS_KM = 50.0
+BLOCK_CITIES = 50_000  # at most this many waiting cities are followed in one task
+BLOCK_LEVELS = 14  # blocks halve their sides so often before a crowded one is left to the rounds
+CELL_ROUNDS = 2  # most maps are settled by then
+_CLOSE = 1e-9  # distances this near to the radius are left to the engine's own arithmetic
 _CELL = ["band", "slot"]
 
 
@@ -107,10 +117,82 @@ def located_cities(cities: DataFrame, radius_km: float) -> DataFrame:
     return materialise(_Cells(radius_km).locate(keyed), "cities")
 
 
-def elect_anchors(cities: DataFrame, radius_km: float) -> tuple[DataFrame, int]:
+def _blocks(filled: DataFrame, cells: _Cells, limit: int) -> DataFrame:
+    """Cells with the largest block around them that holds at most `limit` waiting cities.
+
+    Blocks nest, so cells of one block agree on it. Cells that no block can hold are left out.
+    """
+    north = (F.col("band") + 0.5) * cells.band_degrees / 180
+    east = (F.col("slot") + 0.5) / cells.slots_in(F.col("band"))
+    levels = F.explode(F.sequence(F.lit(0), F.lit(BLOCK_LEVELS))).alias("level")
+    side = F.pow(F.lit(2.0), F.col("level"))
+    around = filled.select(*_CELL, "cities", levels).withColumns(
+        {"row": F.least(F.floor(north * side), (side - 1).cast("long")), "column": F.floor(east * side)}
+    )
+    block = ["level", "row", "column"]
+    small = around.groupBy(*block).agg(F.sum("cities").alias("cities")).filter(F.col("cities") <= limit).select(*block)
+    return around.join(small, block).groupBy(*_CELL).agg(F.min(F.struct(*block)).alias("block"))
+
+
+def _follow(radius_km: float, block: pd.DataFrame) -> pd.DataFrame:
+    """Cities of a block that are certain to be anchors.
+
+    Taken in order, a city near an anchor is no anchor; one that may be near an undecided city of an
+    earlier turn, within the block or outside, is undecided too; any other is an anchor.
+    """
+    anchors: dict[str, tuple[float, float]] = {}
+    undecided: set[str] = set()
+    found: list[str] = []
+    ordered = block.sort_values(["volume", "city_key"], kind="stable")
+    for key, cell, lat, lng, near, held in zip(*(ordered[c] for c in ("city_key", "cell", "lat", "lng", "near", "held"))):
+        share = min((_kilometres(lat, lng, *anchors[c]) / radius_km for c in near if c in anchors), default=math.inf)
+        if share <= 1 - _CLOSE:
+            continue
+        if held or share <= 1 + _CLOSE or not undecided.isdisjoint(near):
+            undecided.add(cell)
+        else:
+            anchors[cell] = (lat, lng)
+            found.append(key)
+    return pd.DataFrame({"city_key": found}, dtype="object")
+
+
+def _kilometres(lat1: float, lng1: float, lat2: float, lng2: float) -> float:
+    a, b = math.radians(lat1), math.radians(lat2)
+    chord = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(lng2 - lng1) / 2) ** 2
+    return 2 * EARTH_RADIUS_KM * math.asin(math.sqrt(min(1.0, chord)))
+
+
+def _block_anchors(waiting: DataFrame, cells: _Cells, limit: int) -> DataFrame:
+    """Keys of the cities that blocks of at most `limit` cities can tell to be anchors by themselves."""
+    filled = materialise(waiting.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("cities"), F.min("turn").alias("first")), "cells")
+    placed = materialise(filled.join(_blocks(filled, cells, limit), _CELL, "left").select(*_CELL, "first", "block"), "blocks")
+    # pairs of cells, not of cities: which cells may hold a city near one of this cell
+    own = {"own_band": F.col("band"), "own_slot": F.col("slot")}
+    pairs = cells.spread(waiting.select(*_CELL, "lat", "lng").withColumns(own)).select("own_band", "own_slot", *_CELL).distinct()
+    homes = placed.filter("block IS NOT NULL").select(F.col("band").alias("own_band"), F.col("slot").alias("own_slot"), F.col("block").alias("own_block"))
+    name = F.concat_ws(":", "band", "slot")
+    inside = F.col("block").eqNullSafe(F.col("own_block"))
+    around = (
+        pairs.join(placed, _CELL).join(homes, ["own_band", "own_slot"])
+        .groupBy(F.col("own_band").alias("band"), F.col("own_slot").alias("slot"), "own_block")
+        .agg(F.collect_list(F.when(inside, name)).alias("near"), F.min(F.when(~inside, F.col("first"))).alias("outside"))
+    )
+    rows = waiting.join(around, _CELL).select(
+        F.col("own_block").alias("block"), F.col("turn.volume").alias("volume"), "city_key", "lat", "lng",
+        name.alias("cell"), "near", F.coalesce(F.col("outside") < F.col("turn"), F.lit(False)).alias("held"),
+    )
+    radius_km = cells.radius_km
+
+    def follow(block: pd.DataFrame) -> pd.DataFrame:
+        return _follow(radius_km, block)
+
+    return rows.groupBy("block").applyInPandas(follow, "city_key string")
+
+
+def elect_anchors(cities: DataFrame, radius_km: float, block_cities: int = BLOCK_CITIES) -> tuple[DataFrame, int]:
     """Anchors among stored, located cities, and the number of rounds it took to find them.
 
-    Every round is one job that writes the cities still waiting with what became of them.
+    Every round writes the cities still waiting with what became of them.
     """
     cells = _Cells(radius_km)
     columns = [c for c in cities.columns if c not in _CELL]
@@ -124,6 +206,9 @@ def elect_anchors(cities: DataFrame, radius_km: float) -> tuple[DataFrame, int]:
             .select(F.col("a_city_key").alias("city_key")).distinct()
         )
         anchors = best.join(rivals, "city_key", "left_anti")
+        if len(found) > CELL_ROUNDS:
+            keys = anchors.select("city_key").unionByName(_block_anchors(waiting, cells, block_cities)).distinct()
+            anchors = materialise(waiting.join(keys, "city_key", "left_semi").select(*columns), "anchors")
         settled = (
             _named(cells.spread(anchors), "a_").join(_named(waiting, "b_"), _CELL)
             .filter(_near("a_", "b_", radius_km))
