@@ -589,6 +589,15 @@ ORACLES: dict[str, str] = {
         FROM review JOIN (SELECT business_id, metro_area FROM venue) USING (business_id)
         WHERE NOT suffix(review_id, '{DAMAGED}') GROUP BY metro_area""", "review", "venue"),
     "rejected_lines": sql(f"SELECT review_id, false AS is_closed FROM review WHERE suffix(review_id, '{DAMAGED}')", "review"),
+    # a profile is the categories, three times, and up to 20 digests of 32 characters, all with a blank between them
+    "batch_tables": sql(f"""
+        SELECT 'reviews_enriched' AS table_name, count(*) AS row_count, count(DISTINCT metro_area) AS metros, {_rounded("sum(recency_weight)", "figure")}
+        FROM enriched
+        UNION ALL SELECT 'business_scores', count(*), count(DISTINCT metro_area), round(sum(popularity_score), 6) FROM scores
+        UNION ALL SELECT 'grid_aggregates', count(*), count(DISTINCT metro_area), round(sum(avg_popularity), 6) FROM grid
+        UNION ALL SELECT 'business_profiles', count(*), count(DISTINCT metro_area),
+                         CAST(sum(3 * length(trim(categories)) + 2 + least(review_count, 20) * 33) AS DOUBLE) FROM scores""",
+        "enriched", "scores", "grid"),
     "venues_of_city": sql(f"SELECT {_SCORE_ROW} FROM scores WHERE city = '{CITY}'", "scores"),
     "venues_by_cuisine": sql(
         f"SELECT {_SCORE_ROW} FROM scores WHERE lower(categories) LIKE lower('%{CUISINE}%')", "scores"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -432,6 +433,25 @@ def reviews_through_json(g: Gold) -> DataFrame:
     )
 
 
+def batch_tables(g: Gold) -> DataFrame:
+    """Rows of each table of the batch run over JSON lines, as copied and read back, and a figure all of them count in.
+
+    Review texts go by their digests.
+    """
+    reviews = g.review_rows.select("review_id", "user_id", "business_id", "stars", "date", F.md5("text").alias("text"))
+    tables = round_trip.served_tables(g.business_rows, reviews, star_schema.AS_OF)
+    figures = {
+        "reviews_enriched": F.col("recency_weight"), "business_scores": F.col("popularity_score"),
+        "grid_aggregates": F.col("avg_popularity"), "business_profiles": F.length("profile_text").cast("double"),
+    }
+    counted = [
+        table.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct("metro_area").alias("metros"), F.sum(figures.get(name, F.lit(0.0))).alias("figure"))
+        .select(F.lit(name).alias("table_name"), "row_count", "metros", "figure")
+        for name, table in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 def rejected_lines(g: Gold) -> DataFrame:
     """The damaged lines, by what can still be read of them."""
     _, rejected = _round_trip(g)
@@ -508,6 +528,7 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "observed_write": observed_write,
     "reviews_through_json": reviews_through_json,
     "rejected_lines": rejected_lines,
+    "batch_tables": batch_tables,
     "venues_of_city": lambda g: serve(g.spark, "venues_of_city", {"scores": g.business_scores}, city=CITY),
     "venues_by_cuisine": lambda g: serve(g.spark, "venues_by_cuisine", {"scores": g.business_scores}, cuisine=CUISINE),
     "users_matching_taste": lambda g: serve(

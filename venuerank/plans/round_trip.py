@@ -1,14 +1,15 @@
-"""Raw JSON lines, some of them damaged, through partitioned Parquet and the replacement of one metro."""
+"""Raw JSON lines, some of them damaged, through partitioned Parquet and the replacement of one metro, or through the batch run."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.session import shared_dir
-from venuerank.sinks.writers import replace_partitions, write_parquet
+from venuerank.plans.batch import BatchOptions, run_batch
+from venuerank.session import shared_dir, sibling
+from venuerank.sinks.writers import copy_tables, ready_for_serving, replace_partitions, write_parquet
 from venuerank.sources.raw import join_path, malformed_lines, read_json, read_table
 
 
@@ -18,6 +19,29 @@ def write_lines(records: DataFrame, path: str, damaged: Column) -> None:
     records.select(F.when(damaged, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line).alias("value")).write.text(path)
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def served_tables(businesses: DataFrame, reviews: DataFrame, as_of: str) -> dict[str, DataFrame]:
+    """Tables of a batch run over records written as JSON lines, copied and read back; profiles as they are served.
+
+    The stages that fit models aren't run. Empty tables aren't copied, and so aren't among the result.
+    """
+    spark = sibling(businesses.sparkSession)  # the run sets what it needs on its own session
+    raw, gold, copy = (_new_folder(spark, name) for name in ("lines", "batch", "copy"))
+    write_lines(businesses, join_path(raw, "business.json"), F.lit(False))
+    write_lines(reviews, join_path(raw, "review.json"), F.lit(False))
+    rows = run_batch(spark, BatchOptions(raw=raw, output=gold, as_of=as_of, stages=("clean", "aggregate", "profiles")))
+
+    def write(table: DataFrame, name: str) -> None:
+        typed = ready_for_serving(table, name) if name == "business_profiles" else table
+        write_parquet(typed, join_path(copy, name), "metro_area" if "metro_area" in typed.columns else None)
+
+    copied = copy_tables(list(rows), lambda name: read_table(spark, gold, name), write)
+    return {name: read_table(businesses.sparkSession, copy, name) for name in copied}
+
+
 def stored_reviews(reviews: DataFrame, metros: DataFrame, damaged: Column, replaced: str) -> tuple[DataFrame, DataFrame]:
     """(reviews by metro as read back, rejected lines).
 
@@ -26,7 +50,7 @@ def stored_reviews(reviews: DataFrame, metros: DataFrame, damaged: Column, repla
     again with five stars throughout. The other metros' files aren't touched.
     """
     spark = reviews.sparkSession
-    folder = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/round-trip-{uuid.uuid4().hex}"
+    folder = _new_folder(spark, "round-trip")
     write_lines(reviews, join_path(folder, "review.json"), damaged)
     scanned = read_json(spark, folder, "review.json", "review").filter("review_id IS NOT NULL")
     located = scanned.join(metros.filter("metro_area IS NOT NULL"), "business_id").select("review_id", "user_id", "business_id", "stars", "date", "text", "metro_area")
