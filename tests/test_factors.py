@@ -106,3 +106,15 @@ def test_no_users_or_items(spark):
     none = spark.createDataFrame([], "id int, features array<double>")
     one = spark.createDataFrame([(1, [1.0, 2.0])], "id int, features array<double>")
     assert factors.best_items(none, one, 2, 3).rows.count() == factors.best_items(one, none, 2, 3).rows.count() == 0
+
+
+def test_penalties_are_compared_on_the_test_ratings(spark):
+    ratings, _ = ratings_of(spark, 30, 20, 10)
+    train, test = (recommend.materialise(t, "split") for t in ratings.randomSplit([0.8, 0.2], 3))
+    start = F.array(F.lit(1.0))
+    found = factors.penalty_sweep(train, test, 1, 2, [0.1, 5.0], start=start).orderBy("reg_param").collect()
+    error = F.col("stars") - F.col("prediction")
+    for row in found:
+        scored = factors.predict(test, factors.factorise(train, 1, 2, row["reg_param"], start=start), 1)
+        assert row["rmse"] == pytest.approx(scored.agg(F.sqrt(F.avg(error * error))).first()[0])
+    assert [r["is_best"] for r in found] == [True, False]

@@ -14,6 +14,7 @@ equi-join on the block; work is set by the bounds and not by users times items.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -174,6 +175,18 @@ def predict(ratings: DataFrame, factors: Factors, rank: int) -> DataFrame:
     return met.withColumn("prediction", dot("_u", "_b", rank)).drop("_u", "_b")
 
 
+def penalty_sweep(train: DataFrame, test: DataFrame, rank: int, iterations: int, penalties: list[float], start: Column | None = None) -> DataFrame:
+    """`reg_param, rmse, is_best` over the test ratings that each model can score; of equal errors the smallest penalty is best."""
+    rows = []
+    for penalty in penalties:
+        scored = predict(test, factorise(train, rank, iterations, penalty, start=start), rank)
+        error = F.col("stars") - F.col("prediction")
+        rows.append(scored.agg(F.sqrt(F.avg(error * error)).alias("rmse")).select(F.lit(penalty).alias("reg_param"), "rmse"))
+    tried = materialise(reduce(DataFrame.unionByName, rows), "penalties")  # one row a penalty
+    best = tried.agg(F.min_by("reg_param", F.struct("rmse", "reg_param"))).scalar()
+    return tried.withColumn("is_best", F.col("reg_param") == best)
+
+
 # --- the best items of every user ---
 
 class Best(NamedTuple):

@@ -8,12 +8,14 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venuerank.operators import classifier, clean, factors, metro, neighborhoods, profiles, recommend, scores, search, sentiment
+from venuerank.operators import classifier, clean, factors, metro, neighborhoods, profiles, recommend, scores, search, sentiment, term_regression
 from venuerank.operators.ranking import top_per_group
 from venuerank.operators.sampling import split_by_key
 from venuerank.session import apply_defaults, materialise
 from venuerank.sources import raw, star_schema
 
+TERM_ROUNDS = 5
+
 _built: dict[tuple[str, str], tuple[str, "Gold"]] = {}
 
 
@@ -148,6 +150,11 @@ class Gold:
     def classifier_predictions(self) -> DataFrame:
         return materialise(classifier.predict_held_out(self.judged_rows), "classifier-predictions")
 
+    @cached_property
+    def term_predictions(self) -> DataFrame:
+        """The table-based classifier after a few steps, which SQL can repeat."""
+        return materialise(term_regression.predict_held_out(self.judged_rows, TERM_ROUNDS), "term-predictions")
+
     @cached_property
     def recommendations(self) -> DataFrame:
         """Stand-in for a model's output that SQL can repeat: each user's best-rated venues."""

@@ -8,7 +8,8 @@ metro areas, for example, are assigned by a sequential walk over the cities.
 from __future__ import annotations
 
 from venuerank.functions.vocabulary import CUISINE_TAGS, FOOD_AND_DRINK_TAGS
-from venuerank.plans.queries import CITY, CUISINE, DAMAGED, MATCH, METRO, PHRASES, SAMPLE, TASTE, UNPROFILED, digits
+from venuerank.plans.gold import TERM_ROUNDS
+from venuerank.plans.queries import CITY, CUISINE, DAMAGED, FLAT_PENALTIES, MATCH, METRO, PHRASES, SAMPLE, TASTE, UNPROFILED, digits
 
 AS_OF = "2002-01-01"
 BLANKS = "(' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12))"
@@ -295,23 +296,79 @@ PARTS: dict[str, tuple[list[str], str]] = {
 }
 
 # Alternating least squares with one factor, written out round by round: each side's factor is the quotient of two sums.
+# The first penalty's parts are named flat_.., the others' flat_1_.., flat_2_..
 FLAT_ROUNDS = 3
-for _k in range(1, FLAT_ROUNDS + 1):
-    for _side, _id, _other, _other_id, _before in (
-        ("user", "user_id", "business", "business_id", _k - 1), ("business", "business_id", "user", "user_id", _k),
-    ):
-        _sums = "sum(CAST(t.stars AS DOUBLE) * o.x) / (sum(o.x * o.x) + 0.1e0 * count(*))"
-        PARTS[f"flat_{_side}_{_k}"] = (["train", f"flat_{_other}_{_before}"], f"""
-            SELECT t.{_id} AS id, {_sums} AS x FROM train t JOIN flat_{_other}_{_before} o ON o.id = t.{_other_id} GROUP BY t.{_id}""")
-PARTS["flat_business_0"] = (["train"], "SELECT DISTINCT business_id AS id, 1e0 AS x FROM train")
-PARTS["flat_prediction"] = (["rating", "train", f"flat_user_{FLAT_ROUNDS}", f"flat_business_{FLAT_ROUNDS}"], f"""
-    SELECT r.review_id, r.stars, u.x * b.x AS prediction
-    FROM rating r JOIN flat_user_{FLAT_ROUNDS} u ON u.id = r.user_id JOIN flat_business_{FLAT_ROUNDS} b ON b.id = r.business_id
-    WHERE r.review_id NOT IN (SELECT review_id FROM train)""")
+FLAT = ["flat", *[f"flat_{i}" for i in range(1, len(FLAT_PENALTIES))]]
+for _flat, _penalty in zip(FLAT, FLAT_PENALTIES):
+    for _k in range(1, FLAT_ROUNDS + 1):
+        for _side, _id, _other, _other_id, _before in (
+            ("user", "user_id", "business", "business_id", _k - 1), ("business", "business_id", "user", "user_id", _k),
+        ):
+            _sums = f"sum(CAST(t.stars AS DOUBLE) * o.x) / (sum(o.x * o.x) + {_penalty}e0 * count(*))"
+            PARTS[f"{_flat}_{_side}_{_k}"] = (["train", f"{_flat}_{_other}_{_before}"], f"""
+                SELECT t.{_id} AS id, {_sums} AS x FROM train t JOIN {_flat}_{_other}_{_before} o ON o.id = t.{_other_id} GROUP BY t.{_id}""")
+    PARTS[f"{_flat}_business_0"] = (["train"], "SELECT DISTINCT business_id AS id, 1e0 AS x FROM train")
+    PARTS[f"{_flat}_prediction"] = (["rating", "train", f"{_flat}_user_{FLAT_ROUNDS}", f"{_flat}_business_{FLAT_ROUNDS}"], f"""
+        SELECT r.review_id, r.stars, u.x * b.x AS prediction
+        FROM rating r JOIN {_flat}_user_{FLAT_ROUNDS} u ON u.id = r.user_id JOIN {_flat}_business_{FLAT_ROUNDS} b ON b.id = r.business_id
+        WHERE r.review_id NOT IN (SELECT review_id FROM train)""")
+PARTS["flat_error"] = ([f"{flat}_prediction" for flat in FLAT], " UNION ALL ".join(
+    f"SELECT {penalty}e0 AS reg_param, sqrt(avg((CAST(stars AS DOUBLE) - prediction) ** 2)) AS rmse FROM {flat}_prediction"
+    for flat, penalty in zip(FLAT, FLAT_PENALTIES)))
+
+# The table-based classifier, step by step: TF-IDF of whole texts, then accelerated gradient steps from zero.
+PARTS |= {
+    "verdict": ([], """
+        SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || review_id), review_id)
+                  <= round(count(*) OVER (PARTITION BY label) * 0.2e0) AS is_test
+        FROM (SELECT CAST(d.doc_id AS VARCHAR) AS review_id, CAST(quality = 1 AS INTEGER) AS label, text
+              FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""),
+    "verdict_term": (["verdict"], r"""
+        SELECT review_id, is_test, term, count(*) AS tf
+        FROM (SELECT review_id, is_test,
+                     unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS term
+              FROM (SELECT *, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS w FROM verdict))
+        GROUP BY ALL"""),
+    "verdict_size": (["verdict"], "SELECT count(*) AS n FROM verdict WHERE NOT is_test"),
+    "verdict_idf": (["verdict_term", "verdict_size"], """
+        SELECT term, ln((any_value(n) + 1e0) / (count(*) + 1)) + 1 AS idf FROM verdict_term, verdict_size WHERE NOT is_test GROUP BY term"""),
+    "verdict_value": (["verdict_term", "verdict_idf"], """
+        SELECT review_id, is_test, term, tf * idf / sqrt(sum((tf * idf) ** 2) OVER (PARTITION BY review_id)) AS x
+        FROM verdict_term JOIN verdict_idf USING (term)"""),
+    "step_weight_0": (["verdict_idf"], "SELECT term, 0e0 AS last, 0e0 AS weight FROM verdict_idf"),
+    "step_intercept_0": ([], "SELECT 0e0 AS last, 0e0 AS intercept"),
+}
+for _k in range(1, TERM_ROUNDS + 1):
+    PARTS[f"step_residual_{_k}"] = (["verdict", "verdict_value", f"step_weight_{_k - 1}", f"step_intercept_{_k - 1}"], f"""
+        SELECT d.review_id, 1 / (1 + exp(-(coalesce(s.margin, 0) + i.intercept))) - d.label AS residual
+        FROM verdict d JOIN step_intercept_{_k - 1} i ON true LEFT JOIN (
+            SELECT review_id, sum(x * weight) AS margin FROM verdict_value v JOIN step_weight_{_k - 1} USING (term)
+            WHERE NOT is_test GROUP BY review_id) s ON s.review_id = d.review_id
+        WHERE NOT d.is_test""")
+    PARTS[f"step_weight_{_k}"] = (["verdict_value", "verdict_size", f"step_residual_{_k}", f"step_weight_{_k - 1}"], f"""
+        SELECT term, moved AS last, moved + {_k - 1} / {_k + 2}e0 * (moved - last) AS weight
+        FROM (SELECT w.term, last, weight - (pull + weight) / n / (0.5e0 + 1e0 / n) AS moved
+              FROM step_weight_{_k - 1} w JOIN verdict_size ON true JOIN (
+                  SELECT term, sum(x * residual) AS pull FROM verdict_value v JOIN step_residual_{_k} r ON r.review_id = v.review_id
+                  GROUP BY term) p ON p.term = w.term)""")
+    PARTS[f"step_intercept_{_k}"] = (["verdict_size", f"step_residual_{_k}", f"step_intercept_{_k - 1}"], f"""
+        SELECT moved AS last, moved + {_k - 1} / {_k + 2}e0 * (moved - last) AS intercept
+        FROM (SELECT i.last, i.intercept - (SELECT avg(residual) FROM step_residual_{_k}) / (0.5e0 + 1e0 / n) AS moved
+              FROM step_intercept_{_k - 1} i, verdict_size)""")
+PARTS["term_verdict"] = (["verdict", "verdict_value", f"step_weight_{TERM_ROUNDS}", f"step_intercept_{TERM_ROUNDS}"], f"""
+    SELECT d.review_id, label, 1 / (1 + exp(-margin)) AS probability, CASE WHEN round(margin, 9) > 0 THEN 1 ELSE 0 END AS prediction
+    FROM (SELECT d.review_id, d.label, coalesce(sum(v.x * w.last), 0) + any_value(i.last) AS margin
+          FROM verdict d JOIN step_intercept_{TERM_ROUNDS} i ON true LEFT JOIN verdict_value v ON v.review_id = d.review_id
+          LEFT JOIN step_weight_{TERM_ROUNDS} w ON w.term = v.term
+          WHERE d.is_test GROUP BY d.review_id, d.label) d""")
+PARTS["term_per_label"] = (["term_verdict"], """
+    SELECT c.label, count(*) FILTER (j.label = c.label) AS actual, count(*) FILTER (j.prediction = c.label) AS guessed,
+           count(*) FILTER (j.label = c.label AND j.prediction = c.label) AS hits
+    FROM term_verdict j, (SELECT DISTINCT label FROM term_verdict) c GROUP BY c.label""")
 
 # Subqueries read more than once, or too large to be inlined.
 _STORED = {"review", "clean_review", "venue", "enriched", "scores", "grid", "terms", "vocabulary", "weights", "profile"}
-_STORED |= {"train"} | {name for name in PARTS if name.startswith("flat_")}
+_STORED |= {"train", "term_verdict"} | {name for name in PARTS if name.startswith(("flat_", "step_", "verdict"))}
 
 
 def sql(query: str, *needs: str) -> str:
@@ -557,6 +614,8 @@ ORACLES: dict[str, str] = {
     "flat_predictions": sql("SELECT review_id, " + _r("prediction") + " FROM flat_prediction", "flat_prediction"),
     "flat_rmse": sql(
         f"SELECT {_rounded('sqrt(avg((CAST(stars AS DOUBLE) - prediction) ** 2))', 'rmse')} FROM flat_prediction", "flat_prediction"),
+    "flat_sweep": sql(
+        "SELECT reg_param, " + _r("rmse") + ", row_number() OVER (ORDER BY flat_error.rmse, reg_param) = 1 AS is_best FROM flat_error", "flat_error"),
     "flat_top_n": sql(f"""
         SELECT u.id AS user_id, b.rank, {_rounded("u.x * b.x", "predicted_rating")}
         FROM flat_user_{FLAT_ROUNDS} u,
@@ -615,6 +674,15 @@ ORACLES: dict[str, str] = {
         SELECT label AS actual, count(*) FILTER (prediction = 0) AS predicted_0,
                count(*) FILTER (prediction = 1) AS predicted_1
         FROM judged GROUP BY label""", "judged"),
+    "term_classifier_scores": sql(
+        "SELECT review_id, label, " + _r("probability") + ", CAST(prediction AS DOUBLE) AS prediction FROM term_verdict", "term_verdict"),
+    "term_classifier_metrics": sql("""
+        SELECT round(accuracy, 6) AS accuracy, round(weighted_f1, 6) AS weighted_f1, CASE WHEN weighted_f1 >= 0.8 THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM (SELECT sum(hits) / sum(actual) AS accuracy, sum(2 * hits / (actual + guessed) * actual) / sum(actual) AS weighted_f1
+              FROM term_per_label)""", "term_per_label"),
+    "term_classifier_confusion": sql("""
+        SELECT label AS actual, count(*) FILTER (prediction = 0) AS predicted_0, count(*) FILTER (prediction = 1) AS predicted_1
+        FROM term_verdict GROUP BY label""", "term_verdict"),
     "eval_status": sql("""
         SELECT 'rmse' AS metric, round(rmse, 6) AS value, CASE WHEN rmse < 1.5 THEN 'PASS' ELSE 'FAIL' END AS status FROM rmse
         UNION ALL

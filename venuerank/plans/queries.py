@@ -352,6 +352,14 @@ def flat_top_n(g: Gold) -> DataFrame:
     return named.select("user_id", F.col("rank").cast("int").alias("rank"), F.col("score").alias("predicted_rating"))
 
 
+FLAT_PENALTIES = [0.1, 0.5, 2.0]
+
+
+def flat_sweep(g: Gold) -> DataFrame:
+    """The error of the one-factor model under several penalties, and which is least."""
+    return factors.penalty_sweep(*g.split_matrix, 1, 3, FLAT_PENALTIES, start=F.array(F.lit(1.0)))
+
+
 # --- places, sketches, loads ---
 
 def nearest_centres(g: Gold) -> DataFrame:
@@ -521,6 +529,7 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "flat_predictions": lambda g: g.flat_predictions.select("review_id", "prediction"),
     "flat_rmse": lambda g: recommend.rmse_table(g.flat_predictions, "stars", "prediction").select("rmse"),
     "flat_top_n": flat_top_n,
+    "flat_sweep": flat_sweep,
     "nearest_centres": nearest_centres,
     "sketched_metros": sketched_metros,
     "users_shared_with_metro": users_shared_with_metro,
@@ -538,6 +547,9 @@ QUERIES: dict[str, Callable[[Gold], DataFrame]] = {
     "confusion_matrix": lambda g: classifier.confusion_matrix(wordy_predictions(g)),
     "sentiment_classifier_metrics": sentiment_classifier_metrics,
     "sentiment_classifier_confusion": sentiment_classifier_confusion,
+    "term_classifier_scores": lambda g: g.term_predictions.select("review_id", F.col("label").cast("int").alias("label"), "probability", "prediction"),
+    "term_classifier_metrics": lambda g: classifier.classification_metrics(g.term_predictions),
+    "term_classifier_confusion": lambda g: classifier.confusion_matrix(g.term_predictions),
     "eval_status": eval_status,
     "hash_split": hash_split,
     "stratified_split": stratified_split,
