@@ -118,3 +118,20 @@ def test_penalties_are_compared_on_the_test_ratings(spark):
         scored = factors.predict(test, factors.factorise(train, 1, 2, row["reg_param"], start=start), 1)
         assert row["rmse"] == pytest.approx(scored.agg(F.sqrt(F.avg(error * error))).first()[0])
     assert [r["is_best"] for r in found] == [True, False]
+
+
+def test_best_in_scopes_equals_all_products(spark):
+    """Users among the items of their own scope: one of many blocks, one smaller than the places asked for, one without items."""
+    draw = np.random.default_rng(9)
+    u, v = draw.uniform(0, 1, (25, 3)), draw.uniform(0, 1, (60, 3)) * draw.exponential(1, (60, 1))
+    homes = {0: range(0, 40), 1: range(40, 43), 2: range(30, 60), 3: []}
+    asked = [(s, i) for s in homes for i in range(25) if i % (s + 1) == 0]
+    schema = "scope int, id int, features array<double>"
+    users = spark.createDataFrame([(s, i, u[i].tolist()) for s, i in asked], schema)
+    items = spark.createDataFrame([(s, j, v[j].tolist()) for s, held in homes.items() for j in held], schema)
+    best = factors.best_in_scopes(users, items, 3, 5, block=4)
+    got = {}
+    for r in best.rows.orderBy("scope", "user", "rank").collect():
+        got.setdefault((r["scope"], r["user"]), []).append(r["item"])
+    assert got == {(s, i): sorted(homes[s], key=lambda j: (-float(u[i] @ v[j]), j))[:5] for s, i in asked if len(homes[s])}
+    assert best.possible == sum(len(homes[s]) for s, _ in asked) and 0 < best.products < best.possible

@@ -205,26 +205,43 @@ def _length(rank: int) -> Column:
 
 def best_items(users: DataFrame, items: DataFrame, rank: int, top_n: int, block: int = BLOCK) -> Best:
     """The `top_n` items of the greatest product for each of `users(id, features)`, ties to the smaller item id."""
-    people = materialise(users.select(F.col("id").alias("user"), F.col("features").alias("u"), _length(rank).alias("u_length")), "top-users")
-    placed = ordered_position(items.select("id", "features", _length(rank).alias("length")), [F.desc("length"), F.asc("id")], "place")
+    best = best_in_scopes(*[t.select(F.lit(0).alias("scope"), "id", "features") for t in (users, items)], rank, top_n, block)
+    return best._replace(rows=best.rows.drop("scope"))
+
+
+def best_in_scopes(users: DataFrame, items: DataFrame, rank: int, top_n: int, block: int = BLOCK) -> Best:
+    """The same for `users(scope, id, features)` among the `items(scope, id, features)` of their scope; rows have the scope too.
+
+    A scope's blocks are keys of their own, so one that holds all users is spread over as many tasks as it has blocks.
+    """
+    user = ["scope", "user"]
+    people = materialise(users.select("scope", F.col("id").alias("user"), F.col("features").alias("u"), _length(rank).alias("u_length")), "top-users")
+    placed = materialise(
+        ordered_position(items.select("scope", "id", "features", _length(rank).alias("length")), [F.asc("scope"), F.desc("length"), F.asc("id")], "place"), "top-places"
+    )
+    scopes = placed.groupBy("scope").agg(F.min("place").alias("start"), F.count(F.lit(1)).alias("items"))
+    scopes = materialise(scopes.withColumn("last", F.floor((F.col("items") - 1) / block).cast("int")), "top-scopes")
     entry = F.struct(F.col("id").alias("item"), "features", "length")
-    blocks = placed.withColumn("block", F.floor(F.col("place") / block).cast("int")).groupBy("block").agg(
+    of = F.floor((F.col("place") - F.col("start")) / block).cast("int")
+    blocks = placed.join(scopes, "scope").withColumn("block", of).groupBy("scope", "block").agg(
         F.max("length").alias("longest"), F.count(F.lit(1)).alias("size"), F.collect_list(entry).alias("entries")
     )
     blocks = materialise(blocks, "top-blocks")
-    n_blocks = blocks.count()
-    possible = people.count() * (blocks.agg(F.sum("size")).first()[0] or 0)
-    found = materialise(people.limit(0).select("user", F.lit(0).alias("item"), F.lit(0.0).alias("score")), "top-found")
+    people = materialise(people.join(scopes.select("scope", "last", "items"), "scope"), "top-people")
+    figures = people.agg(F.sum("items").alias("possible"), F.max("last").alias("last")).first()
+    n_blocks, possible = 0 if figures["last"] is None else figures["last"] + 1, figures["possible"] or 0
+    found = materialise(people.limit(0).select(*user, F.lit(0).alias("item"), F.lit(0.0).alias("score")), "top-found")
     products, low, wave = 0, 0, 1
     while low < n_blocks:
         high = min(low + wave, n_blocks) - 1
-        worst = found.groupBy("user").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).filter(F.col("n") == top_n).select("user", "least")
+        worst = found.groupBy(*user).agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).filter(F.col("n") == top_n).select(*user, "least")
         reach = F.col("u_length") * F.col("longest") * (1 + SLACK) + SLACK
         asked = (
-            people.join(worst, "user", "left").withColumn("block", F.explode(F.sequence(F.lit(low), F.lit(high))))
-            .join(blocks.select("block", "longest", "size"), "block")
+            people.filter(F.col("last") >= low).join(worst, user, "left")
+            .withColumn("block", F.explode(F.sequence(F.lit(low), F.least(F.lit(high), F.col("last")))))
+            .join(blocks.select("scope", "block", "longest", "size"), ["scope", "block"])
             .filter(F.col("least").isNull() | (reach >= F.col("least")))
-            .select("user", "block", "least", "size")
+            .select(*user, "block", "least", "size")
         )
         asked = materialise(asked, "top-asked")
         new = asked.agg(F.sum("size")).first()[0]
@@ -232,16 +249,16 @@ def best_items(users: DataFrame, items: DataFrame, rank: int, top_n: int, block:
             break  # later blocks are shorter still
         products += new
         scored = (
-            asked.join(people, "user").join(blocks.select("block", "entries"), "block")
-            .select("user", "u", "least", F.explode("entries").alias("e"))
-            .select("user", "u", "least", F.col("e.item").alias("item"), F.col("e.features").alias("features"))
+            asked.join(people, user).join(blocks.select("scope", "block", "entries"), ["scope", "block"])
+            .select(*user, "u", "least", F.explode("entries").alias("e"))
+            .select(*user, "u", "least", F.col("e.item").alias("item"), F.col("e.features").alias("features"))
             .withColumn("score", dot("u", "features", rank))
             .filter(F.col("least").isNull() | (F.col("score") >= F.col("least")))
-            .select("user", "item", "score")
+            .select(*user, "item", "score")
         )
-        merged = top_per_group(found.unionByName(scored), ["user"], [F.desc("score"), F.asc("item")], top_n, ["item"])
+        merged = top_per_group(found.unionByName(scored), user, [F.desc("score"), F.asc("item")], top_n, ["item"])
         before, found = found, materialise(merged.drop("rank"), "top-found")
         discard(before, asked)
         low, wave = high + 1, min(wave * 2, LONGEST_WAVE)
-    ranked = top_per_group(found, ["user"], [F.desc("score"), F.asc("item")], top_n, ["item"])
+    ranked = top_per_group(found, user, [F.desc("score"), F.asc("item")], top_n, ["item"])
     return Best(ranked, products, possible)
