@@ -230,7 +230,7 @@ def best_in_scopes(users: DataFrame, items: DataFrame, rank: int, top_n: int, bl
     people = materialise(people.join(scopes.select("scope", "last", "items"), "scope"), "top-people")
     figures = people.agg(F.sum("items").alias("possible"), F.max("last").alias("last")).first()
     n_blocks, possible = 0 if figures["last"] is None else figures["last"] + 1, figures["possible"] or 0
-    found = materialise(people.limit(0).select(*user, F.lit(0).alias("item"), F.lit(0.0).alias("score")), "top-found")
+    found = materialise(people.limit(0).select(*user, F.lit(None).cast(items.schema["id"].dataType).alias("item"), F.lit(0.0).alias("score")), "top-found")
     products, low, wave = 0, 0, 1
     while low < n_blocks:
         high = min(low + wave, n_blocks) - 1

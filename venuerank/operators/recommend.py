@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from venuerank import schemas
 from venuerank.functions.hashing import draw
 from venuerank.functions.scoring import status
+from venuerank.operators.factors import best_in_scopes
 from venuerank.operators.ranking import ordered_position, top_per_group
 from venuerank.operators.sampling import split_by_key
 from venuerank.session import ensure_checkpoint_dir, materialise
@@ -162,16 +163,17 @@ def recommend_for_requests(
 ) -> DataFrame:
     """The best `top_n` venues of the metro of each of `requests(user_id, metro_area)`, of `venues(business_id, metro_area)`.
 
-    A request meets the venues of its metro only, so the work is set by the requests and not by
-    users times venues; ties go to the smaller business_id.
+    A request meets only the venues of its metro whose factors are long enough to reach its worst place; ties go to the
+    smaller business_id.
     """
-    # stored: of requests that all name one metro the planner would make a product otherwise
-    asked = materialise(requests.select("user_id", "metro_area").distinct().join(matrix.users, "user_id"), "requests")
+    asked = requests.select("user_id", "metro_area").distinct().join(matrix.users, "user_id")
     offered = venues.select("business_id", "metro_area").distinct().join(matrix.businesses, "business_id")
-    pairs = asked.join(offered, "metro_area")
-    scored = real_predictions(model.transform(pairs)).select("user_id", "metro_area", "business_id", F.col("prediction").alias("predicted_rating"))
-    return top_per_group(
-        scored, ["user_id", "metro_area"], [F.desc("predicted_rating"), F.asc("business_id")], top_n, ["business_id"]
+    scope = F.col("metro_area").alias("scope")
+    people = asked.join(model.userFactors, F.col("user_idx") == F.col("id")).select(scope, F.col("user_id").alias("id"), "features")
+    items = offered.join(model.itemFactors, F.col("business_idx") == F.col("id")).select(scope, F.col("business_id").alias("id"), "features")
+    return best_in_scopes(people, items, model.rank, top_n).rows.select(
+        F.col("user").alias("user_id"), F.col("scope").alias("metro_area"), F.col("item").alias("business_id"),
+        F.col("score").cast("float").alias("predicted_rating"), "rank",
     )
 
 
