@@ -139,20 +139,5 @@ def test_requests_are_answered_from_their_metro(spark):
     assert found.select("user_id").distinct().count() == 2
 
 
-def test_equal_scores_go_by_the_name(spark):
-    """Venues rated alike by the same users have equal factors; the rarer one has the larger matrix number but may come first."""
-    rows = spark.range(60).selectExpr("concat('r', id) review_id", "concat('u', id % 10) user_id",
-                                      "concat('b', cast(id / 10 as int)) business_id", "cast(4 as float) stars")
-    matrix = recommend.stored_matrix(rows, "review_id")
-    model = recommend.train_als(matrix.ratings, 2, 3)
-    flat = model.itemFactors.select("id", F.lit([1.0, 1.0]).cast("array<float>").alias("features"))
-    reversed_numbers = matrix.businesses.withColumn("business_idx", 5 - F.col("business_idx"))
-    same = type("Model", (), {"userFactors": model.userFactors, "itemFactors": flat, "rank": 2})
-    asked = matrix.users.select("user_id", F.lit("M").alias("metro_area"))
-    venues = matrix.businesses.select("business_id", F.lit("M").alias("metro_area"))
-    found = recommend.recommend_for_requests(same, matrix._replace(businesses=reversed_numbers), asked, venues, 3)
-    assert {(r["rank"], r["business_id"]) for r in found.collect()} == {(1, "b0"), (2, "b1"), (3, "b2")}
-
-
 def test_matrix_size(ratings):
     assert tuple(recommend.matrix_size(ratings).first()) == (10, 3, 4)
