@@ -1,0 +1,37 @@
+"""Ratings dealt to parts: a half step sends a factor once to a part, not once with each rating."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from venuerank.operators import factors
+
+
+def plain_half(rows, given, rank, penalty):
+    upper, out = np.triu_indices(rank), {}
+    for i in {r[0] for r in rows}:
+        mine = [(given[b], s) for u, b, s in rows if u == i and b in given]
+        if mine:
+            x, y = np.array([f for f, _ in mine]), np.array([s for _, s in mine])
+            sums = np.concatenate([(x.T @ x)[upper], x.T @ y])
+            out[i] = factors.solve(sums[None], np.array([len(mine)]), rank, penalty)[0]
+    return out
+
+
+@pytest.mark.parametrize("slice_rows", [1000, 6])
+def test_a_half_step_over_several_parts_equals_the_plain_one(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(factors, "PART_RATINGS", 40)
+    monkeypatch.setattr(factors, "PACK", 8)
+    draw = np.random.default_rng(4)
+    pairs = {(int(u), int(b)) for u, b in zip(draw.integers(0, 50, 400), draw.integers(0, 9, 400))}
+    rows = [(u, b, float(1 + (u + b) % 5)) for u, b in sorted(pairs)]
+    held = factors._with_slices(spark.createDataFrame(rows, "user_idx int, business_idx int, stars float"), "user_idx", "business_idx", slice_rows)
+    given = {b: draw.uniform(0.1, 1, 3) for b in range(8)}  # none for the last venue
+    table = spark.createDataFrame([(b, f.tolist()) for b, f in given.items()], "id int, features array<double>")
+    dealt = factors._dealt(held, "user_idx", "business_idx")
+    assert dealt.parts > 4 and dealt.packs.agg(F.sum(F.size("ids"))).first()[0] == len(rows)
+    sent = dealt.links.agg(F.sum(F.size("in_parts"))).first()[0]
+    assert sent <= 9 * dealt.parts < len(rows)
+    found = {r["id"]: np.array(r["features"]) for r in factors._half_of(dealt, table, 3, 0.1).collect()}
+    exact = plain_half(rows, given, 3, 0.1)
+    assert found.keys() == exact.keys() and all(np.allclose(found[i], exact[i], atol=1e-8) for i in exact)
