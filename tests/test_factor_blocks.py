@@ -16,6 +16,13 @@ def test_blocks_follow_the_ratings_and_not_the_shuffle_partitions(spark):
     assert recommend._blocks(many.range(400_000)) == min(cores, 20)
 
 
+def test_blocks_fill_up_before_there_are_more(spark):
+    """Every block more is another copy of most factors in each half step."""
+    assert spark.sparkContext.defaultParallelism <= recommend.FEW_BLOCKS
+    assert recommend._blocks(spark.range(29_000_000)) == 12
+    assert recommend._blocks(spark.range(174_000_000)) == 22
+
+
 def test_steps_free_the_shuffles_of_those_before():
     als = recommend._als(3, 10, 0.1, 2)
     assert als.getCheckpointInterval() < als.getMaxIter()
