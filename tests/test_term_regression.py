@@ -121,3 +121,35 @@ def test_needs_both_labels(spark):
     reviews = spark.createDataFrame([(f"r{i}", "so so", 5) for i in range(10)], SCHEMA)
     with pytest.raises(ValueError):
         term_regression.predict_held_out(reviews)
+
+
+def _held_out(reviews, rounds=4):
+    return {r["review_id"]: (r["label"], pytest.approx(r["probability"], abs=1e-12), r["prediction"]) for r in term_regression.predict_held_out(reviews, rounds).collect()}
+
+
+@pytest.mark.parametrize("limits", [{"SMALL_PART": 20, "PACK": 7, "SLICE_WORDS": 30}, {"SMALL_PART": 20, "TERM_ROWS": 25}])
+def test_parts_rows_of_parts_and_frequent_terms_change_nothing(spark, parts, monkeypatch, limits):
+    """Terms in several parts, cut into rows of a few counts, or so frequent that they aren't packed."""
+    reviews, train, test, counts = parts
+    model = term_regression.fit(train, counts, 4)
+    separate = {r["review_id"]: r for r in term_regression.predict(model, test, counts).collect()}
+    expected = _held_out(reviews)
+    assert {k: (r["label"], r["probability"], r["prediction"]) for k, r in separate.items()} == expected
+    for name, value in limits.items():
+        monkeypatch.setattr(term_regression, name, value)
+    found = {r["review_id"]: (r["label"], r["probability"], r["prediction"]) for r in term_regression.predict_held_out(reviews, 4).collect()}
+    assert found == expected
+    again = {r["term"]: (r["idf"], r["weight"]) for r in term_regression.fit(train, counts, 4).terms.collect()}
+    assert {r["term"]: (pytest.approx(r["idf"]), pytest.approx(r["weight"], abs=1e-12)) for r in model.terms.collect()} == again
+
+
+def test_a_step_shuffles_no_counts(spark, parts):
+    """Packs are met where they lie: the only rows shuffled are two numbers for each part of a review."""
+    _, train, _, counts = parts
+    rows = counts.withColumn("is_test", F.lit(False))
+    dealt = term_regression._deal(rows, rows.count(), 60, 60)
+    coefficients = train.select("review_id", F.col("label").alias("alpha"))
+    plan = term_regression._margins(dealt, coefficients)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if dealt.table in line)
+    met = max(i for i in range(at) if "CoGroup" in plan[i])
+    assert not [line for line in plan[met:at] if "Exchange" in line]
