@@ -229,3 +229,24 @@ def test_equal_texts_are_one_vector(spark):
     index = search.build_index(venues, reviews)
     counts = {(r["business_id"], r["term"]): r["tf"] for r in search.venue_terms(index).collect()}
     assert counts == {("a", "good"): 50, ("a", "soup"): 50, ("a", "good soup"): 50, ("a", "thai"): 3, ("b", "good"): 1, ("b", "soup"): 1, ("b", "good soup"): 1, ("b", "thai"): 4}
+
+
+def test_snippets_are_shuffled_once_and_cut_before(spark, monkeypatch):
+    """Also of a venue with most reviews; beyond what Spark prunes, slices give the same."""
+    rows = spark.range(3_000).select(
+        F.when(F.col("id") % 10 < 8, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 37)).alias("business_id"),
+        F.concat(F.lit("r"), "id").alias("review_id"), F.concat(F.lit("d"), F.pmod(F.xxhash64("id"), F.lit(50))).alias("date"),
+        F.when(F.col("id") % 11 != 0, F.concat(F.lit("s"), "id")).alias("snippet"),
+    )
+    latest = profiles.latest_snippets(rows, 4)
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Partial" in plan[plan.index("Exchange hashpartitioning"):]
+    found = {r["business_id"]: r["snippets"] for r in latest.collect()}
+    expected = {}
+    for r in sorted(rows.collect(), key=lambda r: r["review_id"]):
+        expected.setdefault(r["business_id"], []).append(r)
+    expected = {v: [r["snippet"] for r in sorted(rs, key=lambda r: r["date"], reverse=True) if r["snippet"]][:4] for v, rs in expected.items()}
+    assert found == {v: s for v, s in expected.items() if s}
+    monkeypatch.setattr(profiles, "PRUNED", 3)
+    assert {r["business_id"]: r["snippets"] for r in profiles.latest_snippets(rows, 4).collect()} == found
