@@ -1,4 +1,5 @@
 import pytest
+from pyspark.ml.feature import CountVectorizer
 
 from venuerank.operators import classifier
 
@@ -30,6 +31,28 @@ def test_cap_bounds_the_fit_only(spark):
     assert train.join(test, "review_id").isEmpty()
 
 
+def test_fitting_rows_are_dealt_over_the_partitions(spark):
+    """A few long texts fill one advisory partition, which left the whole fit to one task."""
+    train, test = classifier.prepare(corpus(spark))
+    assert len(set(train.inputFiles())) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert set(train.inputFiles()) == set(test.inputFiles())  # texts are fetched once for both
+
+
+def test_vocabulary_is_that_of_the_library_and_repeats(spark):
+    rows = spark.createDataFrame([(["b", "a", "c c"] * 2 + ["d"],), (["e", "a", "f", "a"],), ([],), (["g", "b"],)], "terms array<string>")
+    library = CountVectorizer(inputCol="terms", outputCol="counts", vocabSize=3).fit(rows).vocabulary
+    assert classifier.most_frequent_terms(rows, 3) == ["a", "b", "c c"] == library
+    # of terms found once, the first in the alphabet are kept however the rows lie
+    for parts in (1, 3):
+        assert classifier.most_frequent_terms(rows.repartition(parts), 5) == ["a", "b", "c c", "d", "e"]
+
+
+def test_needs_words(spark):
+    silent = spark.createDataFrame([(f"s{i}", "", 1 + 4 * (i % 2)) for i in range(40)], "review_id string, text string, stars int")
+    with pytest.raises(ValueError):
+        classifier.predict_held_out(silent)
+
+
 def test_needs_both_labels(spark):
     neutral = spark.createDataFrame([(f"n{i}", "so so", 3) for i in range(20)], "review_id string, text string, stars int")
     with pytest.raises(ValueError):
