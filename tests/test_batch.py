@@ -107,6 +107,20 @@ def test_unknown_stage(spark, run):
         run_batch(spark, run[0]._replace(stages=("clean", "publish")))
 
 
+def test_copy_of_a_laid_out_table_moves_no_row(spark, tmp_path):
+    """Rows stay in the task that read them: each of four tasks writes a file of each metro it holds, the rebalanced copy has one a metro."""
+    rows = spark.range(1000).selectExpr("if(id % 2 = 0, 'a', 'b') metro_area", "id")
+    rows.repartition(4).write.partitionBy("metro_area").parquet(str(tmp_path / "table"))
+    stored = raw.read_table(spark, str(tmp_path), "table")
+    assert stored.rdd.getNumPartitions() == 4
+    for name, laid_out in (("kept", True), ("moved", False)):
+        writers.write_parquet(stored, str(tmp_path / name), "metro_area", laid_out=laid_out)
+        copy = raw.read_table(spark, str(tmp_path), name)
+        assert sorted(tuple(r) for r in copy.collect()) == sorted(tuple(r) for r in stored.collect())
+    assert len(list((tmp_path / "kept").glob("*/*.parquet"))) >= 4
+    assert len(list((tmp_path / "moved").glob("*/*.parquet"))) == 2
+
+
 def test_partitioned_write_splits_a_dominant_value(spark, tmp_path):
     """A value with nearly all rows is spread over files; metro names stay text."""
     rows = spark.range(0, 200_000, 1, 8).selectExpr(

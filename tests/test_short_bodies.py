@@ -1,5 +1,6 @@
 """Queries that need no whole review text carry none through their joins."""
 
+import glob
 import os
 import re
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from venuerank.plans.gold import Gold
 from venuerank.plans.queries import QUERIES
+from venuerank.session import shared_dir
 from venuerank.sources import star_schema
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,3 +39,13 @@ def test_short_bodies_equal_those_of_whole_texts(spark):
 @pytest.mark.parametrize("name", ["business_scores", "business_scores_grouped", "grid_sentiment", "grid_sentiment_pivot"])
 def test_scores_read_no_texts(spark, name):
     assert not carries_texts(QUERIES[name](Gold(spark, FOLDER)))
+
+
+def test_batch_tables_write_packed_lines_and_no_row_twice(spark):
+    scratch = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+    before = set(glob.glob(f"{scratch}/*"))
+    QUERIES["batch_tables"](Gold(spark, FOLDER))
+    made = set(glob.glob(f"{scratch}/*")) - before
+    lines = [f for folder in made for f in glob.glob(f"{folder}/*.json/part-*")]
+    assert lines and all(f.endswith(".gz") for f in lines)
+    assert not [folder for folder in made if os.path.basename(folder).startswith("profile-rows")]  # the enriched table is stored already
