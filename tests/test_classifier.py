@@ -31,6 +31,13 @@ def test_cap_bounds_the_fit_only(spark):
     assert train.join(test, "review_id").isEmpty()
 
 
+def test_fits_on_all_rows_unless_capped(spark):
+    """The fit took at most 200,000 reviews."""
+    rows = spark.range(260_000).selectExpr("cast(id AS string) AS review_id", "'so so' AS text", "cast(1 + 4 * (id % 2) AS int) AS stars")
+    train, test = classifier.prepare(rows)
+    assert (train.count(), test.count()) == (208_000, 52_000)
+
+
 def test_fitting_rows_are_dealt_over_the_partitions(spark):
     """A few long texts fill one advisory partition, which left the whole fit to one task."""
     train, test = classifier.prepare(corpus(spark))
